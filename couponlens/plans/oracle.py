@@ -154,3 +154,165 @@ ORACLE["received_left_join_redeemed"] = with_base(
     "ON a.discount = b.discount")
 ORACLE["sort_by_key"] = with_base(
     "SELECT date_received, count(*) AS received FROM lw GROUP BY date_received ORDER BY date_received")
+
+# ---- W1..W5 ------------------------------------------------------------------
+ORACLE["avg_rank_desc"] = with_base(
+    f"SELECT {LW_KEYS}, distance, CASE WHEN distance IS NOT NULL THEN "
+    "rank() OVER (PARTITION BY merchant_id ORDER BY distance DESC NULLS LAST) "
+    "+ (count(*) OVER (PARTITION BY merchant_id, distance) - 1) / 2.0e0 END AS avg_rank_desc FROM lw")
+ORACLE["avg_rank_asc"] = with_base(
+    f"SELECT {LW_KEYS}, distance, CASE WHEN distance IS NOT NULL THEN "
+    "rank() OVER (PARTITION BY merchant_id ORDER BY distance ASC NULLS LAST) "
+    "+ (count(*) OVER (PARTITION BY merchant_id, distance) - 1) / 2.0e0 END AS avg_rank_asc FROM lw")
+ORACLE["partition_count"] = with_base(
+    f"SELECT {LW_KEYS}, count(*) OVER (PARTITION BY user_id, coupon_id) AS partition_count FROM lw")
+ORACLE["first_last_flag"] = with_base(
+    f"SELECT {LW_KEYS}, "
+    "CAST(date_received = min(date_received) OVER (PARTITION BY user_id) AS INTEGER) AS is_first, "
+    "CAST(date_received = max(date_received) OVER (PARTITION BY user_id) AS INTEGER) AS is_last FROM lw")
+ORACLE["share_of_total"] = ORACLE["coupon_type_share"]
+
+
+# ---- features ----------------------------------------------------------------
+def _rank_sql(key: str, v: str, name: str) -> str:
+    tie = f"(count(*) OVER (PARTITION BY {key}, {v}) - 1) / 2.0e0"
+    return (f"CASE WHEN {v} IS NOT NULL THEN rank() OVER (PARTITION BY {key} ORDER BY {v} DESC NULLS LAST) + {tie} END AS {name},\n"
+            f"    CASE WHEN {v} IS NOT NULL THEN rank() OVER (PARTITION BY {key} ORDER BY {v} ASC NULLS LAST) + {tie} END AS {name}_ascend")
+
+
+def _ranks_sql(key: str, prefix: str) -> str:
+    return ",\n    ".join(_rank_sql(key, f"r.{v}", f"{prefix}_{stem}") for v, stem in
+                          (("date_received", "date_received_rank"), ("distance", "distance_rank"),
+                           ("discount", "discount_rate_rank")))
+
+
+def label_features_cte(src: str = "lw", name: str = "lf") -> str:
+    return f"""{name} AS (
+  SELECT r.user_id, r.merchant_id, r.coupon_id, r.date_received,
+    r.discount, r.price_before, r.distance AS Distance, r.is_manjian,
+    count(*) OVER (PARTITION BY r.user_id) AS u_l_total_coupon,
+    count(*) OVER (PARTITION BY r.user_id, r.coupon_id) AS u_l_this_coupon,
+    count(*) OVER (PARTITION BY r.user_id, r.date_received) AS u_l_today_coupon,
+    count(*) OVER (PARTITION BY r.user_id, r.coupon_id, r.date_received) AS u_l_today_this_coupon,
+    CAST(r.date_received = min(r.date_received) OVER (PARTITION BY r.user_id) AS INTEGER) AS u_l_if_is_first_received,
+    CAST(r.date_received = max(r.date_received) OVER (PARTITION BY r.user_id) AS INTEGER) AS u_l_if_is_last_received,
+    {_ranks_sql("r.user_id", "u_l")},
+    count(*) OVER (PARTITION BY r.merchant_id) AS m_l_howmuch_coupon,
+    count(*) OVER (PARTITION BY r.merchant_id, r.date_received) AS m_l_howmuch_coupon_today,
+    k.kinds AS m_l_howmuch_kindof_coupon,
+    kd.kinds AS m_l_howmuch_kindof_coupon_today,
+    {_ranks_sql("r.merchant_id", "m_l")},
+    count(*) OVER (PARTITION BY r.coupon_id) AS c_l_total_received,
+    {_ranks_sql("r.coupon_id", "c_l")}
+  FROM {src} r
+  LEFT JOIN (SELECT merchant_id, count(DISTINCT coupon_id) AS kinds FROM {src} GROUP BY merchant_id) k
+    ON r.merchant_id = k.merchant_id
+  LEFT JOIN (SELECT merchant_id, date_received, count(DISTINCT coupon_id) AS kinds FROM {src}
+             GROUP BY merchant_id, date_received) kd
+    ON r.merchant_id = kd.merchant_id AND r.date_received = kd.date_received
+)"""
+
+
+def history_ctes(src: str = "hist") -> str:
+    ratio = "CAST(sum({n}) AS DOUBLE) / CAST(count(*) AS DOUBLE)"
+    return f"""mh AS (
+  SELECT merchant_id, count(*) AS m_h_total_coupon, CAST(sum(rec_used) AS BIGINT) AS m_h_rec_used,
+    {ratio.format(n="used")} AS m_h_rate_used
+  FROM {src} GROUP BY merchant_id
+),
+ch AS (
+  SELECT coupon_id, count(*) AS c_h_total_coupon, CAST(sum(used) AS BIGINT) AS c_h_used,
+    CAST(sum(1 - used) AS BIGINT) AS c_h_not_use, {ratio.format(n="used")} AS c_h_rate_used
+  FROM {src} GROUP BY coupon_id
+),
+umd AS (
+  SELECT user_id, merchant_id, avg(distance) AS d FROM {src} WHERE used = 1 GROUP BY user_id, merchant_id
+),
+uh AS (
+  SELECT a.*, b.u_h_used_mean_distance FROM (
+    SELECT user_id, count(*) AS u_h_total_coupon, CAST(sum(used) AS BIGINT) AS u_h_used,
+      CAST(sum(1 - used) AS BIGINT) AS u_h_not_use, {ratio.format(n="used")} AS u_h_rate_used,
+      count(DISTINCT merchant_id) AS u_h_howmuch_merchant,
+      count(DISTINCT CASE WHEN used = 1 THEN merchant_id END) AS u_h_used_howmuch_merchant,
+      CAST(count(DISTINCT CASE WHEN used = 1 THEN merchant_id END) AS DOUBLE)
+        / CAST(count(DISTINCT merchant_id) AS DOUBLE) AS u_h_rate_used_howmuch_merchant,
+      avg(CASE WHEN used = 1 THEN date_diff('day', date_received, date_used) END) AS u_h_timedelta_rec_use,
+      avg(CASE WHEN used = 1 THEN CAST(round(discount * 10000) AS INTEGER) END) / 10000 AS u_h_used_average_discount,
+      avg(CASE WHEN used = 1 THEN distance END) AS u_h_used_average_distance
+    FROM {src} GROUP BY user_id) a
+  LEFT JOIN (SELECT user_id, round(avg(d), 6) AS u_h_used_mean_distance FROM umd GROUP BY user_id) b
+    ON a.user_id = b.user_id
+),
+umh AS (
+  SELECT user_id, merchant_id, avg(distance) AS um_h_user_merchant_mean_distance,
+    CAST(sum(used) AS BIGINT) AS um_h_user_merchant_used,
+    {ratio.format(n="used")} AS um_h_user_merchant_used_rate,
+    CAST(sum(rec_used) AS BIGINT) AS um_h_user_merchant_rec_used,
+    {ratio.format(n="rec_used")} AS um_h_user_merchant_rec_used_rate
+  FROM {src} GROUP BY user_id, merchant_id
+)"""
+
+
+_H_ENTITY = {
+    "uh": ("user_id", ["u_h_total_coupon", "u_h_used", "u_h_not_use", "u_h_rate_used", "u_h_howmuch_merchant",
+                       "u_h_used_howmuch_merchant", "u_h_rate_used_howmuch_merchant", "u_h_timedelta_rec_use",
+                       "u_h_used_average_discount", "u_h_used_average_distance", "u_h_used_mean_distance"]),
+    "mh": ("merchant_id", ["m_h_total_coupon", "m_h_rec_used", "m_h_rate_used"]),
+    "ch": ("coupon_id", ["c_h_total_coupon", "c_h_used", "c_h_not_use", "c_h_rate_used"]),
+    "umh": ("user_id, merchant_id", ["um_h_user_merchant_mean_distance", "um_h_user_merchant_used",
+                                     "um_h_user_merchant_used_rate", "um_h_user_merchant_rec_used",
+                                     "um_h_user_merchant_rec_used_rate"]),
+}
+_H_COUNTS = {"u_h_total_coupon", "u_h_used", "u_h_not_use", "u_h_howmuch_merchant", "u_h_used_howmuch_merchant",
+             "m_h_total_coupon", "m_h_rec_used", "c_h_total_coupon", "c_h_used", "c_h_not_use",
+             "um_h_user_merchant_used", "um_h_user_merchant_rec_used"}
+_L_FEATURES = ["discount", "price_before", "Distance", "is_manjian",
+               "u_l_total_coupon", "u_l_this_coupon", "u_l_today_coupon", "u_l_today_this_coupon",
+               "u_l_if_is_first_received", "u_l_if_is_last_received",
+               *[f"{p}_{s}{d}" for p in ("u_l",) for s in ("date_received_rank", "distance_rank", "discount_rate_rank")
+                 for d in ("", "_ascend")],
+               "m_l_howmuch_coupon", "m_l_howmuch_coupon_today", "m_l_howmuch_kindof_coupon",
+               "m_l_howmuch_kindof_coupon_today",
+               *[f"m_l_{s}{d}" for s in ("date_received_rank", "distance_rank", "discount_rate_rank")
+                 for d in ("", "_ascend")],
+               "c_l_total_received",
+               *[f"c_l_{s}{d}" for s in ("date_received_rank", "distance_rank", "discount_rate_rank")
+                 for d in ("", "_ascend")]]
+_ALL_H = [f for _, fs in _H_ENTITY.values() for f in fs]
+
+
+def wide_select(lf: str = "lf") -> str:
+    hcols = ",\n  ".join(f"COALESCE({f}, 0) AS {f}" if f in _H_COUNTS else f for f in _ALL_H)
+    return f"""SELECT f.user_id, f.merchant_id, f.coupon_id, f.date_received,
+  {", ".join("f." + c for c in _L_FEATURES)},
+  {hcols}
+FROM {lf} f
+LEFT JOIN uh ON f.user_id = uh.user_id
+LEFT JOIN mh ON f.merchant_id = mh.merchant_id
+LEFT JOIN ch ON f.coupon_id = ch.coupon_id
+LEFT JOIN umh ON f.user_id = umh.user_id AND f.merchant_id = umh.merchant_id"""
+
+
+def _features_base(body: str, w: Windows = SCORING) -> str:
+    return (f"WITH {RECEIPTS},\n{PARSED},\n{_lw(w)},\n{_hist(w)},\n"
+            f"{label_features_cte()},\n{history_ctes()}\n{body}")
+
+
+for _f in _L_FEATURES:
+    ORACLE[f"f_{_f}"] = _features_base(f"SELECT {LW_KEYS}, {_f} FROM lf")
+for _tbl, (_k, _fs) in _H_ENTITY.items():
+    for _f in _fs:
+        ORACLE[f"f_{_f}"] = _features_base(f"SELECT {_k}, {_f} FROM {_tbl}")
+ORACLE["features_wide"] = _features_base(wide_select())
+ORACLE["features_entity_join"] = _features_base(
+    f"SELECT l.user_id, l.merchant_id, l.coupon_id, l.date_received, "
+    + ", ".join(f"COALESCE({f}, 0) AS {f}" if f in _H_COUNTS else f
+                for t in ("uh", "mh", "ch") for f in _H_ENTITY[t][1])
+    + " FROM lw l LEFT JOIN uh ON l.user_id = uh.user_id LEFT JOIN mh ON l.merchant_id = mh.merchant_id "
+      "LEFT JOIN ch ON l.coupon_id = ch.coupon_id")
+ORACLE["features_pair_join"] = _features_base(
+    f"SELECT l.user_id, l.merchant_id, l.coupon_id, l.date_received, "
+    + ", ".join(f"COALESCE({f}, 0) AS {f}" if f in _H_COUNTS else f for f in _H_ENTITY["umh"][1])
+    + " FROM lw l LEFT JOIN umh ON l.user_id = umh.user_id AND l.merchant_id = umh.merchant_id")
+ORACLE["kinds_join_back"] = _features_base(
+    f"SELECT {LW_KEYS}, m_l_howmuch_kindof_coupon, m_l_howmuch_kindof_coupon_today FROM lf")

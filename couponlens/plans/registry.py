@@ -49,21 +49,22 @@ def _receipts(spark, sf_dir):
     return S.fixture_receipts(spark, sf_dir)
 
 
-def _per_receipt(name: str, expr):
+def _per_receipt(name: str, out: str, expr):
+    """``expr`` is a factory: Columns need an active session, imports do not."""
     @query(name)
     def fn(spark, sf_dir):
-        return parsed_receipts(spark, sf_dir).select(*LW_KEYS, expr)
+        return parsed_receipts(spark, sf_dir).select(*LW_KEYS, expr().alias(out))
     return fn
 
 
-_per_receipt("coupon_type", C.is_manjian().alias("is_manjian"))
-_per_receipt("discount_value", C.discount().alias("discount"))
-_per_receipt("price_before", C.price_before().alias("price_before"))
-_per_receipt("distance_clean", C.distance().alias("distance"))
-_per_receipt("label_redeemed", C.label_redeemed(days=SCORING.redeem_days).alias("label_redeemed"))
-_per_receipt("label_rule", C.label_rule(C.discount(), SCORING.rule_cut).alias("label_rule"))
-_per_receipt("weekday", C.weekday().alias("weekday"))
-_per_receipt("redeem_lag", C.redeem_lag().alias("redeem_lag"))
+_per_receipt("coupon_type", "is_manjian", C.is_manjian)
+_per_receipt("discount_value", "discount", C.discount)
+_per_receipt("price_before", "price_before", C.price_before)
+_per_receipt("distance_clean", "distance", C.distance)
+_per_receipt("label_redeemed", "label_redeemed", lambda: C.label_redeemed(days=SCORING.redeem_days))
+_per_receipt("label_rule", "label_rule", lambda: C.label_rule(C.discount(), SCORING.rule_cut))
+_per_receipt("weekday", "weekday", C.weekday)
+_per_receipt("redeem_lag", "redeem_lag", C.redeem_lag)
 
 _LW_COLS = ["user_id", "merchant_id", "coupon_id", "discount_rate", "distance", "date_received", "date_used",
             "discount", "is_manjian", "price_before"]
@@ -130,3 +131,75 @@ def _report_long(spark, sf_dir):
 @query("sort_by_key")
 def _sort_by_key(spark, sf_dir):
     return Q.sort_by_key(Q.daily_receipts(lw(spark, sf_dir)), "date_received")
+
+
+# ---- W1..W5 ------------------------------------------------------------------
+from couponlens.operators import features as FW  # noqa: E402
+from couponlens.operators import history_features as HF  # noqa: E402
+from couponlens.operators import label_features as LF  # noqa: E402
+from couponlens.operators import ranks as R  # noqa: E402
+
+
+@query("avg_rank_desc")
+def _avg_rank_desc(spark, sf_dir):
+    return R.avg_rank(lw(spark, sf_dir).select(*LW_KEYS, "distance"), ["merchant_id"], "distance", asc=False)
+
+
+@query("avg_rank_asc")
+def _avg_rank_asc(spark, sf_dir):
+    return R.avg_rank(lw(spark, sf_dir).select(*LW_KEYS, "distance"), ["merchant_id"], "distance", asc=True)
+
+
+@query("partition_count")
+def _partition_count(spark, sf_dir):
+    return R.partition_count(lw(spark, sf_dir).select(*LW_KEYS), ["user_id", "coupon_id"])
+
+
+@query("first_last_flag")
+def _first_last_flag(spark, sf_dir):
+    return R.first_last_flag(lw(spark, sf_dir).select(*LW_KEYS), ["user_id"], "date_received")
+
+
+@query("share_of_total")
+def _share_of_total(spark, sf_dir):
+    counts = lw(spark, sf_dir).groupBy("is_manjian").agg(F.count(F.lit(1)).alias("received"))
+    return Q.share_of_total(counts, "received")
+
+
+# ---- F01..F57, J1, J2, J4 ----------------------------------------------------
+def _label_feature(name: str):
+    @query(f"f_{name}")
+    def fn(spark, sf_dir):
+        return LF.label_feature(lw(spark, sf_dir), name)
+    return fn
+
+
+def _history_feature(name: str):
+    @query(f"f_{name}")
+    def fn(spark, sf_dir):
+        return HF.history_feature(hist(spark, sf_dir), name)
+    return fn
+
+
+for _name in FW.FEATURES:
+    (_label_feature if _name in LF.LABEL_FEATURES else _history_feature)(_name)
+
+
+@query("features_wide")
+def _features_wide(spark, sf_dir):
+    return FW.features_wide(lw(spark, sf_dir), hist(spark, sf_dir))
+
+
+@query("features_entity_join")
+def _features_entity_join(spark, sf_dir):
+    return FW.entity_join(lw(spark, sf_dir), hist(spark, sf_dir))
+
+
+@query("features_pair_join")
+def _features_pair_join(spark, sf_dir):
+    return FW.pair_join(lw(spark, sf_dir), hist(spark, sf_dir))
+
+
+@query("kinds_join_back")
+def _kinds_join_back(spark, sf_dir):
+    return FW.kinds_join_back(lw(spark, sf_dir))
