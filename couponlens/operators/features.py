@@ -59,18 +59,21 @@ def _fill_counts(df: DataFrame) -> DataFrame:
     return df.withColumns({c: C.zero_fill(c) for c in df.columns if c in H.COUNTS})
 
 
-def features_wide(lw: DataFrame, hist: DataFrame) -> DataFrame:
-    """all 56 features on every label-window receipt, one row in, one row out."""
+def features_wide(lw: DataFrame, hist: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """all 56 features on every label-window receipt, one row in, one row out.
+
+    ``carry`` names extra receipt columns to keep (labels, for training).
+    """
     sums = H.pair_sums(hist)
     tu = _with_history(L.user_table(lw), H.user_features(sums), ["user_id"])
     tm = _with_history(L.merchant_table(lw), H.merchant_features(sums), ["merchant_id"])
     tc = _with_history(L.coupon_table(lw), H.coupon_features(hist), ["coupon_id"])
     tuc = _with_history(L.user_coupon_table(lw), H.pair_features(sums), ["user_id", "merchant_id"])
 
-    rows = lw.select(*KEYS, "distance", "discount", "price_before", "is_manjian")
+    rows = lw.select(*KEYS, "distance", "discount", "price_before", "is_manjian", *carry)
     for name, table, hist_cols in (("u", tu, H.ENTITIES["u"][1]), ("m", tm, H.ENTITIES["m"][1]),
                                    ("c", tc, H.ENTITIES["c"][1]), ("uc", tuc, H.ENTITIES["um"][1])):
         spec = L.TABLES[name][1]
         rows = join_back(rows, table, spec.keys, [*spec.columns, *hist_cols], spec.nullable)
     out = rows.withColumnRenamed("distance", "Distance")
-    return _fill_counts(out).select(*KEYS, *FEATURES)
+    return _fill_counts(out).select(*KEYS, *FEATURES, *carry)

@@ -189,7 +189,7 @@ def _ranks_sql(key: str, prefix: str) -> str:
 def label_features_cte(src: str = "lw", name: str = "lf") -> str:
     return f"""{name} AS (
   SELECT r.user_id, r.merchant_id, r.coupon_id, r.date_received,
-    r.discount, r.price_before, r.distance AS Distance, r.is_manjian,
+    r.discount, r.price_before, r.distance AS Distance, r.is_manjian, r.label_redeemed,
     count(*) OVER (PARTITION BY r.user_id) AS u_l_total_coupon,
     count(*) OVER (PARTITION BY r.user_id, r.coupon_id) AS u_l_this_coupon,
     count(*) OVER (PARTITION BY r.user_id, r.date_received) AS u_l_today_coupon,
@@ -281,11 +281,11 @@ _L_FEATURES = ["discount", "price_before", "Distance", "is_manjian",
 _ALL_H = [f for _, fs in _H_ENTITY.values() for f in fs]
 
 
-def wide_select(lf: str = "lf") -> str:
+def wide_select(lf: str = "lf", label: bool = False) -> str:
     hcols = ",\n  ".join(f"COALESCE({f}, 0) AS {f}" if f in _H_COUNTS else f for f in _ALL_H)
     return f"""SELECT f.user_id, f.merchant_id, f.coupon_id, f.date_received,
   {", ".join("f." + c for c in _L_FEATURES)},
-  {hcols}
+  {hcols}{", f.label_redeemed AS label" if label else ""}
 FROM {lf} f
 LEFT JOIN uh ON f.user_id = uh.user_id
 LEFT JOIN mh ON f.merchant_id = mh.merchant_id
@@ -316,3 +316,8 @@ ORACLE["features_pair_join"] = _features_base(
     + " FROM lw l LEFT JOIN umh ON l.user_id = umh.user_id AND l.merchant_id = umh.merchant_id")
 ORACLE["kinds_join_back"] = _features_base(
     f"SELECT {LW_KEYS}, m_l_howmuch_kindof_coupon, m_l_howmuch_kindof_coupon_today FROM lf")
+
+# ---- M1, S4, S5 (the rest of section 2.8 has no SQL form) --------------------
+ORACLE["train_set"] = _features_base(wide_select(label=True), TRAINING)
+ORACLE["report_sink"] = ORACLE["received_redeemed_by_weekday"]
+ORACLE["features_sink"] = ORACLE["features_wide"]

@@ -203,3 +203,98 @@ def _features_pair_join(spark, sf_dir):
 @query("kinds_join_back")
 def _kinds_join_back(spark, sf_dir):
     return FW.kinds_join_back(lw(spark, sf_dir))
+
+
+# ---- M1..M7, O2, S2..S5 ------------------------------------------------------
+import uuid  # noqa: E402
+
+from couponlens.operators import model as M  # noqa: E402
+from couponlens.plans.params import TRAINING  # noqa: E402
+from couponlens.session import shared_dir  # noqa: E402
+from couponlens.sources import importance as SI  # noqa: E402
+from couponlens.sources import sinks as SK  # noqa: E402
+
+
+def _train(spark, sf_dir):
+    return M.train_set(lw(spark, sf_dir, TRAINING), hist(spark, sf_dir, TRAINING))
+
+
+def _model(spark, sf_dir):
+    return M.fitted(spark, sf_dir.rstrip("/"), _train(spark, sf_dir))
+
+
+def _scratch(spark, what: str) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+@query("train_set")
+def _train_set(spark, sf_dir):
+    return _train(spark, sf_dir)
+
+
+@query("assemble")
+def _assemble(spark, sf_dir):
+    return M.assemble(_train(spark, sf_dir))
+
+
+@query("fit_trees")
+def _fit_trees(spark, sf_dir):
+    _, path = _model(spark, sf_dir)
+    return M.tree_summary(spark, path)
+
+
+@query("importance_splits")
+def _importance_splits(spark, sf_dir):
+    _, path = _model(spark, sf_dir)
+    return M.importance_splits(spark, path)
+
+
+@query("importance_gain")
+def _importance_gain(spark, sf_dir):
+    model, _ = _model(spark, sf_dir)
+    return M.importance_gain(spark, model)
+
+
+@query("importance_by_family")
+def _importance_by_family(spark, sf_dir):
+    return M.importance_by_family(_importance_splits(spark, sf_dir))
+
+
+@query("sort_by_importance")
+def _sort_by_importance(spark, sf_dir):
+    return M.sort_by_importance(_importance_splits(spark, sf_dir))
+
+
+@query("score")
+def _score(spark, sf_dir):
+    model, _ = _model(spark, sf_dir)
+    return M.score(model, FW.features_wide(lw(spark, sf_dir), hist(spark, sf_dir)))
+
+
+@query("importance_csv")
+def _importance_csv(spark, sf_dir):
+    path = _scratch(spark, "importance")
+    SI.write_importance(_importance_splits(spark, sf_dir), path)
+    return SI.read_importance(spark, path)
+
+
+@query("importance_sink")
+def _importance_sink(spark, sf_dir):
+    """S3 as written: the text lines of the CSV file."""
+    path = _scratch(spark, "importance")
+    SI.write_importance(_importance_splits(spark, sf_dir), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query("report_sink")
+def _report_sink(spark, sf_dir):
+    path = _scratch(spark, "report")
+    SK.write_report(Q.received_redeemed_by_weekday(lw(spark, sf_dir)), path)
+    return SK.read_report(spark, path)
+
+
+@query("features_sink")
+def _features_sink(spark, sf_dir):
+    path = _scratch(spark, "features")
+    SK.write_features(FW.features_wide(lw(spark, sf_dir), hist(spark, sf_dir)), path)
+    return SK.read_features(spark, path).select(*FW.KEYS, *FW.FEATURES)
