@@ -30,10 +30,10 @@ def _with_history(table: DataFrame, hist_table: DataFrame, keys: list[str]) -> D
     return table.join(hist_table, keys, "left")
 
 
-def entity_join(lw: DataFrame, hist: DataFrame) -> DataFrame:
+def entity_join(lw: DataFrame, hist: DataFrame, sums: DataFrame | None = None) -> DataFrame:
     """User, merchant and coupon history on each label-window receipt."""
     rows = lw.select(*KEYS)
-    sums = H.pair_sums(hist)
+    sums = H.pair_sums(hist) if sums is None else sums
     for e, table in (("u", H.user_features(sums)), ("m", H.merchant_features(sums)),
                      ("c", H.coupon_features(hist))):
         keys, cols = H.ENTITIES[e]
@@ -41,10 +41,11 @@ def entity_join(lw: DataFrame, hist: DataFrame) -> DataFrame:
     return _fill_counts(rows)
 
 
-def pair_join(lw: DataFrame, hist: DataFrame) -> DataFrame:
+def pair_join(lw: DataFrame, hist: DataFrame, sums: DataFrame | None = None) -> DataFrame:
     """User x merchant history on each label-window receipt."""
     keys, cols = H.ENTITIES["um"]
-    rows = join_back(lw.select(*KEYS), H.pair_features(H.pair_sums(hist)), keys, cols)
+    sums = H.pair_sums(hist) if sums is None else sums
+    rows = join_back(lw.select(*KEYS), H.pair_features(sums), keys, cols)
     return _fill_counts(rows)
 
 
@@ -59,12 +60,14 @@ def _fill_counts(df: DataFrame) -> DataFrame:
     return df.withColumns({c: C.zero_fill(c) for c in df.columns if c in H.COUNTS})
 
 
-def features_wide(lw: DataFrame, hist: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def features_wide(lw: DataFrame, hist: DataFrame, carry: tuple[str, ...] = (),
+                  sums: DataFrame | None = None) -> DataFrame:
     """all 56 features on every label-window receipt, one row in, one row out.
 
-    ``carry`` names extra receipt columns to keep (labels, for training).
+    ``carry`` names extra receipt columns to keep (labels, for training);
+    ``sums`` a stored ``pair_sums(hist)`` so history is aggregated once.
     """
-    sums = H.pair_sums(hist)
+    sums = H.pair_sums(hist) if sums is None else sums
     tu = _with_history(L.user_table(lw), H.user_features(sums), ["user_id"])
     tm = _with_history(L.merchant_table(lw), H.merchant_features(sums), ["merchant_id"])
     tc = _with_history(L.coupon_table(lw), H.coupon_features(hist), ["coupon_id"])

@@ -4,6 +4,9 @@ One pre-aggregate per ``(user, merchant)`` pair carries every sum the
 user, merchant and pair features need; user and merchant features are
 roll-ups of it, so distinct merchant counts are plain counts of pairs (no
 ``Expand`` of the history rows). Coupon features are one more aggregate.
+The three consumers of the pair sums keep different columns, so Catalyst
+cannot share one exchange between them: callers that need more than one
+pass a stored copy (``plans.stage``) to read history once.
 All are partial + final hash aggregations, so a hot user or merchant
 costs one partial row per task.
 
@@ -121,14 +124,15 @@ FEATURE_ENTITY = {f: e for e, (_, fs) in ENTITIES.items() for f in fs}
 HISTORY_FEATURES = [f for _, fs in ENTITIES.values() for f in fs]
 
 
-def entity_table(hist: DataFrame, entity: str) -> DataFrame:
+def entity_table(hist: DataFrame, entity: str, sums: DataFrame | None = None) -> DataFrame:
+    """History features of one entity. ``sums``: a stored ``pair_sums(hist)``."""
     if entity == "c":
         return coupon_features(hist)
-    sums = pair_sums(hist)
+    sums = pair_sums(hist) if sums is None else sums
     return {"u": user_features, "m": merchant_features, "um": pair_features}[entity](sums)
 
 
-def history_feature(hist: DataFrame, name: str) -> DataFrame:
+def history_feature(hist: DataFrame, name: str, sums: DataFrame | None = None) -> DataFrame:
     """One feature per history entity: ``(entity keys..., name)``."""
     keys, _ = ENTITIES[FEATURE_ENTITY[name]]
-    return entity_table(hist, FEATURE_ENTITY[name]).select(*keys, name)
+    return entity_table(hist, FEATURE_ENTITY[name], sums).select(*keys, name)

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from couponlens.operators.ranks import join_back, rank_columns
+from couponlens.operators.ranks import frames, join_back, rank_columns
 
 KEYS = ["user_id", "merchant_id", "coupon_id", "date_received"]
 GRAIN = ["date_received", "distance", "discount"]
@@ -57,20 +57,24 @@ def _rank_features(entity: list[str], prefix: str) -> dict[str, Column]:
     return out
 
 
-def _total(*keys: str) -> Column:
-    return F.sum("t").over(Window.partitionBy(*keys))
+def _by_day(entity: list[str]) -> tuple[Column, Column, Window]:
+    """Receipts of the entity, of the entity that day, and the whole-entity frame.
+
+    Built on the same frames as the date rank, so they add no sort.
+    """
+    _, peers, whole = frames(entity, "date_received")
+    return F.sum("t").over(whole), F.sum("t").over(peers), whole
 
 
 def user_table(lw: DataFrame) -> DataFrame:
     u = ["user_id"]
-    by_user = Window.partitionBy("user_id")
+    total, today, whole = _by_day(u)
+    day = F.col("date_received")
     cols = {
-        "u_l_total_coupon": _total("user_id"),
-        "u_l_today_coupon": _total("user_id", "date_received"),
-        "u_l_if_is_first_received":
-            (F.col("date_received") == F.min("date_received").over(by_user)).cast("int"),
-        "u_l_if_is_last_received":
-            (F.col("date_received") == F.max("date_received").over(by_user)).cast("int"),
+        "u_l_total_coupon": total,
+        "u_l_today_coupon": today,
+        "u_l_if_is_first_received": (day == F.min(day).over(whole)).cast("int"),
+        "u_l_if_is_last_received": (day == F.max(day).over(whole)).cast("int"),
         **_rank_features(u, "u_l"),
     }
     return _grouped(lw, u).select(*u, *GRAIN, *[c.alias(n) for n, c in cols.items()])
@@ -88,9 +92,10 @@ def merchant_kinds(lw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def merchant_table(lw: DataFrame) -> DataFrame:
     m = ["merchant_id"]
+    total, today, _ = _by_day(m)
     cols = {
-        "m_l_howmuch_coupon": _total("merchant_id"),
-        "m_l_howmuch_coupon_today": _total("merchant_id", "date_received"),
+        "m_l_howmuch_coupon": total,
+        "m_l_howmuch_coupon_today": today,
         **_rank_features(m, "m_l"),
     }
     t = _grouped(lw, m).select(*m, *GRAIN, *[c.alias(n) for n, c in cols.items()])
@@ -100,14 +105,15 @@ def merchant_table(lw: DataFrame) -> DataFrame:
 
 def coupon_table(lw: DataFrame) -> DataFrame:
     c = ["coupon_id"]
-    cols = {"c_l_total_received": _total("coupon_id"), **_rank_features(c, "c_l")}
+    total, _, _ = _by_day(c)
+    cols = {"c_l_total_received": total, **_rank_features(c, "c_l")}
     return _grouped(lw, c).select(*c, *GRAIN, *[col.alias(n) for n, col in cols.items()])
 
 
 def user_coupon_table(lw: DataFrame) -> DataFrame:
     g = lw.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("t"))
     return g.select(*KEYS,
-                    _total("user_id", "coupon_id").alias("u_l_this_coupon"),
+                    F.sum("t").over(Window.partitionBy("user_id", "coupon_id")).alias("u_l_this_coupon"),
                     F.col("t").alias("u_l_today_this_coupon"))
 
 

@@ -22,21 +22,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def frames(keys: Sequence[str], value: str) -> tuple[Window, Window, Window]:
+    """Frames over ``keys`` ordered by ``value``: (up to the row, its peers, whole).
+
+    All three share partitioning and order, so every expression over them is
+    evaluated by one Window operator after one sort.
+    """
+    ordered = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last())
+    return (ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow),
+            ordered.rangeBetween(Window.currentRow, Window.currentRow),
+            ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+
+
 def rank_columns(keys: Sequence[str], value: str, t: str = "t") -> tuple[Column, Column]:
     """(asc, desc) average-tie ranks of ``value`` within ``keys`` on grouped rows.
 
     The input holds counts ``t`` per distinct ``(keys, value, ...)``: extra
-    grouping columns are allowed, the RANGE frame sums every row whose value
-    is at most the current one.
+    grouping columns are allowed, the RANGE frames sum every row whose value
+    is at most (``upto``) or equal to (``peers``) the current one.
     """
     v = F.col(value)
     counted = F.when(v.isNotNull(), F.col(t))
-    by_key = Window.partitionBy(*keys)
-    upto = Window.partitionBy(*keys).orderBy(v.asc_nulls_last()).rangeBetween(Window.unboundedPreceding, 0)
-    same = Window.partitionBy(*keys, value)
+    upto, peers, whole = frames(keys, value)
     cum = F.sum(counted).over(upto)
-    tied = F.sum(counted).over(same)
-    n = F.sum(counted).over(by_key)
+    tied = F.sum(counted).over(peers)
+    n = F.sum(counted).over(whole)
     asc = F.when(v.isNotNull(), cum - (tied - 1) / 2.0)
     desc = F.when(v.isNotNull(), n + 1 - asc)
     return asc, desc

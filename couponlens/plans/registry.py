@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from couponlens.functions import coupons as C
 from couponlens.operators import reports as Q
 from couponlens.plans.params import SCORING, Windows
+from couponlens.plans.stage import staged
 from couponlens.plans.windows import history_window, label_window
 from couponlens.sources import receipts as S
 
@@ -43,6 +44,12 @@ def hist(spark: SparkSession, sf_dir: str, w: Windows = SCORING) -> DataFrame:
     return history_window(parsed_receipts(spark, sf_dir), w)
 
 
+def sums(spark: SparkSession, sf_dir: str, w: Windows = SCORING) -> DataFrame:
+    """Pair-level history sums, aggregated once per application and cutoff."""
+    from couponlens.operators.history_features import pair_sums
+    return staged(spark, ("pairsums", sf_dir.rstrip("/"), w), lambda: pair_sums(hist(spark, sf_dir, w)))
+
+
 # ---- S1, T1..T13 -------------------------------------------------------------
 @query("receipts")
 def _receipts(spark, sf_dir):
@@ -177,7 +184,7 @@ def _label_feature(name: str):
 def _history_feature(name: str):
     @query(f"f_{name}")
     def fn(spark, sf_dir):
-        return HF.history_feature(hist(spark, sf_dir), name)
+        return HF.history_feature(hist(spark, sf_dir), name, sums(spark, sf_dir))
     return fn
 
 
@@ -187,17 +194,17 @@ for _name in FW.FEATURES:
 
 @query("features_wide")
 def _features_wide(spark, sf_dir):
-    return FW.features_wide(lw(spark, sf_dir), hist(spark, sf_dir))
+    return FW.features_wide(lw(spark, sf_dir), hist(spark, sf_dir), sums=sums(spark, sf_dir))
 
 
 @query("features_entity_join")
 def _features_entity_join(spark, sf_dir):
-    return FW.entity_join(lw(spark, sf_dir), hist(spark, sf_dir))
+    return FW.entity_join(lw(spark, sf_dir), hist(spark, sf_dir), sums(spark, sf_dir))
 
 
 @query("features_pair_join")
 def _features_pair_join(spark, sf_dir):
-    return FW.pair_join(lw(spark, sf_dir), hist(spark, sf_dir))
+    return FW.pair_join(lw(spark, sf_dir), hist(spark, sf_dir), sums(spark, sf_dir))
 
 
 @query("kinds_join_back")
@@ -216,11 +223,13 @@ from couponlens.sources import sinks as SK  # noqa: E402
 
 
 def _train(spark, sf_dir):
-    return M.train_set(lw(spark, sf_dir, TRAINING), hist(spark, sf_dir, TRAINING))
+    return M.train_set(lw(spark, sf_dir, TRAINING), hist(spark, sf_dir, TRAINING), sums(spark, sf_dir, TRAINING))
 
 
 def _model(spark, sf_dir):
-    return M.fitted(spark, sf_dir.rstrip("/"), _train(spark, sf_dir))
+    """The model is fitted on a stored copy of the training table."""
+    train = staged(spark, ("trainset", sf_dir.rstrip("/")), lambda: _train(spark, sf_dir))
+    return M.fitted(spark, sf_dir.rstrip("/"), train)
 
 
 def _scratch(spark, what: str) -> str:
@@ -268,7 +277,7 @@ def _sort_by_importance(spark, sf_dir):
 @query("score")
 def _score(spark, sf_dir):
     model, _ = _model(spark, sf_dir)
-    return M.score(model, FW.features_wide(lw(spark, sf_dir), hist(spark, sf_dir)))
+    return M.score(model, _features_wide(spark, sf_dir))
 
 
 @query("importance_csv")
@@ -296,5 +305,5 @@ def _report_sink(spark, sf_dir):
 @query("features_sink")
 def _features_sink(spark, sf_dir):
     path = _scratch(spark, "features")
-    SK.write_features(FW.features_wide(lw(spark, sf_dir), hist(spark, sf_dir)), path)
+    SK.write_features(_features_wide(spark, sf_dir), path)
     return SK.read_features(spark, path).select(*FW.KEYS, *FW.FEATURES)

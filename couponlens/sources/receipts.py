@@ -9,15 +9,12 @@ TPC-H-like tables by the mapping of FIXTURES.md.
 
 from __future__ import annotations
 
-import threading
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from couponlens.functions import coupons as C
-from couponlens.session import shared_dir
+from couponlens.plans.stage import staged
 
 RECEIPT_SCHEMA = T.StructType([
     T.StructField("user_id", T.LongType(), False),
@@ -114,28 +111,15 @@ def write_receipts(df: DataFrame, path: str) -> None:
        .write.mode("overwrite").partitionBy("date_received").parquet(path))
 
 
-_staged: dict[tuple[str, str], DataFrame] = {}
-_lock = threading.Lock()
-
-
 def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The receipt table for ``sf_dir``, derived once per application.
 
     The derivation is written to the session's shared folder and read back,
     which cuts the join lineage (an executor lost later re-reads files, it
-    does not redo the joins) and lets date filters prune directories.
+    does not redo the joins) and lets date filters prune day folders.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    with _lock:
-        df = _staged.get(key)
-        if df is None or df.sparkSession is not spark:
-            path = f"{shared_dir(spark).rstrip('/')}/receipts-{uuid.uuid4().hex}"
-            write_receipts(fixture_receipts(spark, sf_dir), path)
-            # Keep the DataFrame, not just the path: its file index (the
-            # listing of the day folders) is then built once.
-            df = read_receipts(spark, path)
-            _staged[key] = df
-    return df
+    return staged(spark, ("receipts", sf_dir.rstrip("/")), lambda: fixture_receipts(spark, sf_dir),
+                  write_receipts, read_receipts)
 
 
 def parsed(rec: DataFrame) -> DataFrame:
