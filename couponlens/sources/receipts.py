@@ -60,11 +60,19 @@ def fixture_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = od.join(cu, od.o_custkey == cu.c_custkey)
     rows = li.join(orders, li.l_orderkey == orders.o_orderkey).join(su, li.l_suppkey == su.s_suppkey)
 
+    # The order date is stored as a wall-clock timestamp. Read as
+    # TIMESTAMP_NTZ its date needs no zone; read as TIMESTAMP (a session
+    # without NTZ inference) the stored micros are taken as UTC days, so the
+    # date never depends on the session time zone.
+    if isinstance(od.schema["o_orderdate"].dataType, T.TimestampType):
+        order_day = F.date_from_unix_date(F.floor(F.unix_micros("o_orderdate") / 86_400_000_000).cast("int"))
+    else:
+        order_day = F.to_date("o_orderdate")
     coupon = F.col("l_suppkey") * FIXTURE_COUPONS_PER_MERCHANT + F.col("l_partkey") % FIXTURE_COUPONS_PER_MERCHANT
     rates = F.array(*[F.lit(r) for r in FIXTURE_RATES])
     received = F.date_add(
         F.lit(FIXTURE_FOLD_START).cast("date"),
-        (F.datediff(F.to_date("o_orderdate"), F.lit(FIXTURE_DAY_ZERO).cast("date")) % FIXTURE_FOLD_DAYS).cast("int"))
+        (F.datediff(order_day, F.lit(FIXTURE_DAY_ZERO).cast("date")) % FIXTURE_FOLD_DAYS).cast("int"))
     dist = F.when(F.col("l_linenumber") != FIXTURE_NO_DISTANCE_LINE,
                   F.least(F.abs(F.col("c_nationkey") - F.col("s_nationkey")), F.lit(FIXTURE_MAX_DISTANCE)))
     redeemed = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
