@@ -321,3 +321,9 @@ ORACLE["kinds_join_back"] = _features_base(
 ORACLE["train_set"] = _features_base(wide_select(label=True), TRAINING)
 ORACLE["report_sink"] = ORACLE["received_redeemed_by_weekday"]
 ORACLE["features_sink"] = ORACLE["features_wide"]
+
+
+def features_over(receipts_view: str, w: Windows = SCORING) -> str:
+    """F57 over any receipts table (a view with the receipt schema), for tests."""
+    return (f"WITH receipts AS (SELECT * FROM {receipts_view}),\n{PARSED},\n{_lw(w)},\n{_hist(w)},\n"
+            f"{label_features_cte()},\n{history_ctes()}\n{wide_select()}")

@@ -194,7 +194,9 @@ for _name in FW.FEATURES:
 
 @query("features_wide")
 def _features_wide(spark, sf_dir):
-    return FW.features_wide(lw(spark, sf_dir), hist(spark, sf_dir), sums=sums(spark, sf_dir))
+    """F57, written once per application: scoring and the sink read the stored table."""
+    return staged(spark, ("features", sf_dir.rstrip("/"), SCORING),
+                  lambda: FW.features_wide(lw(spark, sf_dir), hist(spark, sf_dir), sums=sums(spark, sf_dir)))
 
 
 @query("features_entity_join")
@@ -223,13 +225,13 @@ from couponlens.sources import sinks as SK  # noqa: E402
 
 
 def _train(spark, sf_dir):
-    return M.train_set(lw(spark, sf_dir, TRAINING), hist(spark, sf_dir, TRAINING), sums(spark, sf_dir, TRAINING))
+    """M1, written once per application; the fit reads the stored table."""
+    return staged(spark, ("trainset", sf_dir.rstrip("/"), TRAINING), lambda: M.train_set(
+        lw(spark, sf_dir, TRAINING), hist(spark, sf_dir, TRAINING), sums(spark, sf_dir, TRAINING)))
 
 
 def _model(spark, sf_dir):
-    """The model is fitted on a stored copy of the training table."""
-    train = staged(spark, ("trainset", sf_dir.rstrip("/")), lambda: _train(spark, sf_dir))
-    return M.fitted(spark, sf_dir.rstrip("/"), train)
+    return M.fitted(spark, sf_dir.rstrip("/"), _train(spark, sf_dir))
 
 
 def _scratch(spark, what: str) -> str:
