@@ -18,12 +18,12 @@ from couponlens.operators import history_features as H
 from couponlens.operators import label_features as L
 from couponlens.operators.ranks import join_back
 
+from couponlens.operators.feature_names import FEATURE_NAMES
+
 KEYS = L.KEYS
-FEATURES = [
-    *L.RAW, *H.ENTITIES["m"][1], *H.ENTITIES["c"][1], *H.ENTITIES["u"][1], *H.ENTITIES["um"][1],
-    *L.TABLES["u"][1].columns, *L.TABLES["uc"][1].columns, *L.TABLES["m"][1].columns, *L.TABLES["c"][1].columns,
-]
-assert len(FEATURES) == 56 and len(set(FEATURES)) == 56
+FEATURES = FEATURE_NAMES
+# Every published name is built by exactly one operator.
+assert sorted(FEATURES) == sorted([*L.LABEL_FEATURES, *H.HISTORY_FEATURES])
 
 
 def _with_history(table: DataFrame, hist_table: DataFrame, keys: list[str]) -> DataFrame:

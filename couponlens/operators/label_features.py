@@ -30,8 +30,33 @@ KEYS = ["user_id", "merchant_id", "coupon_id", "date_received"]
 GRAIN = ["date_received", "distance", "discount"]
 NULLABLE = ["distance", "discount"]
 
-# Rank targets and the name stem each gets in a feature name.
-RANKED = {"date_received": "date_received_rank", "distance": "distance_rank", "discount": "discount_rate_rank"}
+# Rank features of each entity: feature -> (ranked column, ascending).
+RANKS = {
+    "u": {
+        "u_l_date_received_rank": ("date_received", False),
+        "u_l_date_received_rank_ascend": ("date_received", True),
+        "u_l_distance_rank": ("distance", False),
+        "u_l_distance_rank_ascend": ("distance", True),
+        "u_l_discount_rate_rank": ("discount", False),
+        "u_l_discount_rate_rank_ascend": ("discount", True),
+    },
+    "m": {
+        "m_l_date_received_rank": ("date_received", False),
+        "m_l_date_received_rank_ascend": ("date_received", True),
+        "m_l_distance_rank": ("distance", False),
+        "m_l_distance_rank_ascend": ("distance", True),
+        "m_l_discount_rate_rank": ("discount", False),
+        "m_l_discount_rate_rank_ascend": ("discount", True),
+    },
+    "c": {
+        "c_l_date_received_rank": ("date_received", False),
+        "c_l_date_received_rank_ascend": ("date_received", True),
+        "c_l_distance_rank": ("distance", False),
+        "c_l_distance_rank_ascend": ("distance", True),
+        "c_l_discount_rate_rank": ("discount", False),
+        "c_l_discount_rate_rank_ascend": ("discount", True),
+    },
+}
 
 # Raw features: output name -> source column.
 RAW = {"discount": "discount", "price_before": "price_before", "Distance": "distance", "is_manjian": "is_manjian"}
@@ -48,13 +73,9 @@ def _grouped(lw: DataFrame, entity: list[str]) -> DataFrame:
     return lw.groupBy(*entity, *GRAIN).agg(F.count(F.lit(1)).alias("t"))
 
 
-def _rank_features(entity: list[str], prefix: str) -> dict[str, Column]:
-    out = {}
-    for value, stem in RANKED.items():
-        asc, desc = rank_columns(entity, value)
-        out[f"{prefix}_{stem}"] = desc
-        out[f"{prefix}_{stem}_ascend"] = asc
-    return out
+def _rank_features(entity: list[str], ranks: dict[str, tuple[str, bool]]) -> dict[str, Column]:
+    by_value = {v: rank_columns(entity, v) for v, _ in ranks.values()}
+    return {name: by_value[v][0 if asc else 1] for name, (v, asc) in ranks.items()}
 
 
 def _by_day(entity: list[str]) -> tuple[Column, Column, Window]:
@@ -75,7 +96,7 @@ def user_table(lw: DataFrame) -> DataFrame:
         "u_l_today_coupon": today,
         "u_l_if_is_first_received": (day == F.min(day).over(whole)).cast("int"),
         "u_l_if_is_last_received": (day == F.max(day).over(whole)).cast("int"),
-        **_rank_features(u, "u_l"),
+        **_rank_features(u, RANKS["u"]),
     }
     return _grouped(lw, u).select(*u, *GRAIN, *[c.alias(n) for n, c in cols.items()])
 
@@ -96,7 +117,7 @@ def merchant_table(lw: DataFrame) -> DataFrame:
     cols = {
         "m_l_howmuch_coupon": total,
         "m_l_howmuch_coupon_today": today,
-        **_rank_features(m, "m_l"),
+        **_rank_features(m, RANKS["m"]),
     }
     t = _grouped(lw, m).select(*m, *GRAIN, *[c.alias(n) for n, c in cols.items()])
     overall, per_day = merchant_kinds(lw)
@@ -106,7 +127,7 @@ def merchant_table(lw: DataFrame) -> DataFrame:
 def coupon_table(lw: DataFrame) -> DataFrame:
     c = ["coupon_id"]
     total, _, _ = _by_day(c)
-    cols = {"c_l_total_received": total, **_rank_features(c, "c_l")}
+    cols = {"c_l_total_received": total, **_rank_features(c, RANKS["c"])}
     return _grouped(lw, c).select(*c, *GRAIN, *[col.alias(n) for n, col in cols.items()])
 
 
@@ -117,11 +138,10 @@ def user_coupon_table(lw: DataFrame) -> DataFrame:
                     F.col("t").alias("u_l_today_this_coupon"))
 
 
-_U = ["u_l_total_coupon", "u_l_today_coupon", "u_l_if_is_first_received", "u_l_if_is_last_received",
-      *[f"u_l_{s}{d}" for s in RANKED.values() for d in ("", "_ascend")]]
+_U = ["u_l_total_coupon", "u_l_today_coupon", "u_l_if_is_first_received", "u_l_if_is_last_received", *RANKS["u"]]
 _M = ["m_l_howmuch_coupon", "m_l_howmuch_coupon_today", "m_l_howmuch_kindof_coupon",
-      "m_l_howmuch_kindof_coupon_today", *[f"m_l_{s}{d}" for s in RANKED.values() for d in ("", "_ascend")]]
-_C = ["c_l_total_received", *[f"c_l_{s}{d}" for s in RANKED.values() for d in ("", "_ascend")]]
+      "m_l_howmuch_kindof_coupon_today", *RANKS["m"]]
+_C = ["c_l_total_received", *RANKS["c"]]
 _UC = ["u_l_this_coupon", "u_l_today_this_coupon"]
 
 TABLES = {

@@ -174,16 +174,26 @@ ORACLE["share_of_total"] = ORACLE["coupon_type_share"]
 
 
 # ---- features ----------------------------------------------------------------
-def _rank_sql(key: str, v: str, name: str) -> str:
+def _rank_sql(key: str, v: str, desc_name: str, asc_name: str) -> str:
     tie = f"(count(*) OVER (PARTITION BY {key}, {v}) - 1) / 2.0e0"
-    return (f"CASE WHEN {v} IS NOT NULL THEN rank() OVER (PARTITION BY {key} ORDER BY {v} DESC NULLS LAST) + {tie} END AS {name},\n"
-            f"    CASE WHEN {v} IS NOT NULL THEN rank() OVER (PARTITION BY {key} ORDER BY {v} ASC NULLS LAST) + {tie} END AS {name}_ascend")
+    return (f"CASE WHEN {v} IS NOT NULL THEN rank() OVER (PARTITION BY {key} ORDER BY {v} DESC NULLS LAST) + {tie} END AS {desc_name},\n"
+            f"    CASE WHEN {v} IS NOT NULL THEN rank() OVER (PARTITION BY {key} ORDER BY {v} ASC NULLS LAST) + {tie} END AS {asc_name}")
 
 
-def _ranks_sql(key: str, prefix: str) -> str:
-    return ",\n    ".join(_rank_sql(key, f"r.{v}", f"{prefix}_{stem}") for v, stem in
-                          (("date_received", "date_received_rank"), ("distance", "distance_rank"),
-                           ("discount", "discount_rate_rank")))
+def _ranks_sql(key: str, names: list[tuple[str, str, str]]) -> str:
+    """``names``: (ranked column, descending feature, ascending feature)."""
+    return ",\n    ".join(_rank_sql(key, f"r.{v}", d, a) for v, d, a in names)
+
+
+_U_RANKS = [("date_received", "u_l_date_received_rank", "u_l_date_received_rank_ascend"),
+            ("distance", "u_l_distance_rank", "u_l_distance_rank_ascend"),
+            ("discount", "u_l_discount_rate_rank", "u_l_discount_rate_rank_ascend")]
+_M_RANKS = [("date_received", "m_l_date_received_rank", "m_l_date_received_rank_ascend"),
+            ("distance", "m_l_distance_rank", "m_l_distance_rank_ascend"),
+            ("discount", "m_l_discount_rate_rank", "m_l_discount_rate_rank_ascend")]
+_C_RANKS = [("date_received", "c_l_date_received_rank", "c_l_date_received_rank_ascend"),
+            ("distance", "c_l_distance_rank", "c_l_distance_rank_ascend"),
+            ("discount", "c_l_discount_rate_rank", "c_l_discount_rate_rank_ascend")]
 
 
 def label_features_cte(src: str = "lw", name: str = "lf") -> str:
@@ -196,14 +206,14 @@ def label_features_cte(src: str = "lw", name: str = "lf") -> str:
     count(*) OVER (PARTITION BY r.user_id, r.coupon_id, r.date_received) AS u_l_today_this_coupon,
     CAST(r.date_received = min(r.date_received) OVER (PARTITION BY r.user_id) AS INTEGER) AS u_l_if_is_first_received,
     CAST(r.date_received = max(r.date_received) OVER (PARTITION BY r.user_id) AS INTEGER) AS u_l_if_is_last_received,
-    {_ranks_sql("r.user_id", "u_l")},
+    {_ranks_sql("r.user_id", _U_RANKS)},
     count(*) OVER (PARTITION BY r.merchant_id) AS m_l_howmuch_coupon,
     count(*) OVER (PARTITION BY r.merchant_id, r.date_received) AS m_l_howmuch_coupon_today,
     k.kinds AS m_l_howmuch_kindof_coupon,
     kd.kinds AS m_l_howmuch_kindof_coupon_today,
-    {_ranks_sql("r.merchant_id", "m_l")},
+    {_ranks_sql("r.merchant_id", _M_RANKS)},
     count(*) OVER (PARTITION BY r.coupon_id) AS c_l_total_received,
-    {_ranks_sql("r.coupon_id", "c_l")}
+    {_ranks_sql("r.coupon_id", _C_RANKS)}
   FROM {src} r
   LEFT JOIN (SELECT merchant_id, count(DISTINCT coupon_id) AS kinds FROM {src} GROUP BY merchant_id) k
     ON r.merchant_id = k.merchant_id
@@ -269,15 +279,12 @@ _H_COUNTS = {"u_h_total_coupon", "u_h_used", "u_h_not_use", "u_h_howmuch_merchan
 _L_FEATURES = ["discount", "price_before", "Distance", "is_manjian",
                "u_l_total_coupon", "u_l_this_coupon", "u_l_today_coupon", "u_l_today_this_coupon",
                "u_l_if_is_first_received", "u_l_if_is_last_received",
-               *[f"{p}_{s}{d}" for p in ("u_l",) for s in ("date_received_rank", "distance_rank", "discount_rate_rank")
-                 for d in ("", "_ascend")],
+               *[n for _, d, a in _U_RANKS for n in (d, a)],
                "m_l_howmuch_coupon", "m_l_howmuch_coupon_today", "m_l_howmuch_kindof_coupon",
                "m_l_howmuch_kindof_coupon_today",
-               *[f"m_l_{s}{d}" for s in ("date_received_rank", "distance_rank", "discount_rate_rank")
-                 for d in ("", "_ascend")],
+               *[n for _, d, a in _M_RANKS for n in (d, a)],
                "c_l_total_received",
-               *[f"c_l_{s}{d}" for s in ("date_received_rank", "distance_rank", "discount_rate_rank")
-                 for d in ("", "_ascend")]]
+               *[n for _, d, a in _C_RANKS for n in (d, a)]]
 _ALL_H = [f for _, fs in _H_ENTITY.values() for f in fs]
 
 
