@@ -14,7 +14,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -34,12 +33,11 @@ def main() -> None:
     from couponlens.plans.registry import QUERIES
     from couponlens.sources import receipts as S
 
-    scratch = tempfile.mkdtemp(prefix="couponlens-bench-")
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(cpus, 8), extra={
         "spark.driver.memory": "16g",
-        "spark.checkpoint.dir": scratch,
-        "spark.local.dir": scratch,
     })
+    # Written tables go to the session's spark.checkpoint.dir; only a
+    # session without one gets a fresh scratch folder (couponlens.shared_dir).
 
     # Warm the JVM on the smoke tables so start-up cost is not charged to a query.
     smoke = "/root/testdata/sf0.001"
