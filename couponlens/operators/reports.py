@@ -1,9 +1,13 @@
 """Campaign reports (Q1..Q11, J3): one row per key, key and value together.
 
-Every report is a single grouped aggregate over the label window: partial
-aggregation runs before the shuffle, so a hot day or rate costs one
-partial row per task, and the shuffled data is bounded by the number of
-keys. Shares are computed on the aggregated rows only (W5).
+Every report is an additive count over a few dimensions of the label
+window, so each one accepts *weighted rows*: raw receipts (weight 1) or
+the report cube, the window counted once per combination of report
+dimensions (``report_cube``). The cube's size is bounded by the value
+domains (days x distances x rates x 2 x 2 x 2), not by the data, so one
+scan of the window feeds every report. Aggregation is partial + final:
+a hot day or rate costs one partial row per task. Shares are computed on
+aggregated rows only (W5).
 """
 
 from __future__ import annotations
@@ -14,17 +18,34 @@ from pyspark.sql import functions as F
 from couponlens.functions import coupons as C
 
 LABEL = "label_rule"
+WEIGHT = "weight"
+DIMENSIONS = ["date_received", "distance", "discount", "is_manjian", "label_rule", "label_redeemed"]
 
 
-def _counts(df: DataFrame, key: str, label: str = LABEL) -> DataFrame:
-    return df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("received"),
-        F.sum(label).cast("long").alias("redeemed"))
+def report_cube(lw: DataFrame) -> DataFrame:
+    """Label-window receipts counted per combination of report dimensions."""
+    return lw.groupBy(*DIMENSIONS).agg(F.count(F.lit(1)).alias(WEIGHT))
+
+
+def _weighted(df: DataFrame) -> DataFrame:
+    return df if WEIGHT in df.columns else df.withColumn(WEIGHT, F.lit(1).cast("long"))
+
+
+def _n() -> F.Column:
+    return F.sum(WEIGHT).cast("long")
+
+
+def _positives(label: str) -> F.Column:
+    return F.sum(F.col(WEIGHT) * F.col(label)).cast("long")
+
+
+def _counts(df: DataFrame, key, label: str = LABEL) -> DataFrame:
+    return _weighted(df).groupBy(key).agg(_n().alias("received"), _positives(label).alias("redeemed"))
 
 
 def daily_receipts(lw: DataFrame) -> DataFrame:
     """Q1: receipts per day."""
-    return lw.groupBy("date_received").agg(F.count(F.lit(1)).alias("received"))
+    return _weighted(lw).groupBy("date_received").agg(_n().alias("received"))
 
 
 def peak_receipt_day(lw: DataFrame) -> DataFrame:
@@ -39,8 +60,7 @@ def peak_receipt_day(lw: DataFrame) -> DataFrame:
 
 def receipts_by_distance(lw: DataFrame) -> DataFrame:
     """Q3: receipts per distance; receipts without a distance are left out."""
-    return (with_distance(lw).groupBy("distance")
-            .agg(F.count(F.lit(1)).alias("received")))
+    return _weighted(with_distance(lw)).groupBy("distance").agg(_n().alias("received"))
 
 
 def redeem_rate_by_distance(lw: DataFrame, label: str = LABEL) -> DataFrame:
@@ -56,7 +76,13 @@ def received_redeemed_by_rate(lw: DataFrame, label: str = LABEL) -> DataFrame:
 
 def received_redeemed_by_weekday(lw: DataFrame, label: str = LABEL) -> DataFrame:
     """Q6: received and redeemed per ISO weekday."""
-    return _counts(lw.withColumn("weekday", C.weekday("date_received")), "weekday", label)
+    return _counts(lw, C.weekday("date_received").alias("weekday"), label)
+
+
+def redeemed_by_weekday(lw: DataFrame, label: str = "label_redeemed") -> DataFrame:
+    """T12 example: the redemption ratio per ISO weekday."""
+    return (_counts(lw, C.weekday("date_received").alias("weekday"), label)
+            .withColumn("rate", C.ratio("redeemed", "received")))
 
 
 def share_of_total(counts: DataFrame, n: str) -> DataFrame:
@@ -70,20 +96,20 @@ def share_of_total(counts: DataFrame, n: str) -> DataFrame:
 
 def coupon_type_share(lw: DataFrame) -> DataFrame:
     """Q7: share of full-reduction and direct-rate coupons among receipts."""
-    counts = lw.groupBy("is_manjian").agg(F.count(F.lit(1)).alias("received"))
+    counts = _weighted(lw).groupBy("is_manjian").agg(_n().alias("received"))
     return share_of_total(counts, "received")
 
 
 def redeemed_type_share(lw: DataFrame, label: str = LABEL) -> DataFrame:
     """Q8: the same share among positives."""
-    counts = (lw.where(F.col(label) == 1).groupBy("is_manjian")
-              .agg(F.count(F.lit(1)).alias("redeemed")))
+    counts = (_weighted(lw).where(F.col(label) == 1).groupBy("is_manjian")
+              .agg(_n().alias("redeemed")))
     return share_of_total(counts, "redeemed")
 
 
 def label_share(lw: DataFrame, label: str = LABEL) -> DataFrame:
     """Q9: share of positives and negatives, keyed by the label value."""
-    counts = lw.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    counts = _weighted(lw).groupBy(F.col(label).alias("label")).agg(_n().alias("n"))
     return share_of_total(counts, "n")
 
 
@@ -95,21 +121,27 @@ def report_long(report: DataFrame, key: str, series: list[str]) -> DataFrame:
 
 def missing_distance(lw: DataFrame, label: str = LABEL) -> DataFrame:
     """Q11: receipts and positives that have no distance."""
-    return lw.where(F.col("distance").isNull()).agg(
-        F.count(F.lit(1)).alias("received"),
-        F.coalesce(F.sum(label).cast("long"), F.lit(0).cast("long")).alias("redeemed"))
+    zero = F.lit(0).cast("long")
+    return _weighted(lw).where(F.col("distance").isNull()).agg(
+        F.coalesce(_n(), zero).alias("received"), F.coalesce(_positives(label), zero).alias("redeemed"))
 
 
-def received_left_join_redeemed(lw: DataFrame, label: str = LABEL) -> DataFrame:
-    """Per-rate receipts left-joined to per-rate positives, 0-filled.
+def left_join_zero_filled(lw: DataFrame, key: str, label: str = LABEL) -> DataFrame:
+    """Per-key receipts left-joined to per-key positives, 0-filled.
 
     Both sides are aggregated before the join, so the join sees one row per
-    rate on each side; the result must equal Q5.
+    key on each side.
     """
-    rec = lw.groupBy("discount").agg(F.count(F.lit(1)).alias("received"))
-    red = lw.where(F.col(label) == 1).groupBy("discount").agg(F.count(F.lit(1)).alias("redeemed"))
-    return (rec.join(red, "discount", "left")
-            .select("discount", "received", C.zero_fill("redeemed").alias("redeemed")))
+    w = _weighted(lw)
+    rec = w.groupBy(key).agg(_n().alias("received"))
+    red = w.where(F.col(label) == 1).groupBy(key).agg(_n().alias("redeemed"))
+    return (rec.join(red, key, "left")
+            .select(key, "received", C.zero_fill("redeemed").alias("redeemed")))
+
+
+def received_left_join_redeemed(lw: DataFrame, label: str = LABEL) -> DataFrame:
+    """Per-rate receipts left-joined to per-rate positives; must equal Q5."""
+    return left_join_zero_filled(lw, "discount", label)
 
 
 def with_distance(lw: DataFrame) -> DataFrame:

@@ -44,6 +44,15 @@ def hist(spark: SparkSession, sf_dir: str, w: Windows = SCORING) -> DataFrame:
     return history_window(parsed_receipts(spark, sf_dir), w)
 
 
+def cube(spark: SparkSession, sf_dir: str, w: Windows = SCORING) -> DataFrame:
+    """The label window counted per report dimensions, built once per application.
+
+    Its size is bounded by the value domains, so every report reads a few
+    thousand rows instead of scanning the window again.
+    """
+    return staged(spark, ("cube", sf_dir.rstrip("/"), w), lambda: Q.report_cube(lw(spark, sf_dir, w)))
+
+
 def sums(spark: SparkSession, sf_dir: str, w: Windows = SCORING) -> DataFrame:
     """Pair-level history sums, aggregated once per application and cutoff."""
     from couponlens.operators.history_features import pair_sums
@@ -94,26 +103,19 @@ def _with_distance(spark, sf_dir):
 
 @query("ratio")
 def _ratio(spark, sf_dir):
-    counts = (lw(spark, sf_dir).groupBy(C.weekday().alias("weekday"))
-              .agg(F.count(F.lit(1)).alias("received"), F.sum("label_redeemed").cast("long").alias("redeemed")))
-    return counts.withColumn("rate", C.ratio("redeemed", "received"))
+    return Q.redeemed_by_weekday(cube(spark, sf_dir), "label_redeemed")
 
 
 @query("zero_fill")
 def _zero_fill(spark, sf_dir):
-    l = lw(spark, sf_dir)
-    rec = l.groupBy("date_received").agg(F.count(F.lit(1)).alias("received"))
-    red = (l.where(F.col("label_redeemed") == 1).groupBy("date_received")
-           .agg(F.count(F.lit(1)).alias("redeemed")))
-    return (rec.join(red, "date_received", "left")
-            .select("date_received", "received", C.zero_fill("redeemed").alias("redeemed")))
+    return Q.left_join_zero_filled(cube(spark, sf_dir), "date_received", "label_redeemed")
 
 
 # ---- Q1..Q11, J3, O1 ---------------------------------------------------------
 def _report(name: str, fn):
     @query(name)
     def run(spark, sf_dir):
-        return fn(lw(spark, sf_dir))
+        return fn(cube(spark, sf_dir))
     return run
 
 
@@ -132,12 +134,12 @@ _report("received_left_join_redeemed", Q.received_left_join_redeemed)
 
 @query("report_long")
 def _report_long(spark, sf_dir):
-    return Q.report_long(Q.received_redeemed_by_weekday(lw(spark, sf_dir)), "weekday", ["received", "redeemed"])
+    return Q.report_long(Q.received_redeemed_by_weekday(cube(spark, sf_dir)), "weekday", ["received", "redeemed"])
 
 
 @query("sort_by_key")
 def _sort_by_key(spark, sf_dir):
-    return Q.sort_by_key(Q.daily_receipts(lw(spark, sf_dir)), "date_received")
+    return Q.sort_by_key(Q.daily_receipts(cube(spark, sf_dir)), "date_received")
 
 
 # ---- W1..W5 ------------------------------------------------------------------
@@ -169,7 +171,7 @@ def _first_last_flag(spark, sf_dir):
 
 @query("share_of_total")
 def _share_of_total(spark, sf_dir):
-    counts = lw(spark, sf_dir).groupBy("is_manjian").agg(F.count(F.lit(1)).alias("received"))
+    counts = cube(spark, sf_dir).groupBy("is_manjian").agg(F.sum("weight").cast("long").alias("received"))
     return Q.share_of_total(counts, "received")
 
 
@@ -300,7 +302,7 @@ def _importance_sink(spark, sf_dir):
 @query("report_sink")
 def _report_sink(spark, sf_dir):
     path = _scratch(spark, "report")
-    SK.write_report(Q.received_redeemed_by_weekday(lw(spark, sf_dir)), path)
+    SK.write_report(Q.received_redeemed_by_weekday(cube(spark, sf_dir)), path)
     return SK.read_report(spark, path)
 
 

@@ -1,6 +1,6 @@
 """The daily and weekday reports (Q1, Q6) kept current over arriving receipts.
 
-Not a new operator: the same definitions as ``operators.reports``, run by
+Not a new operator: the same functions as ``operators.reports``, run by
 Structured Streaming over a folder that receipt files land in (parquet,
 optionally in ``date_received=...`` folders). State is one row per key
 (day or weekday), so it stays small however many receipts arrive; the
@@ -10,10 +10,10 @@ checkpoint must live in the shared folder so a restarted query resumes.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from couponlens.functions import coupons as C
+from couponlens.operators import reports as Q
 from couponlens.plans.params import SCORING, Windows
+from couponlens.plans.windows import label_window
 from couponlens.sources.receipts import RECEIPT_SCHEMA, parsed
 
 
@@ -23,21 +23,14 @@ def receipt_stream(spark: SparkSession, path: str, max_files: int = 1000) -> Dat
             .parquet(path).select(*[f.name for f in RECEIPT_SCHEMA.fields]))
 
 
-def _window(rec: DataFrame, w: Windows) -> DataFrame:
-    p = parsed(rec)
-    inside = (F.col("date_received") >= F.lit(w.l_start)) & (F.col("date_received") <= F.lit(w.l_end))
-    return p.where(inside).withColumn("label_rule", C.label_rule("discount", w.rule_cut))
-
-
 def daily_receipts(rec: DataFrame, w: Windows = SCORING) -> DataFrame:
     """Q1 on a stream: receipts per day of the label window."""
-    return _window(rec, w).groupBy("date_received").agg(F.count(F.lit(1)).alias("received"))
+    return Q.daily_receipts(label_window(parsed(rec), w))
 
 
 def received_redeemed_by_weekday(rec: DataFrame, w: Windows = SCORING) -> DataFrame:
     """Q6 on a stream: received and redeemed per ISO weekday."""
-    return (_window(rec, w).groupBy(C.weekday("date_received").alias("weekday"))
-            .agg(F.count(F.lit(1)).alias("received"), F.sum("label_rule").cast("long").alias("redeemed")))
+    return Q.received_redeemed_by_weekday(label_window(parsed(rec), w))
 
 
 def run_once(report: DataFrame, sink_path: str, checkpoint: str) -> None:

@@ -43,12 +43,17 @@ def test_no_window_over_raw_receipts(spark):
 
 
 def test_reports_aggregate_before_shuffle(spark):
+    from couponlens.operators import reports as Q
+    build = _plan(Q.report_cube(R.lw(spark, SMALL)))
+    assert "partial_count" in build and "PartitionFilters: [isnotnull(date_received" in build
     plan = _plan(R.QUERIES["received_redeemed_by_weekday"](spark, SMALL))
-    assert "partial_count" in plan and "partial_sum" in plan
+    # It reads the stored cube (its weight column), not the receipts.
+    assert "partial_sum" in plan and "weight:bigint" in plan and "discount_rate" not in plan
 
 
 def test_label_window_is_pruned_and_projected(spark):
-    plan = _plan(R.QUERIES["daily_receipts"](spark, SMALL))
+    from couponlens.operators import reports as Q
+    plan = _plan(Q.daily_receipts(R.lw(spark, SMALL)))
     assert "PartitionFilters: [isnotnull(date_received" in plan
     assert "ReadSchema: struct<>" in plan or "ReadSchema: struct<discount_rate" in plan
 
