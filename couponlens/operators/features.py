@@ -11,7 +11,6 @@ right side, so the row count is preserved.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from couponlens.functions import coupons as C
 from couponlens.operators import history_features as H

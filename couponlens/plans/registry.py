@@ -7,17 +7,26 @@ work grows with the tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from couponlens.functions import coupons as C
+from couponlens.operators import features as FW
+from couponlens.operators import history_features as HF
+from couponlens.operators import label_features as LF
+from couponlens.operators import model as M
+from couponlens.operators import ranks as R
 from couponlens.operators import reports as Q
-from couponlens.plans.params import SCORING, Windows
+from couponlens.plans.params import SCORING, TRAINING, Windows
 from couponlens.plans.stage import staged
 from couponlens.plans.windows import history_window, label_window
+from couponlens.session import shared_dir
+from couponlens.sources import importance as SI
 from couponlens.sources import receipts as S
+from couponlens.sources import sinks as SK
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -55,8 +64,7 @@ def cube(spark: SparkSession, sf_dir: str, w: Windows = SCORING) -> DataFrame:
 
 def sums(spark: SparkSession, sf_dir: str, w: Windows = SCORING) -> DataFrame:
     """Pair-level history sums, aggregated once per application and cutoff."""
-    from couponlens.operators.history_features import pair_sums
-    return staged(spark, ("pairsums", sf_dir.rstrip("/"), w), lambda: pair_sums(hist(spark, sf_dir, w)))
+    return staged(spark, ("pairsums", sf_dir.rstrip("/"), w), lambda: HF.pair_sums(hist(spark, sf_dir, w)))
 
 
 # ---- S1, T1..T13 -------------------------------------------------------------
@@ -143,11 +151,6 @@ def _sort_by_key(spark, sf_dir):
 
 
 # ---- W1..W5 ------------------------------------------------------------------
-from couponlens.operators import features as FW  # noqa: E402
-from couponlens.operators import history_features as HF  # noqa: E402
-from couponlens.operators import label_features as LF  # noqa: E402
-from couponlens.operators import ranks as R  # noqa: E402
-
 
 @query("avg_rank_desc")
 def _avg_rank_desc(spark, sf_dir):
@@ -217,14 +220,6 @@ def _kinds_join_back(spark, sf_dir):
 
 
 # ---- M1..M7, O2, S2..S5 ------------------------------------------------------
-import uuid  # noqa: E402
-
-from couponlens.operators import model as M  # noqa: E402
-from couponlens.plans.params import TRAINING  # noqa: E402
-from couponlens.session import shared_dir  # noqa: E402
-from couponlens.sources import importance as SI  # noqa: E402
-from couponlens.sources import sinks as SK  # noqa: E402
-
 
 def _train(spark, sf_dir):
     """M1, written once per application; the fit reads the stored table."""
