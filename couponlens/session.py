@@ -62,3 +62,23 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="couponlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
     return sc.getCheckpointDir()
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Partition settings for a cluster run over ``input_bytes`` of receipts.
+
+    The first shuffle starts with enough partitions for each to hold about
+    ``target_partition_bytes`` of input (at least two per core), AQE then
+    coalesces small ones and splits skewed ones around the same size, and
+    scans read files in pieces of twice that size. At 100 TB on 1000
+    executors x 8 cores this gives 800k initial partitions, which AQE
+    coalesces after measuring the real (partially aggregated) sizes.
+    """
+    initial = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(max(2 * total_cores, 200)),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * target_partition_bytes),
+    }
