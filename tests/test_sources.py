@@ -54,3 +54,15 @@ def test_report_and_feature_sinks(spark):
     local = base.removeprefix("file:")
     days = sorted(d for d in os.listdir(f"{local}/feat") if d.startswith("date_received="))
     assert days == ["date_received=2016-07-01", "date_received=2016-07-02"]
+
+
+def test_dates_do_not_depend_on_session_settings(spark):
+    from pyspark.sql import types as T
+    other = spark.newSession()
+    other.conf.set("spark.sql.parquet.inferTimestampNTZ.enabled", "false")
+    other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    other.conf.set("spark.sql.ansi.enabled", "false")
+    assert isinstance(S.table(other, SMALL, "orders").schema["o_orderdate"].dataType, T.TimestampType)
+    a = S.fixture_receipts(spark, SMALL).groupBy("date_received", "date_used").count().collect()
+    b = S.fixture_receipts(other, SMALL).groupBy("date_received", "date_used").count().collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
