@@ -94,18 +94,25 @@ def read_receipts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECEIPT_SCHEMA).parquet(path).select(*RECEIPT_COLUMNS)
 
 
-def read_receipts_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """Read receipts from CSV with the fixed schema; no inference pass."""
+def read_receipts_csv(spark: SparkSession, path: str, header: bool = True,
+                      date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """Read receipts from CSV with the fixed schema; no inference pass.
+
+    Columns are taken by position in schema order. Unparseable text (such
+    as ``null``) becomes NULL; ``date_format`` is a Spark datetime pattern,
+    e.g. ``yyyyMMdd`` for compact dates.
+    """
     raw = T.StructType([T.StructField(f.name, T.StringType(), True) for f in RECEIPT_SCHEMA.fields])
     df = spark.read.schema(raw).option("header", str(header).lower()).csv(path)
+    fmt = F.lit(date_format)
     return df.select(
         F.col("user_id").try_cast("long").alias("user_id"),
         F.col("merchant_id").try_cast("long").alias("merchant_id"),
         F.col("coupon_id").try_cast("long").alias("coupon_id"),
         F.col("discount_rate"),
         C.distance("distance").alias("distance"),
-        F.to_date("date_received").alias("date_received"),
-        F.to_date("date_used").alias("date_used"))
+        F.to_date(F.try_to_timestamp("date_received", fmt)).alias("date_received"),
+        F.to_date(F.try_to_timestamp("date_used", fmt)).alias("date_used"))
 
 
 def write_receipts(df: DataFrame, path: str) -> None:
