@@ -55,3 +55,28 @@ def test_hot_keys_reports(spark):
     peak = Q.peak_receipt_day(lw).collect()
     assert [(r.date_received.isoformat(), r.received) for r in peak] == [("2016-07-09", daily["2016-07-09"])]
     assert sum(daily.values()) == lw.count()
+
+
+def test_hot_key_join_back_is_split_by_aqe(spark):
+    """One (user, day, distance, rate) key holds most of the window; AQE's
+    skew join splits its partition in the join back (thresholds lowered so
+    the effect shows at test size; broadcast off so the join is sort-merge)."""
+    s2 = spark.newSession()
+    for k, v in {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}.items():
+        s2.conf.set(k, v)
+    hot = s2.range(30000).select(
+        F.lit(7).cast("long").alias("user_id"), (F.col("id") % 97).alias("merchant_id"),
+        F.abs(F.xxhash64("id")).alias("coupon_id"), F.lit("30:5").alias("discount_rate"),
+        F.lit(2).alias("distance"), F.lit("2016-07-09").cast("date").alias("date_received"),
+        F.lit(None).cast("date").alias("date_used"))
+    rec = S.fixture_receipts(s2, SMALL).unionByName(hot)
+    p = S.parsed(rec)
+    lw = label_window(p)
+    out = FW.features_wide(lw, history_window(p))
+    assert out.count() == lw.count() == 834 + 30000
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin(skew=true) [user_id" in plan
