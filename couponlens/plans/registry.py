@@ -1,8 +1,10 @@
 """Named queries: ``name -> fn(spark, sf_dir) -> DataFrame``.
 
 Every query starts from the receipt table derived from the test tables at
-``sf_dir`` (staged once per application, see ``sources.receipts``), so its
-work grows with the tables.
+``sf_dir``, so its work grows with the tables. Tables that several queries
+share are written once per application to the session's shared folder
+(``plans.stage``): the receipts (by day), the report cube, the pair-level
+history of each cutoff, and the scoring and training feature tables.
 """
 
 from __future__ import annotations
