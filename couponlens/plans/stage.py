@@ -18,22 +18,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 from couponlens.session import shared_dir
 
-_tables: dict[tuple, DataFrame] = {}
+_paths: dict[tuple, str] = {}
+_frames: dict[tuple, DataFrame] = {}
 _lock = threading.RLock()
 
 
 def staged(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
            write: Callable[[DataFrame, str], None] | None = None,
            read: Callable[[SparkSession, str], DataFrame] | None = None) -> DataFrame:
-    """Write ``build()`` once per (application, key) and return it read back."""
-    k = (spark.sparkContext.applicationId, *key)
+    """Write ``build()`` once per (application, key) and return it read back.
+
+    The written path is shared by every session of the application; each
+    session reads it into its own DataFrame once.
+    """
+    app = spark.sparkContext.applicationId
     with _lock:
-        df = _tables.get(k)
-        if df is None or df.sparkSession is not spark:
+        df = _frames.get((app, id(spark), *key))
+        if df is not None and df.sparkSession is spark:
+            return df
+        path = _paths.get((app, *key))
+        if path is None:
             path = f"{shared_dir(spark).rstrip('/')}/{key[0]}-{uuid.uuid4().hex}"
             (write or _write_parquet)(build(), path)
-            df = (read or _read_parquet)(spark, path)
-            _tables[k] = df
+            _paths[(app, *key)] = path
+        df = (read or _read_parquet)(spark, path)
+        _frames[(app, id(spark), *key)] = df
         return df
 
 

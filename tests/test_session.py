@@ -16,3 +16,17 @@ def test_scale_conf_sizes_partitions():
     assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(128 << 20)
     small = scale_conf(10 << 20, total_cores=8)
     assert small["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "16"
+
+
+def test_stored_tables_are_shared_across_sessions(spark):
+    from couponlens.plans.stage import staged
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(5)
+    a = staged(spark, ("stage-test",), build)
+    other = spark.newSession()
+    b = staged(other, ("stage-test",), build)
+    assert len(calls) == 1 and a.count() == b.count() == 5
+    assert b.sparkSession is other
