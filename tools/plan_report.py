@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-NAMES = ["receipts", "label_window", "history_window", "daily_receipts", "peak_receipt_day",
+NAMES = ["receipts", "label_window", "history_window", "report_cube", "daily_receipts", "peak_receipt_day",
          "redeem_rate_by_distance", "received_redeemed_by_weekday", "coupon_type_share", "report_long",
          "received_left_join_redeemed", "avg_rank_desc", "partition_count", "first_last_flag",
          "f_m_l_date_received_rank", "f_u_h_used_mean_distance", "f_m_l_howmuch_kindof_coupon",
@@ -42,7 +42,7 @@ def summary(plan: str) -> list[str]:
     if aqe:
         out.append(f"- AQE shuffle reads: {', '.join(aqe)}")
     for scan in re.findall(r"FileScan parquet [^\n]*", plan):
-        loc = (re.search(r"/(receipts|pairsums|features|trainset)-", scan)
+        loc = (re.search(r"/(receipts|pairsums|features|trainset|cube)-", scan)
                or re.search(r"/(\w+)\.parquet", scan))
         pf = re.search(r"PartitionFilters: \[([^\]]*)\]", scan)
         pushed = re.search(r"PushedFilters: \[([^\]]*)\]", scan)
@@ -62,15 +62,18 @@ def main(argv):
     print(f"Generated by `tools/plan_report.py` on {sf_dir} (`local[8]`, AQE on): the final\n"
           "adaptive plan of each query after it ran. Scans of the staged receipt table\n"
           "(`receipts`) show the day folders pruned by the date filter and the columns\n"
-          "read; `pairsums` is the stored pair-level history. Join strategies are AQE's\n"
+          "read; `cube` is the stored report cube every report reads, `pairsums` the\n"
+          "stored pair-level history. Join strategies are AQE's\n"
           "choice from measured sizes: sides under the broadcast threshold are broadcast,\n"
           "larger ones sort-merge joined; on bigger inputs more joins become sort-merge.\n")
     from couponlens.operators import features as FW
     from couponlens.operators import model as M
+    from couponlens.operators import reports as Q
     from couponlens.plans import registry as R
     from couponlens.plans.params import TRAINING
     # These two queries return their stored table; report the plan that builds it.
     builders = {
+        "report_cube": lambda: Q.report_cube(R.lw(spark, sf_dir)),
         "features_wide": lambda: FW.features_wide(R.lw(spark, sf_dir), R.hist(spark, sf_dir),
                                                   sums=R.sums(spark, sf_dir)),
         "train_set": lambda: M.train_set(R.lw(spark, sf_dir, TRAINING), R.hist(spark, sf_dir, TRAINING),
