@@ -310,6 +310,7 @@ for _f in _L_FEATURES:
 for _tbl, (_k, _fs) in _H_ENTITY.items():
     for _f in _fs:
         ORACLE[f"f_{_f}"] = _features_base(f"SELECT {_k}, {_f} FROM {_tbl}")
+ORACLE["f_distance"] = ORACLE["f_Distance"]
 ORACLE["features_wide"] = _features_base(wide_select())
 ORACLE["features_entity_join"] = _features_base(
     f"SELECT l.user_id, l.merchant_id, l.coupon_id, l.date_received, "
