@@ -21,13 +21,35 @@ NAMES = ["receipts", "label_window", "history_window", "report_cube", "daily_rec
          "importance_splits", "score"]
 
 
+def _exchanges(plan: str) -> list[str]:
+    """Partitioning of every Exchange, keys without expression ids."""
+    out = []
+    for m in re.finditer(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)", plan):
+        kind, i = m.group(1), m.end()
+        if i < len(plan) and plan[i] == "(":
+            depth, j = 0, i
+            while j < len(plan):
+                depth += plan[j] == "("
+                depth -= plan[j] == ")"
+                if depth == 0:
+                    break
+                j += 1
+            keys = re.sub(r"#\d+L?", "", plan[i + 1:j])
+            keys = re.sub(r", \d+$", "", keys)  # drop the partition count
+            kind = f"{kind}({keys})"
+        out.append(kind)
+    return out
+
+
 def summary(plan: str) -> list[str]:
     plan = plan.split("== Initial Plan ==")[0]
     out = []
-    shuffles = re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)"
-                          r"\(?([^,\]]*)", plan)
-    out.append(f"- shuffles: {len(shuffles)} "
-               f"({', '.join(sorted(set(k + ('(' + c.split('#')[0] + ')' if c else '') for k, c in shuffles)))})")
+    shuffles = _exchanges(plan)
+    counts: dict[str, int] = {}
+    for sh in shuffles:
+        counts[sh] = counts.get(sh, 0) + 1
+    out.append(f"- shuffles: {len(shuffles)}")
+    out.extend(f"  - {k}{f' x{v}' if v > 1 else ''}" for k, v in sorted(counts.items()))
     joins = re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)"
                        r"[^\n]*?(Inner|LeftOuter|LeftSemi|LeftAnti|FullOuter|RightOuter)?", plan)
     if joins:
