@@ -7,10 +7,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from couponlens.llm import exact_dedup, lang_id, mixing, packing, simhash
+from couponlens.llm import ann, chat, exact_dedup, lang_id, mixing, packing, pii, sharding, simhash, url_filter
 from couponlens.llm.common import table
 
 
+#: Shards of the placement query.
+SHARDS = [f"shard-{i:03d}" for i in range(100)]
+#: Stands for the key that a deployment keeps secret.
+PII_KEY = b"replace this key in a deployment"
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Pages with a fetch time: page n was fetched n x 7919 seconds into the year 2024, going round."""
+    return pages.select("page_id", "url", F.timestamp_seconds(1704067200 + F.col("page_id") * 7919 % 31536000).alias("fetched_at"))
+
+
+def entries(pages: DataFrame) -> DataFrame:
+    """Dated list entries for the hosts of the pages, by rules on the host name.
+
+    Spam and pill hosts are on list spam for good. Of the others, by length n
+    and day n x 13 mod 300: n mod 3 = 0 puts the host on list hosts, takes it
+    off after 45 days and puts it on again after 90; n mod 4 = 0 puts the
+    host's path /en on list sections for 60 days; a blog host's parent
+    domain is on list domains from day 200.
+    """
+    hosts = pages.select(url_filter.host_of(F.col("url")).alias("host")).where("host != ''").distinct()
+    day = lambda d: F.timestamp_seconds(1704067200 + 86400 * d)
+    n = F.length("host")
+    start = n * 13 % 300
+    entry = lambda name, key, action, d: F.struct(F.lit(name).alias("list"), key.alias("key"), F.lit(action).alias("action"), day(d).alias("dated"))
+    host, path, parent = F.col("host"), F.concat("host", F.lit("/en")), F.regexp_replace("host", "^blog[.]", "")
+    rules = F.concat(
+        F.when(host.rlike("spam|pills"), F.array(entry("spam", host, "add", F.lit(0)))).otherwise(F.array()),
+        F.when(n % 3 == 0, F.array(entry("hosts", host, "add", start), entry("hosts", host, "remove", start + 45),
+                                   entry("hosts", host, "add", start + 90))).otherwise(F.array()),
+        F.when(n % 4 == 0, F.array(entry("sections", path, "add", start), entry("sections", path, "remove", start + 60))).otherwise(F.array()),
+        F.when(host.startswith("blog."), F.array(entry("domains", parent, "add", F.lit(200)))).otherwise(F.array()))
+    return hosts.select(F.explode(rules).alias("e")).select("e.*")
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.filter_captures(captures(pages), entries(pages))
+
+
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents"), PII_KEY)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return out.select("doc_id", "fingerprint", "component_id")
@@ -24,20 +68,67 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest").drop("__row")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], sharding.shard_table(spark, SHARDS))
+    return placed.select("doc_id", F.col("__slot").alias("slot"), F.col("__shard").alias("shard"))
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit(r"\### Assistant: </turn> ok")
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                    F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    return chat.read_back(chat.format_conversations(rows.unionByName(planted)))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("__row")
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return lang_id.identify(docs, lang_id.learn_from_documents(docs))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_simhash_near_dedup, op4_packing, op5_exact_dedup, op8_mixing, op10_language_id)
+    f.__name__: f for f in (
+        op1_url_filter, op2_pii_surrogates, op3_simhash_near_dedup, op4_packing, op5_exact_dedup, op6_sharding,
+        op7_chat_formatting, op8_mixing, op9_nearest_neighbours, op10_language_id)
 }
 
 ORACLE: dict[str, str] = {
+    "op1_url_filter": r"""
+        WITH captures AS (
+            SELECT row_number() OVER () AS n, page_id, url, make_timestamp((1704067200 + page_id * 7919 % 31536000) * 1000000) AS fetched_at,
+                   rtrim(regexp_extract(lower(trim(coalesce(url, ''))), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '.') AS host,
+                   list_filter(string_split(regexp_extract(trim(coalesce(url, '')), '(?i)^[a-z][a-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1), '/'), lambda s: s <> '') AS steps
+            FROM pages),
+        hosts AS (SELECT DISTINCT host, length(host) AS len, length(host) * 13 % 300 AS start FROM captures WHERE host <> ''),
+        actions AS (
+            SELECT 'spam' AS list, host AS key, 'add' AS action, 0 AS d FROM hosts WHERE regexp_matches(host, 'spam|pills')
+            UNION SELECT 'hosts', host, 'add', start FROM hosts WHERE len % 3 = 0
+            UNION SELECT 'hosts', host, 'remove', start + 45 FROM hosts WHERE len % 3 = 0
+            UNION SELECT 'hosts', host, 'add', start + 90 FROM hosts WHERE len % 3 = 0
+            UNION SELECT 'sections', host || '/en', 'add', start FROM hosts WHERE len % 4 = 0
+            UNION SELECT 'sections', host || '/en', 'remove', start + 60 FROM hosts WHERE len % 4 = 0
+            UNION SELECT 'domains', host[6:], 'add', 200 FROM hosts WHERE starts_with(host, 'blog.')),
+        dated AS (SELECT list, key, action, make_timestamp((1704067200 + 86400 * d) * 1000000) AS since FROM actions),
+        spans AS (SELECT *, lead(since) OVER (PARTITION BY list, key ORDER BY since, action) AS gone FROM dated),
+        keys AS (
+            SELECT n, fetched_at, array_to_string(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), '.') AS key
+            FROM captures, unnest(range(1, len(string_split(host, '.')) + 1)) AS r(i) WHERE host <> ''
+            UNION SELECT n, fetched_at, host || '/' || array_to_string(list_slice(steps, 1, i), '/')
+            FROM captures, unnest(range(1, len(steps) + 1)) AS r(i) WHERE host <> ''),
+        hits AS (SELECT keys.n, keys.key, list, since FROM keys JOIN spans ON keys.key = spans.key AND action = 'add'
+                 AND fetched_at >= since AND (gone IS NULL OR fetched_at < gone)),
+        best AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY length(key) DESC, key, list) AS r, count(*) OVER (PARTITION BY n) AS matches FROM hits)
+        SELECT page_id, url, fetched_at, nullif(host, '') AS host, best.n IS NOT NULL AS blocked, list AS matched_list, key AS matched_key,
+               since AS listed_since, coalesce(matches, 0) AS matches
+        FROM captures LEFT JOIN best ON captures.n = best.n AND r = 1""",
     "op5_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
