@@ -36,6 +36,8 @@ LETTERS = re.compile(r"[^\W\d_]+")
 PART = 31
 #: Words whose scores a task keeps; beyond it the memory starts anew, results stay the same.
 KEPT_WORDS = 400_000
+#: Words of a language that a task gathers before it goes through them at once.
+HELD_WORDS = 100_000
 #: Characters of a text that are split into words at once.
 SLICE = 1 << 20
 #: Share of the probability that every piece has alike.
@@ -71,6 +73,11 @@ class Pieces:
         hashes = np.array([self.hash_of(p) for p in pieces], np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.count, self.longest = hashes[order], len(pieces), max(map(len, pieces))
+        # Every beginning of a piece, and the piece that it is itself, if any (else -1).
+        begun = {self.hash_of(p[:n]): -1 for p in pieces for n in range(1, len(p))}
+        begun |= {int(h): i for i, h in enumerate(self.hashes)}
+        self.begun = np.array(sorted(begun), np.uint64)
+        self.ended = np.array([begun[int(h)] for h in self.begun], np.int64)
 
     @classmethod
     def hash_of(cls, piece: bytes) -> int:
@@ -79,18 +86,24 @@ class Pieces:
             h = (h * int(cls.STEP) + byte + 1) % (1 << 64)
         return h
 
-    def spans(self, data: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-        """(start, end) -> piece number in each row of ``data`` (equally long strings); ``count`` means none."""
-        out = {}
+    def spans(self, data: np.ndarray) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+        """(start, end) -> rows of ``data`` (equally long strings) with a piece there, and its number.
+
+        A row drops out of a start as soon as no piece goes on like it.
+        """
+        out, columns = {}, np.ascontiguousarray(data.T)
         n, length = data.shape
         for start in range(length):
-            h = np.ones(n, np.uint64)
+            rows, h = np.arange(n), np.ones(n, np.uint64)
             for end in range(start + 1, min(length, start + self.longest) + 1):
-                h = h * self.STEP + data[:, end - 1] + np.uint64(1)
-                at = np.minimum(np.searchsorted(self.hashes, h), self.count - 1)
-                found = self.hashes[at] == h
-                if found.any():
-                    out[start, end] = np.where(found, at, self.count)
+                h = h * self.STEP + columns[end - 1][rows] + np.uint64(1)
+                at = np.minimum(np.searchsorted(self.begun, h), len(self.begun) - 1)
+                known = self.begun[at] == h
+                rows, h, ids = rows[known], h[known], self.ended[at[known]]
+                if not len(rows):
+                    break
+                whole = ids >= 0
+                out[start, end] = rows[whole], ids[whole]
         return out
 
 
@@ -104,11 +117,11 @@ def by_length(strings: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def forward(spans: dict, length: int, p: np.ndarray, n: int) -> np.ndarray:
-    """alpha[i]: probability of the first i bytes, summed over segmentations; p: (languages, pieces + 1)."""
-    alpha = np.zeros((length + 1, len(p), n))
+    """alpha[i]: probability of the first i bytes, summed over segmentations; p: (pieces, languages)."""
+    alpha = np.zeros((length + 1, n, p.shape[1]))
     alpha[0] = 1
-    for (start, end), ids in sorted(spans.items()):
-        alpha[end] += alpha[start] * p[:, ids]
+    for (start, end), (rows, ids) in sorted(spans.items(), key=lambda x: x[0]):
+        alpha[end][rows] += alpha[start][rows] * p[ids]
     return alpha
 
 
@@ -118,7 +131,7 @@ class Model:
 
     languages: list[str]
     p: np.ndarray
-    path: str | None = None
+    pieces: Pieces
 
 
 def log_probabilities(strings: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
@@ -128,28 +141,28 @@ def log_probabilities(strings: list[str], pieces: Pieces, p: np.ndarray) -> np.n
         for part in parts(word):
             flat.append(part)
             owner.append(i)
-    out, owner = np.zeros((len(strings), len(p))), np.array(owner)
+    out, owner, by_piece = np.zeros((len(strings), len(p))), np.array(owner), np.ascontiguousarray(p.T)
     for at, data in by_length(flat):
-        alpha = forward(pieces.spans(data), data.shape[1], p, len(at))
-        np.add.at(out, owner[at], np.log(alpha[-1]).T)
+        alpha = forward(pieces.spans(data), data.shape[1], by_piece, len(at))
+        np.add.at(out, owner[at], np.log(alpha[-1]))
     return out
 
 
 def expected_uses(strings: list[bytes], counts: np.ndarray, pieces: Pieces, p: np.ndarray) -> np.ndarray:
     """Expected number of uses of each piece in ``counts`` copies of the strings (one language; p: (1, pieces + 1))."""
-    uses = np.zeros(pieces.count + 1)
+    uses, by_piece = np.zeros(pieces.count), np.ascontiguousarray(p.T)
     for at, data in by_length(strings):
         n, length = data.shape
         spans = pieces.spans(data)
-        alpha = forward(spans, length, p, n)[:, 0]
+        alpha = forward(spans, length, by_piece, n)[:, :, 0]
         beta = np.zeros((length + 1, n))
         beta[length] = 1
         share = counts[at] / alpha[length]
-        for (start, end), ids in sorted(spans.items(), reverse=True):
-            inside = p[0, ids] * beta[end]
-            uses += np.bincount(ids, alpha[start] * inside * share, minlength=pieces.count + 1)
-            beta[start] += inside
-    return uses[:-1]
+        for (start, end), (rows, ids) in sorted(spans.items(), key=lambda x: x[0], reverse=True):
+            inside = by_piece[ids, 0] * beta[end][rows]
+            uses += np.bincount(ids, alpha[start][rows] * inside * share[rows], minlength=pieces.count)
+            beta[start][rows] += inside
+    return uses
 
 
 def word_counts(labelled: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -184,24 +197,29 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
     pieces = Pieces(path)
     counts = word_counts(labelled, text_col, lang_col)
     languages = [r[0] for r in counts.select("lang").distinct().orderBy("lang").collect()]
-    model = Model(languages, np.full((len(languages), pieces.count + 1), 1 / pieces.count), path)
+    model = Model(languages, np.full((len(languages), pieces.count + 1), 1 / pieces.count), pieces)
     model.p[:, -1] = 0
     for _ in range(rounds if languages else 0):
         learned = model.p
 
         def uses(batches: Iterator[pa.RecordBatch], p: np.ndarray = learned) -> Iterator[pa.RecordBatch]:
-            known, total = Pieces(path), np.zeros((len(languages), pieces.count))
-            for batch in batches:
-                langs = batch.column(0).to_pandas().to_numpy()
+            total = np.zeros((len(languages), pieces.count))
+            held: dict[str, tuple[list, list]] = {lang: ([], []) for lang in languages}
+
+            def add(least: int) -> None:
                 for i, lang in enumerate(languages):
-                    at = np.flatnonzero(langs == lang)
-                    strings, weights = [], []
-                    for word, n in zip(batch.column(1).take(pa.array(at)).to_pylist(), batch.column(2).take(pa.array(at)).to_pylist()):
-                        for part in parts(word):
-                            strings.append(part)
-                            weights.append(n)
-                    if strings:
-                        total[i] += expected_uses(strings, np.array(weights, float), known, p[i:i + 1])
+                    strings, weights = held[lang]
+                    if len(strings) > least:
+                        total[i] += expected_uses(strings, np.array(weights, float), pieces, p[i:i + 1])
+                        held[lang] = ([], [])
+
+            for batch in batches:
+                for lang, word, n in zip(*(column.to_pylist() for column in batch.columns)):
+                    some = parts(word)
+                    held[lang][0].extend(some)
+                    held[lang][1].extend([n] * len(some))
+                add(HELD_WORDS)
+            add(0)
             lang, piece = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(piece), pa.array(total[lang, piece])], ["lang", "piece", "uses"])
 
@@ -218,7 +236,6 @@ def predictor(model: Model):
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        pieces = Pieces(model.path)
         known: dict[str, int] = {}
         scores = np.zeros((1 << 16, len(model.languages)))
         for texts in batches:
@@ -237,7 +254,7 @@ def predictor(model: Model):
                 while len(scores) < len(known):
                     scores = np.concatenate([scores, np.zeros_like(scores)])
                 at, strings = list(new.values()), list(new)
-                scores[at] = log_probabilities(strings, pieces, model.p)
+                scores[at] = log_probabilities(strings, model.pieces, model.p)
             answers = []
             for text, ids in zip(texts, found):
                 letters = any(map(len, ids)) and any(c.isalpha() for c in text)
