@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -59,8 +59,17 @@ PATTERNS = [(kind, re.compile(pattern)) for kind, pattern in [
     ("phone", r"(?<![\w+])(?P<phone>\+1[ .-]?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?!\w)"),
     ("name", rf"\b(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\b\.?[^\S\n]+(?P<first>{NAME})(?:[^\S\n]+(?P<last>{NAME}))?"),
 ]]
-#: A text in which this finds nothing holds no entity. The same for Java's and Python's matcher.
-HINT = r"[0-9@]|[Pp][Aa][Ss][Ss][Ww]|[Pp][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Kk][Ee][Yy]|" + "|".join(TITLES)
+#: Every entity has one of these characters, or its text one of these parts of titles.
+HINT_CHARACTERS = "[0-9@=:]"
+HINT_PARTS = ["Mr", "Ms", "Mis", "Mme", "Madame", "Monsieur", "Herr", "Frau", "Señor", "Sr", "Dr", "Prof", "осподин", "оспожа", "ύριος", "υρία"]
+
+
+def hinted(text: str) -> Column:
+    """Whether a text may hold an entity; plain searches, many times faster than the patterns. Null: false."""
+    hint = F.col(text).rlike(HINT_CHARACTERS)
+    for part in HINT_PARTS:
+        hint = hint | F.contains(F.col(text), F.lit(part))
+    return F.coalesce(hint, F.lit(False))
 
 
 def luhn(digits: str) -> bool:
@@ -202,7 +211,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 out += [(row, a, b, kind, entity, text[a:b]) for a, b, kind, entity in detect(text)]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kinds[i]) for i in range(6)], names)
 
-    texts = numbered(docs.select(F.col(text_col).cast("string").alias("t"))).where(F.col("t").rlike(HINT)).select(ROW, "t")
+    texts = numbered(docs.select(F.col(text_col).cast("string").alias("t"))).where(hinted("t")).select(ROW, "t")
     return stored(texts.mapInArrow(find, f"{ROW} long, start int, end int, kind string, entity string, surface string"), "spans")
 
 
@@ -259,11 +268,10 @@ def replace(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str =
              .groupBy(ROW).agg(F.array_sort(F.collect_list(F.struct("start", "end", "new"))).alias("edits"),
                                F.array_sort(F.collect_set(F.regexp_extract("kind", "^[a-z]+", 0))).alias("kinds")))
     rows = numbered(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
-    hinted = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
     none = [F.lit(0).alias("entities"), F.array().cast("array<string>").alias("kinds")]
     # Only texts with a hint are moved to their edits; the rest, most of a corpus, pass straight through.
-    plain = rows.where(~hinted).select("doc_id", "text", *none)
-    moved = rows.where(hinted).join(edits, ROW, "left")
+    plain = rows.where(~hinted("text")).select("doc_id", "text", *none)
+    moved = rows.where(hinted("text")).join(edits, ROW, "left")
     clean = moved.where("edits IS NULL").select("doc_id", "text", *none)
     changed = moved.where("edits IS NOT NULL").select("doc_id", written("text", "edits").alias("text"), F.size("edits").alias("entities"), "kinds")
     return plain.unionByName(clean).unionByName(changed)

@@ -316,6 +316,12 @@ def test_pii_surrogates_stay_distinct_where_names_are_few(spark):
     assert set(got) == set(names) and len(set(got.values())) == len(names) and not set(got.values()) & set(names)
 
 
+def test_every_title_and_pattern_gives_a_hint(spark):
+    texts = [*(f"x {t} Anna Doe y" for t in pii.TITLES), *(t for t in PRIVATE if t and pii.detect(t)), "password=hunterhunter"]
+    assert all(pii.detect(t) for t in texts)
+    assert spark.createDataFrame([(t,) for t in texts], "t string").where(~pii.hinted("t")).count() == 0
+
+
 def test_pii_awkward(docs):
     got = pii.replace(docs, b"k")
     assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter((d, t) for _, d, t, _ in rows_of(docs))
