@@ -15,18 +15,24 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: The two forms of a rate: spend x, get y off (whole numbers), and a fraction.
+FULL_REDUCTION = r"^[0-9]+:[0-9]+$"
+DIRECT = r"^[0-9]*\.?[0-9]+$"
+
+
 def is_manjian(rate="discount_rate") -> Column:
-    """1 for a full-reduction coupon (``"x:y"``: spend x, get y off), else 0."""
-    return _col(rate).contains(":").cast("int")
+    """1 for a full-reduction coupon (``"x:y"``: spend x, get y off), 0 for a direct rate, else NULL."""
+    r = _col(rate)
+    return F.when(r.rlike(FULL_REDUCTION), 1).when(r.rlike(DIRECT), 0)
 
 
 def discount(rate="discount_rate") -> Column:
-    """The rate as a fraction, 4 decimals. ``"x:y"`` -> ``1 - y/x``."""
+    """The rate as a fraction, 4 decimals. ``"x:y"`` -> ``1 - y/x``; NULL for any other form."""
     r = _col(rate)
     parts = F.split(r, ":")
     spend = F.try_element_at(parts, F.lit(1)).try_cast("double")
     off = F.try_element_at(parts, F.lit(2)).try_cast("double")
-    value = F.when(r.contains(":"), F.lit(1.0) - ratio(off, spend)).otherwise(r.try_cast("double"))
+    value = F.when(r.rlike(FULL_REDUCTION), F.lit(1.0) - ratio(off, spend)).when(r.rlike(DIRECT), r.try_cast("double"))
     return F.round(value, 4)
 
 
@@ -36,9 +42,9 @@ def discount_bp(disc="discount") -> Column:
 
 
 def price_before(rate="discount_rate") -> Column:
-    """The spend threshold x of ``"x:y"``; NULL for a direct rate."""
+    """The spend threshold x of ``"x:y"``; NULL for a direct rate and any other form."""
     r = _col(rate)
-    return F.when(r.contains(":"), F.try_element_at(F.split(r, ":"), F.lit(1)).try_cast("int"))
+    return F.when(r.rlike(FULL_REDUCTION), F.try_element_at(F.split(r, ":"), F.lit(1)).try_cast("int"))
 
 
 def distance(col="distance") -> Column:

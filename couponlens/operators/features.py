@@ -50,9 +50,7 @@ def pair_join(lw: DataFrame, hist: DataFrame, sums: DataFrame | None = None) ->
 
 def kinds_join_back(lw: DataFrame) -> DataFrame:
     """Distinct-coupon counts of the merchant (overall and that day) on each receipt."""
-    overall, per_day = L.merchant_kinds(lw)
-    rows = join_back(lw.select(*KEYS), overall, ["merchant_id"], ["m_l_howmuch_kindof_coupon"])
-    return join_back(rows, per_day, ["merchant_id", "date_received"], ["m_l_howmuch_kindof_coupon_today"])
+    return L.kinds_join_back(lw, list(L.KINDS))
 
 
 def _fill_counts(df: DataFrame) -> DataFrame:
@@ -73,6 +71,7 @@ def features_wide(lw: DataFrame, hist: DataFrame, carry: tuple[str, ...] = (),
     tuc = _with_history(L.user_coupon_table(lw), H.pair_features(sums), ["user_id", "merchant_id"])
 
     rows = lw.select(*KEYS, "distance", "discount", "price_before", "is_manjian", *carry)
+    # The user join comes first: its left side is a plain shuffle of the window, which AQE can split at a hot user.
     for name, table, hist_cols in (("u", tu, H.ENTITIES["u"][1]), ("m", tm, H.ENTITIES["m"][1]),
                                    ("c", tc, H.ENTITIES["c"][1]), ("uc", tuc, H.ENTITIES["um"][1])):
         spec = L.TABLES[name][1]

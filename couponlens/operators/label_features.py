@@ -111,6 +111,19 @@ def merchant_kinds(lw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return overall, per_day
 
 
+#: Features that count kinds -> the keys they are counted by.
+KINDS = {"m_l_howmuch_kindof_coupon": ["merchant_id"], "m_l_howmuch_kindof_coupon_today": ["merchant_id", "date_received"]}
+
+
+def kinds_join_back(lw: DataFrame, names: list[str]) -> DataFrame:
+    """The named kind counts on each label-window receipt."""
+    rows = lw.select(*KEYS)
+    for (name, keys), counts in zip(KINDS.items(), merchant_kinds(lw)):
+        if name in names:
+            rows = join_back(rows, counts, keys, [name])
+    return rows
+
+
 def merchant_table(lw: DataFrame) -> DataFrame:
     m = ["merchant_id"]
     total, today, _ = _by_day(m)
@@ -158,6 +171,8 @@ def label_feature(lw: DataFrame, name: str) -> DataFrame:
     """One feature on every label-window receipt: ``(KEYS..., name)``."""
     if name in RAW:
         return lw.select(*KEYS, F.col(RAW[name]).alias(name))
+    if name in KINDS:
+        return kinds_join_back(lw, [name])
     build, spec = TABLES[FEATURE_TABLE[name]]
     rows = lw.select(*KEYS, "distance", "discount")
     return join_back(rows, build(lw), spec.keys, [name], spec.nullable).select(*KEYS, name)

@@ -9,6 +9,7 @@ in DOUBLE.
 
 from __future__ import annotations
 
+from couponlens.operators.feature_names import FEATURE_NAMES
 from couponlens.plans.params import SCORING, TRAINING, Windows
 
 # Fixed values of the fixture mapping (FIXTURES.md section 2).
@@ -327,10 +328,26 @@ ORACLE["kinds_join_back"] = _features_base(
 
 # ---- M1, S4, S5 (the rest of section 2.8 has no SQL form) --------------------
 ORACLE["train_set"] = _features_base(wide_select(label=True), TRAINING)
-ORACLE["report_sink"] = ORACLE["received_redeemed_by_weekday"]
+ORACLE["report_sink"] = (
+    "SELECT CAST(weekday AS VARCHAR) AS key, series, CAST(value AS DOUBLE) AS value FROM ("
+    f"{ORACLE['received_redeemed_by_weekday']}) UNPIVOT (value FOR series IN (received, redeemed))")
 ORACLE["features_sink"] = ORACLE["features_wide"]
 
 
+# ---- M2, M6, O2, S2, S3: over tables that SQL can state -----------------------
+ORACLE["assemble"] = (
+    f"SELECT {LW_KEYS}, " + ", ".join(f"COALESCE(CAST({f} AS DOUBLE), -1.0) AS {f}" for f in FEATURE_NAMES)
+    + f", label FROM ({ORACLE['train_set']})")
+_FILLED = " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, CAST(count({f}) AS DOUBLE) AS importance FROM wide" for f in FEATURE_NAMES)
+_FILLED = f"WITH wide AS ({ORACLE['features_wide']}), filled AS ({_FILLED}) "
+ORACLE["sort_by_importance"] = ORACLE["importance_csv"] = f"{_FILLED} SELECT feature, importance FROM filled"
+ORACLE["importance_sink"] = f"{_FILLED} SELECT feature || ',' || CAST(importance AS VARCHAR) AS line FROM filled"
+ORACLE["importance_by_family"] = (
+    f"{_FILLED} SELECT COALESCE(NULLIF(regexp_extract(feature, '^(um_h|u_h|m_h|c_h|u_l|m_l|c_l)_', 1), ''), 'raw') AS family, "
+    "count(*) AS features, sum(importance) AS importance FROM filled GROUP BY 1")
+
+
 def features_over(receipts_view: str, w: Windows = SCORING) -> str:
     """F57 over any receipts table (a view with the receipt schema), for tests."""
     return (f"WITH receipts AS (SELECT * FROM {receipts_view}),\n{PARSED},\n{_lw(w)},\n{_hist(w)},\n"

@@ -9,7 +9,6 @@ history of each cutoff, and the scoring and training feature tables.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +22,8 @@ from couponlens.operators import model as M
 from couponlens.operators import ranks as R
 from couponlens.operators import reports as Q
 from couponlens.plans.params import SCORING, TRAINING, Windows
-from couponlens.plans.stage import staged
+from couponlens.plans.stage import new_folder, staged
 from couponlens.plans.windows import history_window, label_window
-from couponlens.session import shared_dir
 from couponlens.sources import importance as SI
 from couponlens.sources import receipts as S
 from couponlens.sources import sinks as SK
@@ -61,12 +59,12 @@ def cube(spark: SparkSession, sf_dir: str, w: Windows = SCORING) -> DataFrame:
     Its size is bounded by the value domains, so every report reads a few
     thousand rows instead of scanning the window again.
     """
-    return staged(spark, ("cube", sf_dir.rstrip("/"), w), lambda: Q.report_cube(lw(spark, sf_dir, w)))
+    return staged(spark, S.fixture_key(spark, "cube", sf_dir, w), lambda: Q.report_cube(lw(spark, sf_dir, w)))
 
 
 def sums(spark: SparkSession, sf_dir: str, w: Windows = SCORING) -> DataFrame:
     """Pair-level history sums, aggregated once per application and cutoff."""
-    return staged(spark, ("pairsums", sf_dir.rstrip("/"), w), lambda: HF.pair_sums(hist(spark, sf_dir, w)))
+    return staged(spark, S.fixture_key(spark, "pairsums", sf_dir, w), lambda: HF.pair_sums(hist(spark, sf_dir, w)))
 
 
 # ---- S1, T1..T13 -------------------------------------------------------------
@@ -204,7 +202,7 @@ QUERIES["f_distance"] = QUERIES["f_Distance"]
 @query("features_wide")
 def _features_wide(spark, sf_dir):
     """F57, written once per application: scoring and the sink read the stored table."""
-    return staged(spark, ("features", sf_dir.rstrip("/"), SCORING),
+    return staged(spark, S.fixture_key(spark, "features", sf_dir, SCORING),
                   lambda: FW.features_wide(lw(spark, sf_dir), hist(spark, sf_dir), sums=sums(spark, sf_dir)))
 
 
@@ -227,16 +225,16 @@ def _kinds_join_back(spark, sf_dir):
 
 def _train(spark, sf_dir):
     """M1, written once per application; the fit reads the stored table."""
-    return staged(spark, ("trainset", sf_dir.rstrip("/"), TRAINING), lambda: M.train_set(
+    return staged(spark, S.fixture_key(spark, "trainset", sf_dir, TRAINING), lambda: M.train_set(
         lw(spark, sf_dir, TRAINING), hist(spark, sf_dir, TRAINING), sums(spark, sf_dir, TRAINING)))
 
 
 def _model(spark, sf_dir):
-    return M.fitted(spark, sf_dir.rstrip("/"), _train(spark, sf_dir))
+    return M.fitted(spark, S.fixture_key(spark, "model", sf_dir), _train(spark, sf_dir))
 
 
 def _scratch(spark, what: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    return new_folder(spark, what)
 
 
 @query("train_set")
@@ -246,7 +244,16 @@ def _train_set(spark, sf_dir):
 
 @query("assemble")
 def _assemble(spark, sf_dir):
-    return M.assemble(_train(spark, sf_dir))
+    """M2: the assembled vector, read back as one double per feature."""
+    return M.assembled_columns(_train(spark, sf_dir))
+
+
+def _filled(spark, sf_dir):
+    """Input of M6, O2, S2 and S3 as queries: values per feature of the scoring table, which SQL can state too.
+
+    The model's split counts take the same way in ``campaign.run``.
+    """
+    return M.filled_importance(_features_wide(spark, sf_dir))
 
 
 @query("fit_trees")
@@ -269,12 +276,12 @@ def _importance_gain(spark, sf_dir):
 
 @query("importance_by_family")
 def _importance_by_family(spark, sf_dir):
-    return M.importance_by_family(_importance_splits(spark, sf_dir))
+    return M.importance_by_family(_filled(spark, sf_dir))
 
 
 @query("sort_by_importance")
 def _sort_by_importance(spark, sf_dir):
-    return M.sort_by_importance(_importance_splits(spark, sf_dir))
+    return M.sort_by_importance(_filled(spark, sf_dir))
 
 
 @query("score")
@@ -286,7 +293,7 @@ def _score(spark, sf_dir):
 @query("importance_csv")
 def _importance_csv(spark, sf_dir):
     path = _scratch(spark, "importance")
-    SI.write_importance(_importance_splits(spark, sf_dir), path)
+    SI.write_importance(_filled(spark, sf_dir), path)
     return SI.read_importance(spark, path)
 
 
@@ -294,19 +301,20 @@ def _importance_csv(spark, sf_dir):
 def _importance_sink(spark, sf_dir):
     """S3 as written: the text lines of the CSV file."""
     path = _scratch(spark, "importance")
-    SI.write_importance(_importance_splits(spark, sf_dir), path)
+    SI.write_importance(_filled(spark, sf_dir), path)
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 @query("report_sink")
 def _report_sink(spark, sf_dir):
     path = _scratch(spark, "report")
-    SK.write_report(Q.received_redeemed_by_weekday(cube(spark, sf_dir)), path)
+    SK.write_report(Q.received_redeemed_by_weekday(cube(spark, sf_dir)), path, "weekday")
     return SK.read_report(spark, path)
 
 
 @query("features_sink")
 def _features_sink(spark, sf_dir):
     path = _scratch(spark, "features")
-    SK.write_features(_features_wide(spark, sf_dir), path)
-    return SK.read_features(spark, path).select(*FW.KEYS, *FW.FEATURES)
+    wide = _features_wide(spark, sf_dir)
+    SK.write_features(wide, path)
+    return SK.read_features(spark, path, wide.schema).select(*FW.KEYS, *FW.FEATURES)

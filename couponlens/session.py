@@ -64,21 +64,64 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+def hadoop_path(spark: SparkSession, path: str):
+    """(Hadoop path, its file system): any store that Spark reads, not only local files."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def file_status(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of every file under ``path``; empty if it does not exist."""
+    p, fs = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return []
+    files, out = fs.listFiles(p, True), []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return out
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    p, fs = hadoop_path(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+#: Shuffle blocks (map tasks x reducers) an exchange may have; the driver tracks them all.
+MAX_BLOCKS = 1_000_000_000
+#: Most map tasks of a scan; splits grow beyond 256 MB rather than pass it.
+MAX_MAPS = 50_000
+
+
+def scale_conf(input_bytes: int, total_cores: int, shuffled_share: float = 0.05,
+               target_partition_bytes: int = 128 << 20) -> dict[str, str]:
     """Partition settings for a cluster run over ``input_bytes`` of receipts.
 
-    The first shuffle starts with enough partitions for each to hold about
-    ``target_partition_bytes`` of input (at least two per core), AQE then
-    coalesces small ones and splits skewed ones around the same size, and
-    scans read files in pieces of twice that size. At 100 TB on 1000
-    executors x 8 cores this gives 800k initial partitions, which AQE
-    coalesces after measuring the real (partially aggregated) sizes.
+    A shuffle here follows column pruning, a window filter or a partial
+    aggregation, so it is sized from the bytes that reach it,
+    ``shuffled_share`` of the input, at ``target_partition_bytes`` a reducer
+    and at least two reducers a core. Scans take 256 MB splits, larger ones
+    when that would be more than ``MAX_MAPS`` tasks, and maps x reducers stay
+    under ``MAX_BLOCKS``. 100 TB on 8,000 cores: 50,000 maps of 2 GB, 20,000
+    reducers, 1e9 blocks. AQE then merges small reducers and splits skewed
+    joins around the target size; it does not split aggregates, which is why
+    the count has to fit from the start.
     """
-    initial = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    split = max(256 << 20, -(-input_bytes // MAX_MAPS))
+    maps = max(1, -(-input_bytes // split))
+    wanted = max(2 * total_cores, 200 if input_bytes > 1 << 40 else 8, int(input_bytes * shuffled_share) // target_partition_bytes)
+    reducers = min(wanted, MAX_BLOCKS // maps)
     return {
-        "spark.sql.shuffle.partitions": str(max(2 * total_cores, 200)),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(reducers),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(reducers),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(2 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split),
     }
+
+
+def apply_scale(spark: SparkSession, path: str) -> None:
+    """Set ``scale_conf`` of the input at ``path`` on a running session."""
+    for key, value in scale_conf(input_bytes(spark, path), spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from couponlens.functions import coupons as C
-from couponlens.plans.stage import staged
+from couponlens.plans.stage import source_state, staged
+from couponlens.session import hadoop_path
 
 RECEIPT_SCHEMA = T.StructType([
     T.StructField("user_id", T.LongType(), False),
@@ -94,25 +95,54 @@ def read_receipts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECEIPT_SCHEMA).parquet(path).select(*RECEIPT_COLUMNS)
 
 
-def read_receipts_csv(spark: SparkSession, path: str, header: bool = True,
-                      date_format: str = "yyyy-MM-dd") -> DataFrame:
+#: Texts that stand for no value in a nullable column.
+ABSENT = ["", "null", "NULL"]
+
+
+def parse_receipts_csv(spark: SparkSession, path: str, header: bool = True, date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """Every CSV line: the receipt columns, ``reason`` (NULL for a sound row) and ``line`` (the fields as read).
+
+    Columns are taken by position in schema order; ``date_format`` is a
+    Spark datetime pattern, e.g. ``yyyyMMdd``. Only ``distance`` and
+    ``date_used`` may be absent (empty or ``null``). The reason names the
+    first column that does not parse, or ``columns`` for a line with too few
+    or too many.
+    """
+    raw = T.StructType([*[T.StructField(f.name, T.StringType(), True) for f in RECEIPT_SCHEMA.fields],
+                        T.StructField("_corrupt", T.StringType(), True)])
+    df = (spark.read.schema(raw).option("header", str(header).lower()).option("columnNameOfCorruptRecord", "_corrupt").csv(path))
+    day = lambda c: F.to_date(F.try_to_timestamp(c, F.lit(date_format)))
+    value = {**{c: F.col(c).try_cast("long") for c in ("user_id", "merchant_id", "coupon_id")},
+             "discount_rate": F.when(C.discount("discount_rate").isNotNull(), F.col("discount_rate")),
+             "distance": C.distance("distance"), "date_received": day("date_received"), "date_used": day("date_used")}
+    optional = ("distance", "date_used")
+    reason = F.when(F.col("_corrupt").isNotNull(), F.lit("columns"))
+    for c, parsed_value in value.items():
+        bad = parsed_value.isNull()
+        if c in optional:
+            bad = bad & F.col(c).isNotNull() & ~F.trim(c).isin(ABSENT)
+        reason = reason.when(bad, F.lit(c))
+    line = F.coalesce("_corrupt", F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in RECEIPT_COLUMNS]))
+    return df.select(*[v.alias(c) for c, v in value.items()], reason.alias("reason"), line.alias("line"))
+
+
+def read_receipts_csv(spark: SparkSession, path: str, header: bool = True, date_format: str = "yyyy-MM-dd",
+                      max_rejected: float = 0.0, rejected_path: str | None = None) -> DataFrame:
     """Read receipts from CSV with the fixed schema; no inference pass.
 
-    Columns are taken by position in schema order. Unparseable text (such
-    as ``null``) becomes NULL; ``date_format`` is a Spark datetime pattern,
-    e.g. ``yyyyMMdd`` for compact dates.
+    Rows that do not parse (``parse_receipts_csv``) are never passed on: they
+    are counted, written to ``rejected_path`` with their reason if one is
+    given, and their share must not exceed ``max_rejected``, else this
+    raises. One extra pass over the file does the counting.
     """
-    raw = T.StructType([T.StructField(f.name, T.StringType(), True) for f in RECEIPT_SCHEMA.fields])
-    df = spark.read.schema(raw).option("header", str(header).lower()).csv(path)
-    fmt = F.lit(date_format)
-    return df.select(
-        F.col("user_id").try_cast("long").alias("user_id"),
-        F.col("merchant_id").try_cast("long").alias("merchant_id"),
-        F.col("coupon_id").try_cast("long").alias("coupon_id"),
-        F.col("discount_rate"),
-        C.distance("distance").alias("distance"),
-        F.to_date(F.try_to_timestamp("date_received", fmt)).alias("date_received"),
-        F.to_date(F.try_to_timestamp("date_used", fmt)).alias("date_used"))
+    rows = parse_receipts_csv(spark, path, header, date_format)
+    counts = {r.reason: r["count"] for r in rows.groupBy("reason").count().collect()}  # one row per reason
+    total, bad = sum(counts.values()), {k: n for k, n in counts.items() if k is not None}
+    if bad and rejected_path:
+        rows.where("reason IS NOT NULL").select("reason", "line").write.mode("overwrite").parquet(rejected_path)
+    if sum(bad.values()) > max_rejected * total:
+        raise ValueError(f"{sum(bad.values())} of {total} receipts in {path} do not parse, by column: {dict(sorted(bad.items()))}")
+    return rows.where("reason IS NULL").select(*RECEIPT_COLUMNS)
 
 
 def write_receipts(df: DataFrame, path: str) -> None:
@@ -128,6 +158,22 @@ def write_receipts(df: DataFrame, path: str) -> None:
        .write.mode("overwrite").partitionBy("date_received").parquet(path))
 
 
+#: Tables that the fixture receipts are derived from.
+FIXTURE_TABLES = ("lineitem", "orders", "customer", "supplier")
+
+
+def fixture_key(spark: SparkSession, name: str, sf_dir: str, *more) -> tuple:
+    """Memo key of a table derived from the fixture tables as they are now."""
+    sf_dir = sf_dir.rstrip("/")
+    return (name, sf_dir, source_state(spark, [f"{sf_dir}/{t}.parquet" for t in FIXTURE_TABLES]), *more)
+
+
+def is_stored(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a receipts table already stored by day."""
+    p, fs = hadoop_path(spark, path)
+    return any(f.isDirectory() and f.getPath().getName().startswith("date_received=") for f in fs.listStatus(p))
+
+
 def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The receipt table for ``sf_dir``, derived once per application.
 
@@ -135,7 +181,7 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     which cuts the join lineage (an executor lost later re-reads files, it
     does not redo the joins) and lets date filters prune day folders.
     """
-    return staged(spark, ("receipts", sf_dir.rstrip("/")), lambda: fixture_receipts(spark, sf_dir),
+    return staged(spark, fixture_key(spark, "receipts", sf_dir), lambda: fixture_receipts(spark, sf_dir),
                   write_receipts, read_receipts)
 
 

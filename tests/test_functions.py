@@ -22,8 +22,9 @@ def test_full_reduction(spark):
 
 
 def test_malformed_rate_is_null(spark):
-    r = _one(spark, "abc")
-    assert r.d is None and r.p is None
+    for rate in ("abc", "1:2:3", "12.5:5", "5:", ":5", "-1:2", "", " 0.9", "0.9.1", None):
+        r = _one(spark, rate)
+        assert (r.d, r.m, r.p) == (None, None, None), rate
 
 
 def test_rule_label_boundary(spark):

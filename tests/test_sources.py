@@ -1,13 +1,16 @@
 """Sources and sinks: fixed schemas and round trips (S1..S5)."""
 
 import os
+import shutil
+
+import pytest
 
 from couponlens.session import shared_dir
 from couponlens.sources import importance as SI
 from couponlens.sources import receipts as S
 from couponlens.sources import sinks as SK
 
-from conftest import SMALL, receipts_df
+from conftest import MEDIUM, SMALL, receipts_df
 
 
 def test_fixture_receipts_schema_and_rows(spark):
@@ -45,12 +48,47 @@ def test_receipts_csv(spark, tmp_path):
     assert rows[1].distance == 3 and str(rows[1].date_used) == "2016-07-05"
 
 
+BAD_LINES = ["1,2,3,0.9,4,01/07/2016,", "x9,2,3,0.9,4,2016-07-01,", "1,2,3,1:2:3,4,2016-07-01,", "1,2,3,12.5:5,4,2016-07-01,",
+             "1,2,3,0.9,near,2016-07-01,", "1,2,3,0.9,4,2016-07-01,soon", "1,2,3,0.9,4", "1,2,3,0.9,4,2016-07-01,,7", "1,2,3,,4,2016-07-01,"]
+REASONS = ["date_received", "user_id", "discount_rate", "discount_rate", "distance", "date_used", "columns", "columns", "discount_rate"]
+
+
+def test_csv_rows_that_do_not_parse_are_never_passed_on(spark, tmp_path):
+    p = tmp_path / "bad.csv"
+    p.write_text("\n".join([",".join(S.RECEIPT_COLUMNS), "1,2,3,150:20,null,2016-07-01,null", *BAD_LINES]) + "\n")
+    with pytest.raises(ValueError, match="9 of 10 receipts"):
+        S.read_receipts_csv(spark, str(p))
+    with pytest.raises(ValueError):
+        S.read_receipts_csv(spark, str(p), max_rejected=0.89)
+    out = str(tmp_path / "rejected")
+    good = S.read_receipts_csv(spark, str(p), max_rejected=0.9, rejected_path=out)
+    assert [r.coupon_id for r in good.collect()] == [3] and good.columns == S.RECEIPT_COLUMNS
+    assert sorted(r.reason for r in spark.read.parquet(out).collect()) == sorted(REASONS)
+
+
+def test_replaced_tables_are_read_anew(spark, tmp_path):
+    """The same folder first holds the smallest tables, then ten times as many rows."""
+    from couponlens.plans import registry as R
+    for source, rows in ((SMALL, 6000), (MEDIUM, 60000)):
+        for t in S.FIXTURE_TABLES:
+            shutil.copy(f"{source}/{t}.parquet", tmp_path / f"{t}.parquet")
+        assert R.QUERIES["coupon_type"](spark, str(tmp_path)).count() == rows
+        assert R.QUERIES["receipts"](spark, str(tmp_path)).count() == rows
+
+
 def test_report_and_feature_sinks(spark):
     base = shared_dir(spark)
     df = receipts_df(spark, [(1, 2, 3, "0.9", 1, "2016-07-01", None), (1, 2, 3, "0.9", 1, "2016-07-02", None)])
-    SK.write_report(df, f"{base}/rep")
-    assert SK.read_report(spark, f"{base}/rep").count() == 2
+    counts = df.groupBy("date_received").count()
+    SK.write_report(counts, f"{base}/rep", "date_received")
+    assert sorted(map(tuple, SK.read_report(spark, f"{base}/rep").collect())) == [
+        ("2016-07-01", "count", 1.0), ("2016-07-02", "count", 1.0)]
+    SK.write_report(df.groupBy().count(), f"{base}/rep-one", None)
+    assert list(map(tuple, SK.read_report(spark, f"{base}/rep-one").collect())) == [("all", "count", 2.0)]
+    SK.write_features(df.limit(0), f"{base}/feat-none")
+    assert SK.read_features(spark, f"{base}/feat-none", df.schema).count() == 0
     SK.write_features(df, f"{base}/feat")
+    assert SK.read_features(spark, f"{base}/feat", df.schema).columns == df.columns
     local = base.removeprefix("file:")
     days = sorted(d for d in os.listdir(f"{local}/feat") if d.startswith("date_received="))
     assert days == ["date_received=2016-07-01", "date_received=2016-07-02"]
