@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from couponlens.session import shared_dir
+from couponlens.plans.stage import new_folder
 
 #: Name of the row number that operators add; no input column is expected to have it.
 ROW = "__row"
@@ -24,10 +22,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the session's shared folder and read back.
 
     Cuts the lineage: what a lost executor held is read again, not computed
-    again, and several consumers see the same rows.
+    again, and several consumers see the same rows. The folder goes when the
+    application ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
