@@ -120,7 +120,10 @@ def _forests(radius: int):
 def links(nodes: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFrame:
     """Links (a, b) that connect what all pairs within ``radius`` bits of the distinct ``fp`` connect."""
     masks = covering_masks(radius)
-    keyed = nodes.select("fp", F.explode(F.array(*[
+    # Each node becomes a row per table, so nodes are spread over all shuffle partitions first;
+    # by a hash of their own, else Spark would take the (merged) partitions they come in.
+    spread = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
+    keyed = spread.select("fp", F.explode(F.array(*[
         F.struct(F.lit(t).cast("short").alias("t"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("k"))
         for t, m in enumerate(masks)])).alias("x")).select("fp", "x.t", "x.k")
     buckets = stored(keyed.groupBy("t", "k").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
