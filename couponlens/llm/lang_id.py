@@ -35,7 +35,9 @@ LETTERS = re.compile(r"[^\W\d_]+")
 #: Bytes scored at once; a longer word is scored part by part.
 PART = 31
 #: Words whose scores a task keeps; beyond it the memory starts anew, results stay the same.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
+#: Documents after which a task looks at how many words it keeps.
+DOCUMENTS = 2000
 #: Words of a language that a task gathers before it goes through them at once.
 HELD_WORDS = 100_000
 #: Characters of a text that are split into words at once.
@@ -179,11 +181,13 @@ def word_counts(labelled: DataFrame, text_col: str, lang_col: str) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
 
         for batch in batches:
-            for lang, text in zip(batch.column(0), batch.column(1)):
-                for some in words(text.as_py()):
-                    held[lang.as_py()].update(some)
-            if sum(map(len, held.values())) > KEPT_WORDS:
-                yield rows()
+            for at in range(0, batch.num_rows, DOCUMENTS):
+                part = batch.slice(at, DOCUMENTS)
+                for lang, text in zip(part.column(0), part.column(1)):
+                    for some in words(text.as_py()):
+                        held[lang.as_py()].update(some)
+                if sum(map(len, held.values())) > KEPT_WORDS:
+                    yield rows()
         if held:
             yield rows()
 
@@ -238,7 +242,9 @@ def predictor(model: Model):
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
         scores = np.zeros((1 << 16, len(model.languages)))
-        for texts in batches:
+
+        def answer(texts: pd.Series) -> list[tuple[str, float]]:
+            nonlocal scores
             if len(known) > KEPT_WORDS:
                 known.clear()
             new: dict[str, int] = {}
@@ -264,6 +270,10 @@ def predictor(model: Model):
                 total = sum(scores[some].sum(axis=0) for some in ids)
                 best = int(total.argmax())
                 answers.append((model.languages[best], float(1 / np.exp(total - total[best]).sum())))
+            return answers
+
+        for texts in batches:
+            answers = [x for at in range(0, len(texts), DOCUMENTS) for x in answer(texts.iloc[at:at + DOCUMENTS])]
             yield pd.DataFrame(answers, columns=["lang_pred", "score"])
 
     return predict
@@ -289,7 +299,11 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return out.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-def drop_unidentified(docs: DataFrame, model: Model, least_score: float = 0.5) -> DataFrame:
-    """The rows whose language is told with at least ``least_score``; all columns as they were."""
+def drop_unidentified(docs: DataFrame, model: Model, least_score: float = 0.0) -> DataFrame:
+    """The rows whose language is told with at least ``least_score``; all columns as they were.
+
+    By default all but the ``und`` ones stay: a clean document of a word or
+    two may well score low.
+    """
     told = docs.withColumn("__lang", predictor(model)(F.col("text").cast("string")))
     return told.where((F.col("__lang.lang_pred") != UNKNOWN) & (F.col("__lang.score") >= least_score)).drop("__lang")
