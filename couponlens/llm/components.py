@@ -14,12 +14,14 @@ def _signature(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("parent").alias("child"), F.col("child").alias("parent"))).toDF("node", "other")
-    least = both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("least"))
-    return both.join(least, "node").where("other > node").select(F.col("other").alias("child"), F.col("least").alias("parent")).distinct()
+    least = stored(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("least")), "least")
+    # Larger neighbours alone are moved, so an edge is met once, from its parent.
+    return (edges.join(least.withColumnRenamed("node", "parent"), "parent")
+            .select("child", F.col("least").alias("parent")).distinct())
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("child").agg(F.min("parent").alias("least"))
+    least = stored(edges.groupBy("child").agg(F.min("parent").alias("least")), "least")
     moved = edges.join(least, "child").where("parent != least").select(F.col("parent").alias("child"), F.col("least").alias("parent"))
     return moved.unionByName(least.select("child", F.col("least").alias("parent"))).distinct()
 
@@ -30,8 +32,10 @@ def components(edges: DataFrame) -> DataFrame:
     Each round hangs larger neighbours under the smallest one (large star),
     then smaller neighbours likewise (small star), until every component is a
     star: O(log n) rounds in practice. Edges stay distributed and are stored
-    once per round; only a count and a checksum reach the driver. Self-loops
-    and repeated edges are allowed.
+    after each half round; only a count and a checksum reach the driver. The
+    smallest neighbours are stored before they are joined, so that both sides
+    of the join are plain shuffles and AQE can split a node that a large part
+    of all edges meet. Self-loops and repeated edges are allowed.
     """
     a, b = edges.columns
     now = stored(edges.where(F.col(a) != F.col(b)).select(
@@ -39,6 +43,6 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while (signature := _signature(now)) != before:
         before = signature
-        now = stored(_small_star(_large_star(now)), "edges")
+        now = stored(_small_star(stored(_large_star(now), "edges")), "edges")
     roots = now.select(F.col("parent").alias("node"), F.col("parent").alias("root")).distinct()
     return now.select(F.col("child").alias("node"), F.col("parent").alias("root")).unionByName(roots)

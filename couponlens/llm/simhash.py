@@ -154,8 +154,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = fingerprints(docs, id_col, text_col, shingle)
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(nodes, radius)).withColumnRenamed("node", "fp")
-    placed = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Both are stored, so that the join below shuffles both sides and AQE can split a component of any size.
+    placed = stored(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "placed")
+    least = stored(placed.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     return rows.join(placed.select("fp", "root").join(least, "root"), "fp").select(
         ROW, "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root")
 
