@@ -163,8 +163,11 @@ def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
         return name + ("-" + tail if tail else "")
     if kind == "ip":
         octets = entity.split(".")
-        fixed = 1 if octets[0] == "10" else 2 if octets[:2] == ["192", "168"] else 0
-        return ".".join(octets[:fixed] + [str((1 if i == 0 else 0) + draw(223 if i == 0 else 256)) for i in range(fixed, 4)])
+        # A private range may be full of real addresses: later attempts draw from the next larger one.
+        ranges = [["192", "168"], ["10"], []]
+        own = next(i for i, head in enumerate(ranges) if octets[:len(head)] == head)
+        head = ranges[min(own + longer, 2)]
+        return ".".join(head + [str((1 if i == 0 else 0) + draw(223 if i == 0 else 256)) for i in range(len(head), 4)])
     if kind == "domain":
         labels = entity.split(".")
         return ".".join([_like(x, draw) + _like("a" * (longer * (i == 0)), draw) for i, x in enumerate(labels[:-1])] + labels[-1:])
