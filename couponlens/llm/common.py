@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from couponlens.plans.stage import new_folder
 
-#: Name of the row number that operators add; no input column is expected to have it.
+#: Name of the row number that operators add to the columns they select.
 ROW = "__row"
 #: A word: a run of characters other than the space and the ASCII control spaces.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,14 +31,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def numbered(df: DataFrame) -> DataFrame:
+def spare_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as it takes to differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def numbered(df: DataFrame, name: str = ROW) -> DataFrame:
     """``df`` with a unique row number, so that repeated rows stay apart.
 
     The number follows the partitions of ``df``. Reading the same files
     twice gives the same numbers; anything less stable (a shuffle, a
     streaming source) has to be stored first.
     """
-    return df.withColumn(ROW, F.monotonically_increasing_id())
+    return df.withColumn(name, F.monotonically_increasing_id())
 
 
 def whole_text(col: str = "text") -> Column:
@@ -47,5 +55,6 @@ def whole_text(col: str = "text") -> Column:
 
 
 def without(df: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``df`` (a table as read from files) whose row number is not in ``dropped``."""
-    return numbered(df).join(dropped.select(ROW), ROW, "left_anti").drop(ROW)
+    """The rows of ``df`` (a table as read from files) whose row number is not in ``dropped``; its columns may have any name."""
+    row = spare_name(df, ROW)
+    return numbered(df, row).join(dropped.select(F.col(ROW).alias(row)), row, "left_anti").drop(row)

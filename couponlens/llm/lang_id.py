@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from couponlens.llm.common import stored
+from couponlens.llm.common import spare_name, stored
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 UNKNOWN = "und"
@@ -305,5 +305,6 @@ def drop_unidentified(docs: DataFrame, model: Model, least_score: float = 0.0) -
     By default all but the ``und`` ones stay: a clean document of a word or
     two may well score low.
     """
-    told = docs.withColumn("__lang", predictor(model)(F.col("text").cast("string")))
-    return told.where((F.col("__lang.lang_pred") != UNKNOWN) & (F.col("__lang.score") >= least_score)).drop("__lang")
+    name = spare_name(docs, "__lang")
+    told = docs.withColumn(name, predictor(model)(F.col("text").cast("string")))
+    return told.where((F.col(f"{name}.lang_pred") != UNKNOWN) & (F.col(f"{name}.score") >= least_score)).drop(name)

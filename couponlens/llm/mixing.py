@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from couponlens.llm.common import ROW, WORD, numbered, stored, whole_text
+from couponlens.llm.common import ROW, WORD, numbered, spare_name, stored, whole_text
 
 BLOCKS = 1024
 WEIGHTS = (5, 2, 1)
@@ -140,6 +140,7 @@ def mixed(docs: DataFrame, weights: tuple = WEIGHTS, total: float = 1.5, most: f
     part = F.col("taken") - F.floor(F.col("taken") / F.col("size")) * F.col("size")
     whole = F.floor(F.col("taken") / F.col("size")) + F.when(2 * part >= F.col("size"), 1).otherwise(0)
     whole = whole.cast("int")
-    copies = plan.where("taken > 0").select(ROW, F.explode(F.slice("shards", F.lit(1), whole)).alias("__shard"))
-    return (numbered(docs).join(copies, ROW)
-            .sortWithinPartitions("__shard", _hash(seed + 1, "__shard", ROW)).drop(ROW, "__shard"))
+    row, shard = spare_name(docs, ROW), spare_name(docs, "__shard")
+    copies = plan.where("taken > 0").select(F.col(ROW).alias(row), F.explode(F.slice("shards", F.lit(1), whole)).alias(shard))
+    return (numbered(docs, row).join(copies, row)
+            .sortWithinPartitions(shard, _hash(seed + 1, shard, row)).drop(row, shard))

@@ -69,9 +69,10 @@ def assign(rows: DataFrame, key_cols: Sequence[str], table: DataFrame, slots: in
 
     Null key values hash like a value of their own. Rows of one key share a
     shard; to spread a hot key, name further columns in the key. Repeated
-    rows stay; nothing is shuffled. An empty table stays empty.
+    rows stay; nothing is shuffled. An empty table stays empty. Columns that
+    have the two names already are replaced.
     """
     key = F.concat_ws("\x1f", *[F.concat_ws("", F.col(c).isNull().cast("string"), F.col(c).cast("string")) for c in key_cols])
-    keyed = rows.withColumn("__slot", F.pmod(F.xxhash64(key), F.lit(slots)).cast("int"))
+    keyed = rows.withColumn("__slot", F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")).drop("__shard")
     names = table.select(F.col("slot").alias("__slot"), F.col("shard").alias("__shard"))
     return keyed.join(F.broadcast(names), "__slot", "left")

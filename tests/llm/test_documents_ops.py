@@ -12,6 +12,7 @@ import tokenizers
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from couponlens.llm import components, exact_dedup, lang_id, mixing, packing, pii, sharding, simhash
 from couponlens.llm.common import ROW
@@ -316,6 +317,16 @@ def test_pii_surrogates_stay_distinct_where_names_are_few(spark):
     assert set(got) == set(names) and len(set(got.values())) == len(names) and not set(got.values()) & set(names)
 
 
+def test_full_private_range_takes_surrogates_from_a_larger_one():
+    """Every address of 192.168 may be real: a later attempt leaves it, first for 10, then for any."""
+    later = [pii.surrogate("ip", "192.168.1.7", b"k", attempt) for attempt in (0, 7, 8, 15, 16)]
+    assert [x.startswith(("192.168.", "10.")) for x in later[:4]] == [True] * 4
+    assert [x.startswith("10.") for x in later] == [False, False, True, True, later[4].startswith("10.")]
+    assert pii.surrogate("ip", "10.1.2.3", b"k", 7).startswith("10.")
+    draws = {pii.surrogate("ip", "10.1.2.3", b"k", attempt).split(".")[0] for attempt in range(8, 40)}
+    assert len(draws) > 10
+
+
 def test_every_title_and_pattern_gives_a_hint(spark):
     texts = [*(f"x {t} Anna Doe y" for t in pii.TITLES), *(t for t in PRIVATE if t and pii.detect(t)), "password=hunterhunter"]
     assert all(pii.detect(t) for t in texts)
@@ -361,6 +372,23 @@ def test_sharding(docs, spark):
     assert all(len(s) == 1 for s in by_key.values())
 
 
+def test_extra_columns_named_like_the_operators_own(docs, spark, tmp_path):
+    """Columns that have the operators' own helper names come out as they went in."""
+    path = str(tmp_path / "clash.parquet")
+    mine = docs.withColumns({name: F.lit(f"mine {name}") for name in ("__row", "___ROW", "__shard", "__slot", "__LANG", "run", "best", "root", "t", "fp", "g")})
+    mine.write.parquet(path)
+    mine = spark.read.parquet(path)
+    model = lang_id.learn_from_documents(mine)
+    for out in (exact_dedup.drop_exact_duplicates(mine), simhash.drop_near_duplicates(mine), mixing.mixed(mine), lang_id.drop_unidentified(mine, model)):
+        assert out.columns == mine.columns
+        rows = out.collect()
+        assert rows and all(r["__row"] == "mine __row" and r["__shard"] == "mine __shard" and r["__LANG"] == "mine __LANG" for r in rows)
+    placed = sharding.assign(mine, ["__shard", "__slot", "doc_id"], sharding.shard_table(spark, ["a", "b"], 251), 251)
+    assert sorted(placed.columns) == sorted(mine.columns) and {r["__shard"] for r in placed.collect()} == {"a", "b"}
+    for out in (exact_dedup.exact_duplicates(mine), simhash.near_duplicates(mine), packing.pack(mine), mixing.mix(mine), lang_id.identify(mine, model), pii.replace(mine, b"k")):
+        assert out.count() >= docs.count()
+
+
 def test_empty_tables(nothing, spark):
     model = lang_id.learn_from_documents(nothing)
     for out in (exact_dedup.exact_duplicates(nothing), exact_dedup.drop_exact_duplicates(nothing), simhash.near_duplicates(nothing),
