@@ -8,9 +8,14 @@ v is orthogonal to all of them: that table's mask hides every difference and
 the pair shares a bucket. 31 tables of about 33 kept bits for radius 4.
 
 Equal fingerprints are one node, so exact copies cost nothing further. A
-bucket gives a spanning forest of its links, not all its pairs. Buckets are
-cut into blocks of ``BLOCK`` nodes and every pair of blocks is a group of its
-own, so no bucket, however large, meets in one task and no link is lost.
+bucket gives a spanning forest of its links, not all its pairs, and is cut
+into blocks of ``BLOCK`` nodes, so that no bucket, however large, meets in one
+task. First each block is a group of its own: a node is in one block a table,
+and since a table deals nodes in its own way, the near copies of one text
+become one component. Then, in buckets of several blocks, only nodes outside
+the bucket's largest component meet the other blocks; a bucket within one
+component has nothing to add. No link between components is lost, and the
+work follows the nodes, not the square of a group of copies.
 """
 
 from __future__ import annotations
@@ -87,38 +92,48 @@ def spanning_forest(values: np.ndarray, radius: int) -> list[tuple[int, np.ndarr
 
 
 def _forests(radius: int):
-    """mapInArrow function over rows (group, fp) sorted by group; a group may span batches."""
+    """mapInArrow function over rows (group, fp, root) sorted by group; a group may span batches.
 
-    def solve(groups: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
-        cuts = np.flatnonzero(groups[1:] != groups[:-1]) + 1
+    Gives the links (a, b) of each group's spanning forest whose ends have different roots.
+    """
+
+    def solve(groups: np.ndarray, fps: np.ndarray, roots: np.ndarray) -> pa.RecordBatch:
+        cuts = [0, *(np.flatnonzero(groups[1:] != groups[:-1]) + 1), len(groups)]
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for part in np.split(fps, cuts):
+        for lo, hi in zip(cuts, cuts[1:]):
+            part, root = fps[lo:hi], roots[lo:hi]
             for at, hit in spanning_forest(part.view(np.uint64), radius):
+                hit = hit[root[hit] != root[at]]
                 a.append(np.full(len(hit), part[at]))
                 b.append(part[hit])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = fps = None
+        held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            g, f = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
-            if groups is not None:
-                g, f = np.concatenate([groups, g]), np.concatenate([fps, f])
-            ended = np.flatnonzero(g != g[-1])
-            cut = ended[-1] + 1 if len(ended) else 0
-            if cut:
-                yield solve(g[:cut], f[:cut])
-            groups, fps = g[cut:], f[cut:]
-        if groups is not None:
-            yield solve(groups, fps)
+            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
+            ended = np.flatnonzero(held[0] != held[0][-1])
+            if len(ended):
+                cut = ended[-1] + 1
+                yield solve(*(x[:cut] for x in held))
+                held = [x[cut:] for x in held]
+        if held is not None:
+            yield solve(*held)
 
     return run
 
 
-def links(nodes: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) that connect what all pairs within ``radius`` bits of the distinct ``fp`` connect."""
+def _grouped_links(rows: DataFrame, radius: int) -> DataFrame:
+    """Links (a, b), a < b, of the groups of rows (g, fp, root)."""
+    found = rows.repartition("g").sortWithinPartitions("g", "fp").mapInArrow(_forests(radius), "a long, b long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def roots(nodes: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFrame:
+    """(node, root) for every one of the distinct ``fp`` that has another within ``radius`` bits; the root is the component's smallest."""
     masks = covering_masks(radius)
     # Each node becomes a row per table, so nodes are spread over all shuffle partitions first;
     # by a hash of their own, else Spark would take the (merged) partitions they come in.
@@ -129,16 +144,29 @@ def links(nodes: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFrame:
     buckets = stored(keyed.groupBy("t", "k").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
                      .where("n > 1"), "buckets")
     pairs = buckets.where("n = 2").select("a", "b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
-    blocks = F.ceil(F.col("n") / block)
+    larger = buckets.where("n > 2").select("t", "k", F.ceil(F.col("n") / block).alias("blocks"))
     own = F.pmod(F.xxhash64("fp", "t"), F.col("blocks"))
-    cells = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
-                        lambda other: F.least(own, other) * F.col("blocks") + F.greatest(own, other))
-    grouped = (keyed.join(buckets.where("n > 2").select("t", "k", blocks.cast("long").alias("blocks")), ["t", "k"])
-               .select("t", "k", "fp", F.explode(cells).alias("cell"))
-               # Should two groups' hashes meet, more values are compared; links are by distance all the same.
-               .select(F.xxhash64("t", "k", "cell").alias("g"), "fp"))
-    forests = grouped.repartition("g").sortWithinPartitions("g", "fp").mapInArrow(_forests(radius), "a long, b long")
-    return pairs.unionByName(forests).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # Should two groups' hashes meet, more values are compared; links are by distance all the same.
+    inside = keyed.join(larger, ["t", "k"]).select(F.xxhash64("t", "k", own).alias("g"), "fp", F.col("fp").alias("root"))
+    found = components(pairs.unionByName(_grouped_links(inside, radius)).distinct())
+
+    crowded = larger.where("blocks > 1")
+    if crowded.isEmpty():
+        return found
+    members = stored(keyed.join(crowded, ["t", "k"]).join(found.withColumnRenamed("node", "fp"), "fp", "left")
+                     .select("t", "k", "blocks", "fp", F.coalesce("root", "fp").alias("root")), "members")
+    sizes = members.groupBy("t", "k", "root").agg(F.count("*").alias("n"))
+    split = stored(sizes.groupBy("t", "k").agg(F.max_by("root", F.struct("n", "root")).alias("main"), (F.sum("n") - F.max("n")).alias("others"))
+                   .where("others > 0").select("t", "k", "main", F.ceil(F.col("others") / block).alias("other_blocks")), "split")
+    todo = members.join(split, ["t", "k"])
+    among = F.pmod(F.xxhash64("fp", "t"), F.col("other_blocks"))
+    zero = F.lit(0).cast("long")
+    # A node outside the largest component meets every block; every node meets the blocks of those outside.
+    outside = todo.where("root != main").select("t", "k", "fp", "root", among.alias("i"), F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("j"))
+    all_of = todo.select("t", "k", "fp", "root", F.explode(F.sequence(zero, F.col("other_blocks") - 1)).alias("i"), own.alias("j"))
+    across = outside.unionByName(all_of).select(F.xxhash64("t", "k", "i", "j").alias("g"), "fp", "root")
+    stars = found.where("node != root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+    return components(stars.unionByName(_grouped_links(across, radius)).distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -153,9 +181,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = fingerprints(docs, id_col, text_col, shingle)
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(nodes, radius)).withColumnRenamed("node", "fp")
     # Both are stored, so that the join below shuffles both sides and AQE can split a component of any size.
-    placed = stored(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "placed")
+    placed = stored(nodes.join(roots(nodes.select("fp"), radius).withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "placed")
     least = stored(placed.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     return rows.join(placed.select("fp", "root").join(least, "root"), "fp").select(
         ROW, "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root")

@@ -112,13 +112,15 @@ def test_covering_masks_hide_every_small_difference(value, flips):
     assert len(masks) == 31 and any(value & m == other & m for m in masks)
 
 
-def test_links_of_a_crowded_bucket_cut_into_blocks(spark):
-    """3,000 fingerprints in one ball and a chain: blocks of 64 connect what all pairs connect."""
+def test_crowded_buckets_cut_into_blocks(spark):
+    """3,000 fingerprints in one ball, a chain and 500 pairs in the ball's buckets: blocks of 64 connect what all pairs connect."""
     rng = np.random.default_rng(2)
     ball = {0xABCD << 40 ^ sum(1 << int(b) for b in rng.choice(24, rng.integers(0, 4), replace=False)) for _ in range(3000)}
     chain = {(1 << 62) ^ ((1 << 3 * i) - 1) for i in range(1, 20)}
-    values = sorted(ball | chain)
-    found = components.components(simhash.links(spark.createDataFrame([(v,) for v in values], "fp long"), 4, block=64)).collect()
+    apart = {0xABCD << 40 ^ int(x) for x in rng.choice(1 << 24, 500)}  # most of them far from each other
+    apart |= {v ^ 0b111 for v in apart}
+    values = sorted(ball | chain | apart)
+    found = simhash.roots(spark.createDataFrame([(v,) for v in values], "fp long"), 4, block=64).collect()
     a = np.array(values, np.uint64)
     label = a.copy()
     while True:
@@ -127,7 +129,7 @@ def test_links_of_a_crowded_bucket_cut_into_blocks(spark):
             break
         label = new
     linked = {int(v): int(r) for v, r in zip(a, label) if (np.bitwise_count(a ^ v) <= 4).sum() > 1}
-    assert {r.node: r.root for r in found} == linked
+    assert {r.node: r.root for r in found} == linked and len(set(linked.values())) > 20
 
 
 def test_components_of_chains_and_stars(spark):
