@@ -47,9 +47,10 @@ ALPHABETS = {"LATIN": string.ascii_lowercase, "CYRILLIC": "абвгдежзик
 BLANK = "\0"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
-# In the order in which they claim text. Digits are ASCII digits.
+# In the order in which they claim text. Digits are ASCII digits. A pattern goes through a run of characters once:
+# that of mail takes every whole run that could be a local part, and those without a domain are passed over.
 PATTERNS = [(kind, re.compile(pattern)) for kind, pattern in [
-    ("email", r"(?P<local>[\w.+%-]+)@(?P<domain>[^\W_][\w-]*(?:\.[\w-]*[^\W_])+)"),
+    ("email", r"(?P<local>[\w.+%-]++)(?:@(?P<domain>[^\W_][\w-]*(?:\.[\w-]*[^\W_])+))?"),
     ("secret", r"\bAKIA(?P<secret>[A-Z0-9]{16})\b"),
     ("secret", r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b[\"']?\s*[=:]\s*[\"']?)(?P<secret>[^\s\"',;]{4,})"),
     ("ip", rf"(?<![\w.])(?P<ip>(?:{OCTET}\.){{3}}{OCTET})(?![\w]|\.[0-9])"),
@@ -94,7 +95,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             if kind == "name":
                 parts = _name_parts(m)
             elif kind == "email":
-                parts = [(*m.span("local"), "local", m["local"].casefold()), (*m.span("domain"), "domain", m["domain"].casefold())]
+                parts = m["domain"] and [(*m.span("local"), "local", m["local"].casefold()), (*m.span("domain"), "domain", m["domain"].casefold())]
             elif kind in ("card", "ssn", "phone"):
                 parts = [(*m.span(kind), kind, ("+" if m[kind][0] == "+" else "") + re.sub(r"[^0-9]", "", m[kind]))]
             elif kind == "iban":
@@ -104,8 +105,9 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             if parts:
                 taken.append(m.span())
                 found += parts
-        for a, b in taken:  # what one pattern has claimed the next ones cannot reach
-            text = f"{text[:a]}{BLANK * (b - a)}{text[b:]}"
+        if taken:  # what one pattern has claimed the next ones cannot reach
+            ends = [0, *(b for _, b in taken)]
+            text = "".join(text[end:a] + BLANK * (b - a) for end, (a, b) in zip(ends, taken)) + text[ends[-1]:]
     return sorted(found)
 
 
@@ -195,10 +197,8 @@ def in_format(surface: str, new: str) -> str:
         new = new[:1].upper() + new[1:]
     if not re.fullmatch(r"[+]?[0-9A-Z()\s.-]+", surface) or "." in new:
         return new
-    out, rest = [], list(new.lstrip("+"))
-    for c in surface:
-        out.append(rest.pop(0) if c.isalnum() and rest else c)
-    return "".join(out) + "".join(rest)
+    rest = iter(new.lstrip("+"))
+    return "".join([next(rest, c) if c.isalnum() else c for c in surface]) + "".join(rest)
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
