@@ -52,10 +52,12 @@ def fold(log: DataFrame) -> DataFrame:
     seq, op and text) count once, null texts as empty, other ops not at all.
     """
     event = F.struct("seq", F.coalesce("op", F.lit("")).alias("op"), F.coalesce("text", F.lit("")).alias("text"), "role")
-    messages = log.groupBy("conv_id", "turn", "message").agg(F.array_sort(F.array_distinct(F.collect_list(event))).alias("events"))
+    messages = log.groupBy("conv_id", "turn", "message").agg(F.array_sort(F.collect_list(event)).alias("events"))
+    # Repeated events are neighbours now.
+    messages = messages.withColumn("events", F.filter("events", lambda e, i: ~e.eqNullSafe(F.get("events", i - 1))))
     # Index of the last reset; 0 when there is none, so that all deltas count.
     reset = F.array_max(F.transform("events", lambda e, i: F.when(e["op"].isin(*RESETS), i).otherwise(0)))
-    said = F.filter("events", lambda e, i: (i >= F.col("reset")) & e["op"].isin("delta", *RESETS))
+    said = F.filter(F.slice("events", F.col("reset") + 1, F.size("events")), lambda e: e["op"].isin("delta", *RESETS))
     texts = F.transform(said, lambda e: F.when(e["op"] == "regenerate", F.lit("")).otherwise(e["text"]))
     role = F.element_at(F.concat(F.filter(F.transform("events", lambda e: e["role"]), lambda r: r.isNotNull()), F.array(F.lit(""))), 1)
     return messages.withColumn("reset", reset).select("conv_id", "turn", "message", role.alias("role"), F.array_join(texts, "").alias("text"))
