@@ -3,9 +3,15 @@
 Every distinct vector is projected by ``CURVES`` random rotations to ``DIMS``
 dimensions, shifted, cut into cells, and placed on the Hilbert curve of each.
 Spark range-partitions and sorts the curves; positions along them are cut
-into windows of ``WINDOW`` vectors. A query meets its own window and both
-neighbours on every curve, the short lists of all curves merge, and the
-merged list is reranked by the exact cosine of the original vectors.
+into windows. A query meets its own window and both neighbours on every
+curve, the short lists of all curves merge, and the merged list is reranked by
+the exact cosine of the original vectors.
+
+The window grows with the table: ``WINDOW`` vectors up to ``WINDOW_AT``
+classes and from there with their number to the power ``GROWTH``, which keeps
+recall on vectors without any structure (``window_for``). Beyond
+``LARGEST_BLOCK`` vectors a window is cut into blocks, and a query meets as
+many blocks either side as make up a window.
 
 Identical vectors are one class with its smallest ids, so a vector that is
 common to any share of the rows is placed, compared and shuffled once.
@@ -13,6 +19,7 @@ common to any share of the rows is placed, compared and shuffled once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +31,9 @@ from pyspark.sql import Window as W
 from couponlens.llm.common import stored
 
 CURVES, DIMS, CELL_BITS, WINDOW, SHORTLIST, SEED = 32, 16, 3, 384, 32, 7
+WINDOW_AT, GROWTH, LARGEST_BLOCK = 50_000, 0.85, 65_536
+#: Scores of a block that are held at once.
+SCORES = 1 << 23
 #: Half the width of the grid, in standard deviations of a projected unit vector.
 REACH = 3.5
 
@@ -62,6 +72,11 @@ def curve_keys(unit: np.ndarray, curves: int = CURVES, dims: int = DIMS, bits: i
         yield hilbert_keys(np.clip(np.floor(at), 0, (1 << bits) - 1), bits)
 
 
+def window_for(classes: int) -> int:
+    """Vectors of a window for a table of so many distinct vectors."""
+    return max(WINDOW, math.ceil(WINDOW * (classes / WINDOW_AT) ** GROWTH))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1)
@@ -104,18 +119,19 @@ def place(classes: DataFrame, curves: int, window: int, dims: int) -> DataFrame:
 def _compare(shortlist: int):
     """mapInArrow function over rows (group, is_query, cls, unit float16 bytes) sorted by group."""
 
-    def solve(asks: np.ndarray, cls: np.ndarray, units: np.ndarray) -> pa.RecordBatch | None:
-        q, c = np.flatnonzero(asks), np.flatnonzero(~asks)
-        if not len(q) or not len(c):
-            return None
-        score = units[q] @ units[c].T
-        score[cls[q][:, None] == cls[c][None, :]] = -np.inf
-        take = min(shortlist, len(c))
-        best = np.argpartition(-score, take - 1, axis=1)[:, :take]
-        s = np.take_along_axis(score, best, axis=1).ravel()
-        found = np.isfinite(s)
-        return pa.RecordBatch.from_arrays([pa.array(np.repeat(cls[q], take)[found]), pa.array(cls[c][best].ravel()[found]),
-                                           pa.array(s[found].astype(np.float64))], ["q", "c", "near"])
+    def solve(asks: np.ndarray, cls: np.ndarray, units: np.ndarray) -> Iterator[pa.RecordBatch]:
+        asking, c = np.flatnonzero(asks), np.flatnonzero(~asks)
+        if not len(asking) or not len(c):
+            return
+        take, step = min(shortlist, len(c)), max(1, SCORES // len(c))
+        for q in (asking[i:i + step] for i in range(0, len(asking), step)):
+            score = units[q] @ units[c].T
+            score[cls[q][:, None] == cls[c][None, :]] = -np.inf
+            best = np.argpartition(-score, take - 1, axis=1)[:, :take]
+            s = np.take_along_axis(score, best, axis=1).ravel()
+            found = np.isfinite(s)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(cls[q], take)[found]), pa.array(cls[c][best].ravel()[found]),
+                                              pa.array(s[found].astype(np.float64))], ["q", "c", "near"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -127,18 +143,17 @@ def _compare(shortlist: int):
             held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
             cuts = np.flatnonzero(held[0][1:] != held[0][:-1]) + 1
             for a, b in zip([0, *cuts[:-1]], cuts):
-                if (out := solve(*(x[a:b] for x in held[1:]))) is not None:
-                    yield out
+                yield from solve(*(x[a:b] for x in held[1:]))
             if len(cuts):
                 held = [x[cuts[-1]:] for x in held]
-        if held is not None and (out := solve(*held[1:])) is not None:
-            yield out
+        if held is not None:
+            yield from solve(*held[1:])
 
     return run
 
 
 def nearest(rows: DataFrame, every: int, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", curves: int = CURVES,
-            window: int = WINDOW, dims: int = DIMS, shortlist: int = SHORTLIST) -> DataFrame:
+            window: int | None = None, dims: int = DIMS, shortlist: int = SHORTLIST) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every row whose id is divisible by ``every``.
 
     Nearness is the cosine of the original vectors in double precision; ties
@@ -147,6 +162,7 @@ def nearest(rows: DataFrame, every: int, k: int = 5, id_col: str = "vec_id", vec
     another length than most, and rows without an id take no part. A row
     repeated with its id counts once. With fewer than ``k`` candidates all
     are returned; an empty table gives no rows; other columns are not read.
+    Without ``window`` it follows from the number of distinct vectors.
     """
     vectors = valid_vectors(rows, id_col, vec_col)
     # Rank limits are applied before the shuffle too, so a hot vector sends k + 1 ids from each task.
@@ -163,9 +179,12 @@ def nearest(rows: DataFrame, every: int, k: int = 5, id_col: str = "vec_id", vec
         m = np.array(v.tolist(), np.float64).reshape(len(v), -1)
         return type(v)([x.tobytes() for x in (m / np.linalg.norm(m, axis=1, keepdims=True)).astype(np.float16)])
 
-    placed = place(flagged, curves, window, dims).join(classes.select("cls", unit16("v").alias("unit")), "cls")
+    window = window or window_for(classes.count())
+    block = min(window, LARGEST_BLOCK)
+    reach = math.ceil(window / block)
+    placed = place(flagged, curves, block, dims).join(classes.select("cls", unit16("v").alias("unit")), "cls")
     members = placed.select("curve", "block", F.lit(False).alias("ask"), "cls", "unit")
-    asks = placed.where("asked").select("curve", F.explode(F.sequence(F.col("block") - 1, F.col("block") + 1)).alias("block"),
+    asks = placed.where("asked").select("curve", F.explode(F.sequence(F.col("block") - reach, F.col("block") + reach)).alias("block"),
                                         F.lit(True).alias("ask"), "cls", "unit")
     # Rows of two groups whose hashes meet are compared as well, which harms nothing.
     groups = members.unionByName(asks).select(F.xxhash64("curve", "block").alias("g"), "ask", "cls", "unit").repartition("g").sortWithinPartitions("g")
