@@ -2,6 +2,8 @@
 
 Every distinct vector is projected by ``CURVES`` random rotations to ``DIMS``
 dimensions, shifted, cut into cells, and placed on the Hilbert curve of each.
+The cells are ``1 << FINE_BITS`` to an axis, so vectors that are nearly equal
+have an order of their own on each curve.
 Spark range-partitions and sorts the curves; positions along them are cut
 into windows. A query meets its own window and both neighbours on every
 curve, the short lists of all curves merge, and the merged list is reranked by
@@ -32,44 +34,59 @@ from couponlens.llm.common import stored
 
 CURVES, DIMS, CELL_BITS, WINDOW, SHORTLIST, SEED = 32, 16, 3, 384, 32, 7
 WINDOW_AT, GROWTH, LARGEST_BLOCK = 50_000, 0.85, 65_536
+#: Bits of an axis that a curve's key holds: a cell is 4e-7 standard deviations wide, about what float32 tells apart.
+FINE_BITS = 24
 #: Scores of a block that are held at once.
 SCORES = 1 << 23
 #: Half the width of the grid, in standard deviations of a projected unit vector.
 REACH = 3.5
 
 
-def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
-    """Positions along the Hilbert curve of integer points (points, dims), dims x bits at most 63.
+def hilbert_words(cells: np.ndarray, bits: int, per_word: int) -> list[np.ndarray]:
+    """Positions along the Hilbert curve of integer points (points, dims), ``per_word`` bits of each axis to a number, highest first.
 
     Walks from the highest bit down, undoing each sub-cube's reflection and
     exchange of axes, then reads the Gray code off the interleaved bits.
     """
-    x = cells.astype(np.int64).T.copy()
+    x = np.ascontiguousarray(cells.T)
     for level in range(bits - 1, 0, -1):
-        low = (1 << level) - 1
-        for i in range(len(x)):
-            high = (x[i] >> level) & 1 == 1
-            swapped = np.where(high, 0, (x[0] ^ x[i]) & low)
-            x[0] ^= np.where(high, low, swapped)
-            x[i] ^= swapped
-    key = np.zeros(x.shape[1], np.int64)
-    parity = np.zeros(x.shape[1], np.int64)
-    for level in range(bits - 1, -1, -1):
+        low = x.dtype.type((1 << level) - 1)
+        for axis in x:
+            high = -((axis >> level) & 1)  # all bits or none
+            swapped = (x[0] ^ axis) & low & ~high
+            x[0] ^= (high & low) | swapped
+            axis ^= swapped
+    words, parity = [], np.zeros(x.shape[1], x.dtype)
+    for n, level in enumerate(range(bits - 1, -1, -1)):
+        if n % per_word == 0:
+            words.append(np.zeros(x.shape[1], np.int64))
         for axis in x:
             parity ^= (axis >> level) & 1
-            key = (key << 1) | parity
-    return key
+            words[-1] <<= 1
+            words[-1] |= parity
+    return words
+
+
+def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
+    """Positions along the Hilbert curve of integer points (points, dims), dims x bits at most 63."""
+    return hilbert_words(cells.astype(np.int64), bits, bits)[0]
 
 
 def curve_keys(unit: np.ndarray, curves: int = CURVES, dims: int = DIMS, bits: int = CELL_BITS, seed: int = SEED) -> Iterator[np.ndarray]:
-    """Keys of unit vectors along each curve; rotation and shift of a curve depend on the seed and its number alone."""
+    """Keys of unit vectors along each curve, as byte strings of one length in the curve's order.
+
+    Rotation and shift of a curve depend on the seed and its number alone. The
+    first ``bits`` of each axis are cells of the whole grid, the others cut them further.
+    """
     width = unit.shape[1]
-    dims, cell = min(dims, width), 2 * REACH / (1 << bits)
+    dims, cell, fine = min(dims, width), 2 * REACH / (1 << bits), 1 << (FINE_BITS - bits)
     for curve in range(curves):
         rng = np.random.default_rng([seed, curve])
         axes = np.linalg.qr(rng.normal(size=(width, width)))[0][:, :dims]
         at = (unit @ axes * np.sqrt(width) + REACH) / cell + rng.random(dims) - 0.5
-        yield hilbert_keys(np.clip(np.floor(at), 0, (1 << bits) - 1), bits)
+        words = hilbert_words(np.clip(np.floor(at * fine), 0, (1 << FINE_BITS) - 1).astype(np.int32), FINE_BITS, CELL_BITS)
+        # A word has at most 48 bits: the lower six of its bytes.
+        yield np.ascontiguousarray(np.stack(words, axis=1).astype(">i8").view(np.uint8).reshape(len(unit), -1, 8)[:, :, 2:]).reshape(len(unit), -1)
 
 
 def window_for(classes: int) -> int:
@@ -101,13 +118,17 @@ def place(classes: DataFrame, curves: int, window: int, dims: int) -> DataFrame:
                 m = _matrix(batch.column(2))
                 m /= np.linalg.norm(m, axis=1, keepdims=True)
                 for curve, key in enumerate(curve_keys(m, curves, dims)):
+                    ends = np.arange(len(key) + 1, dtype=np.int32) * key.shape[1]
+                    key = pa.Array.from_buffers(pa.binary(), len(key), [None, pa.py_buffer(ends), pa.py_buffer(key)])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(key), curve, np.int32)), pa.array(key), batch.column(0), batch.column(1)],
+                        [pa.array(np.full(len(key), curve, np.int32)), key, batch.column(0), batch.column(1)],
                         ["curve", "key", "cls", "asked"])
 
-    keyed = stored(classes.select("cls", "asked", "v").mapInArrow(keys, "curve int, key long, cls long, asked boolean"), "curves")
+    keyed = stored(classes.select("cls", "asked", "v").mapInArrow(keys, "curve int, key binary, cls long, asked boolean"), "curves")
     # The row number holds the partition above bit 33 and the place in it below.
-    order = stored(keyed.repartitionByRange("curve", "key", "cls").sortWithinPartitions("curve", "key", "cls")
+    # Vectors that even the key does not tell apart have another order on each curve.
+    along = ["curve", "key", F.xxhash64("curve", "cls")]
+    order = stored(keyed.repartitionByRange(*along).sortWithinPartitions(*along)
                    .select("curve", "cls", "asked", F.monotonically_increasing_id().alias("at")), "ordered")
     part, inside = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
     sizes = order.groupBy(part.alias("part")).agg(F.count("*").alias("n"))  # one row per partition
@@ -117,21 +138,24 @@ def place(classes: DataFrame, curves: int, window: int, dims: int) -> DataFrame:
 
 
 def _compare(shortlist: int):
-    """mapInArrow function over rows (group, is_query, cls, unit float16 bytes) sorted by group."""
+    """mapInArrow function over rows (group, is_query, cls, unit float32 bytes) sorted by group."""
 
     def solve(asks: np.ndarray, cls: np.ndarray, units: np.ndarray) -> Iterator[pa.RecordBatch]:
         asking, c = np.flatnonzero(asks), np.flatnonzero(~asks)
         if not len(asking) or not len(c):
             return
+        units = units.astype(np.float64)
+        half = (units * units).sum(axis=1) / 2
         take, step = min(shortlist, len(c)), max(1, SCORES // len(c))
         for q in (asking[i:i + step] for i in range(0, len(asking), step)):
-            score = units[q] @ units[c].T
+            # Half the squared distance, which tells near vectors apart where the cosine is 1 but for rounding.
+            score = units[q] @ units[c].T - half[q][:, None] - half[c][None, :]
             score[cls[q][:, None] == cls[c][None, :]] = -np.inf
             best = np.argpartition(-score, take - 1, axis=1)[:, :take]
             s = np.take_along_axis(score, best, axis=1).ravel()
             found = np.isfinite(s)
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(cls[q], take)[found]), pa.array(cls[c][best].ravel()[found]),
-                                              pa.array(s[found].astype(np.float64))], ["q", "c", "near"])
+                                              pa.array(s[found])], ["q", "c", "near"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -139,7 +163,7 @@ def _compare(shortlist: int):
             if not batch.num_rows:
                 continue
             now = [batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(),
-                   np.frombuffer(b"".join(batch.column(3).to_pylist()), np.float16).reshape(batch.num_rows, -1).astype(np.float32)]
+                   np.frombuffer(b"".join(batch.column(3).to_pylist()), np.float32).reshape(batch.num_rows, -1)]
             held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
             cuts = np.flatnonzero(held[0][1:] != held[0][:-1]) + 1
             for a, b in zip([0, *cuts[:-1]], cuts):
@@ -175,14 +199,14 @@ def nearest(rows: DataFrame, every: int, k: int = 5, id_col: str = "vec_id", vec
     flagged = classes.join(asked, "cls", "left").select("cls", F.coalesce("hit", F.lit(False)).alias("asked"), "v")
 
     @F.pandas_udf("binary")
-    def unit16(v):
+    def unit32(v):
         m = np.array(v.tolist(), np.float64).reshape(len(v), -1)
-        return type(v)([x.tobytes() for x in (m / np.linalg.norm(m, axis=1, keepdims=True)).astype(np.float16)])
+        return type(v)([x.tobytes() for x in (m / np.linalg.norm(m, axis=1, keepdims=True)).astype(np.float32)])
 
     window = window or window_for(classes.count())
     block = min(window, LARGEST_BLOCK)
     reach = math.ceil(window / block)
-    placed = place(flagged, curves, block, dims).join(classes.select("cls", unit16("v").alias("unit")), "cls")
+    placed = place(flagged, curves, block, dims).join(classes.select("cls", unit32("v").alias("unit")), "cls")
     members = placed.select("curve", "block", F.lit(False).alias("ask"), "cls", "unit")
     asks = placed.where("asked").select("curve", F.explode(F.sequence(F.col("block") - reach, F.col("block") + reach)).alias("block"),
                                         F.lit(True).alias("ask"), "cls", "unit")
