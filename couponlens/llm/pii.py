@@ -4,7 +4,8 @@ Three steps. Spans are detected in every text and stored. Their distinct
 entities, (kind, canonical form), get a surrogate from a keyed hash of the
 entity: digits become digits, letters become letters of the same script and
 case, separators stay, card numbers keep their check digit right or wrong,
-names keep gender and script. Surrogates are checked against each other and
+names keep gender and script. A given name has one gender wherever it occurs,
+from the titles it follows and the lists of names. Surrogates are checked against each other and
 against all real entities; where two meet, or a surrogate is a real entity,
 the smallest entity keeps it and the others draw again, until none meet, so
 distinct entities stay distinct and one entity has one surrogate everywhere.
@@ -40,9 +41,23 @@ GIVEN = {("LATIN", "m"): ["Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Hu
          ("CYRILLIC", "m"): ["Андрей", "Борис", "Виктор", "Дмитрий", "Иван", "Павел"],
          ("CYRILLIC", "f"): ["Анна", "Вера", "Дарья", "Ирина", "Мария", "Ольга"],
          ("GREEK", "m"): ["Γιώργος", "Δημήτρης", "Κώστας", "Νίκος", "Πέτρος"],
-         ("GREEK", "f"): ["Άννα", "Ελένη", "Ιωάννα", "Μαρία", "Σοφία"]}
-SYLLABLES = {"LATIN": ("bdfgklmnprstv", "aeiou"), "CYRILLIC": ("бвгдзклмнпрст", "аеиоу"), "GREEK": ("βγδκλμνπρστ", "αειο")}
-ALPHABETS = {"LATIN": string.ascii_lowercase, "CYRILLIC": "абвгдежзиклмнопрстуфхцчшэюя", "GREEK": "αβγδεζηθικλμνξοπρστυφχψω"}
+         ("GREEK", "f"): ["Άννα", "Ελένη", "Ιωάννα", "Μαρία", "Σοφία"],
+         ("ARMENIAN", "m"): ["Արամ", "Տիգրան", "Հայկ", "Դավիթ"], ("ARMENIAN", "f"): ["Անի", "Նարե", "Մարիամ", "Լիլիթ"],
+         ("GEORGIAN", "m"): ["გიორგი", "დავით", "ლევან"], ("GEORGIAN", "f"): ["ნინო", "მარიამ", "თამარ"],
+         ("HEBREW", "m"): ["דוד", "יוסף", "משה"], ("HEBREW", "f"): ["רחל", "מרים", "נועה"],
+         ("ARABIC", "m"): ["محمد", "احمد", "خالد"], ("ARABIC", "f"): ["فاطمة", "مريم", "ليلى"],
+         ("CJK", "m"): ["伟", "强", "军", "建国"], ("CJK", "f"): ["芳", "娜", "丽", "秀英"],
+         ("HANGUL", "m"): ["민준", "서준", "지훈"], ("HANGUL", "f"): ["서연", "지우", "수빈"],
+         ("HIRAGANA", "m"): ["たろう", "けんじ"], ("HIRAGANA", "f"): ["はなこ", "さくら"],
+         ("KATAKANA", "m"): ["タロウ", "ケンジ"], ("KATAKANA", "f"): ["ハナコ", "サクラ"]}
+SYLLABLES = {"LATIN": ("bdfgklmnprstv", "aeiou"), "CYRILLIC": ("бвгдзклмнпрст", "аеиоу"), "GREEK": ("βγδκλμνπρστ", "αειο"),
+             "ARMENIAN": ("բգդկլմնպրստ", "աեիո"), "GEORGIAN": ("ბგდკლმნპრსტ", "აეიო"), "HEBREW": ("בגדלמנפרשת", "אוי"), "ARABIC": ("بتدرسكلمن", "اوي"),
+             "CJK": ("王李张刘陈杨赵黄周吴", "明华文平安林海云山"), "HANGUL": ("김박최정강조윤장임한", "가나다라마사아자하"),
+             "HIRAGANA": ("かさたなはまらわ", "あいうえお"), "KATAKANA": ("カサタナハマラワ", "アイウエオ")}
+ALPHABETS = {"LATIN": string.ascii_lowercase, "CYRILLIC": "абвгдежзиклмнопрстуфхцчшэюя", "GREEK": "αβγδεζηθικλμνξοπρστυφχψω",
+             "ARMENIAN": "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցփքօֆ", "GEORGIAN": "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ", "HEBREW": "אבגדהוזחטיכלמנסעפצקרשת",
+             "ARABIC": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "CJK": "一人大小中上下天水火木金土山石田日月星云雨风花草林海江河东西南北春夏秋冬", "HANGUL": "가나다라마바사아자차카타파하고노도로모보소오조",
+             "HIRAGANA": "あいうえおかきくけこさしすせそたちつてとなにぬねの", "KATAKANA": "アイウエオカキクケコサシスセソタチツテトナニヌネノ"}
 
 BLANK = "\0"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
@@ -111,11 +126,17 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     return sorted(found)
 
 
+def _begins_name(letter: str) -> bool:
+    """A capital, or a letter of a script that does not begin names with one (Georgian has capitals, but not there)."""
+    return letter.isupper() or letter == letter.swapcase() or script(letter) == "GEORGIAN"
+
+
 def _name_parts(m: re.Match) -> list[tuple[int, int, str, str]]:
     gender, first, last = TITLES[m["title"]], m["first"], m["last"]
-    if not first[0].isupper():
+    if not _begins_name(first[0]):
         return []
-    if not last or not last[0].isupper():
+    # A word that cannot show whether it begins a name is a surname only after a given name of its own kind.
+    if not last or not (last[0].isupper() or _begins_name(last[0]) and not first[0].isupper()):
         return [(*m.span("first"), f"surname:{script(first)}", first.casefold())]
     return [(*m.span("first"), f"given-{gender}:{script(first)}", first.casefold()),
             (*m.span("last"), f"surname:{script(last)}", last.casefold())]
@@ -218,6 +239,23 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return stored(texts.mapInArrow(find, f"{ROW} long, start int, end int, kind string, entity string, surface string"), "spans")
 
 
+def settled(entities: DataFrame) -> DataFrame:
+    """(kind, entity, settled) of distinct (kind, entity): given names with the one gender that their name has under all titles.
+
+    That of its gendered titles; where there are none, or of both genders, that
+    of the list of names it is in; neutral if neither tells.
+    """
+    name = F.concat_ws(":", F.substring_index("kind", ":", -1), "entity")
+    listed = {g: {f"{letters}:{n.casefold()}" for (letters, gender), names in GIVEN.items() if gender == g for n in names} for g in "mf"}
+    titled = {g: F.max(F.col("kind").startswith(f"given-{g}:")).over(W.partitionBy(name)) for g in "mf"}
+    known = {g: name.isin(*sorted(listed[g] - listed[h])) for g, h in ("mf", "fm")}
+    told = entities.where(F.col("kind").startswith("given-")).select("kind", "entity", titled["m"].alias("m"), titled["f"].alias("f"))
+    gender = (F.when(F.col("m") & ~F.col("f"), "m").when(F.col("f") & ~F.col("m"), "f")
+              .when(known["m"], "m").when(known["f"], "f").otherwise("n"))
+    names = told.select("kind", "entity", F.concat(F.lit("given-"), gender, F.lit(":"), F.substring_index("kind", ":", -1)).alias("settled"))
+    return names.unionByName(entities.where(~F.col("kind").startswith("given-")).select("kind", "entity", F.col("kind").alias("settled")))
+
+
 def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
     """(kind, entity, surrogate) of distinct (kind, entity), without collisions; stored."""
 
@@ -250,7 +288,9 @@ def replace(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str =
     empty table gives no rows; other columns are not read.
     """
     found = spans(docs, id_col, text_col)
-    given = surrogates(found.select("kind", "entity").distinct(), key)
+    entities = stored(settled(found.select("kind", "entity").distinct()), "entities")
+    drawn = surrogates(entities.select(F.col("settled").alias("kind"), "entity").distinct(), key)
+    given = entities.join(drawn.withColumnRenamed("kind", "settled"), ["settled", "entity"]).drop("settled")
 
     @F.pandas_udf("string")
     def formatted(surfaces: pd.Series, news: pd.Series) -> pd.Series:

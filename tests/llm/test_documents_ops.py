@@ -320,6 +320,36 @@ def test_pii_surrogates_stay_distinct_where_names_are_few(spark):
     assert set(got) == set(names) and len(set(got.values())) == len(names) and not set(got.values()) & set(names)
 
 
+def test_one_given_name_has_one_surrogate_under_all_titles(spark):
+    """Dr, Mr and Mrs of one name are one entity; its gender comes from its titles, else from the lists."""
+    texts = ["Mrs Nadja Schmidt", "Dr Nadja Schmidt", "Prof Zoltan Kiss", "Mr Zoltan Kiss", "Dr Clara Wolf", "Mr Clara Wolf and Mrs Clara Wolf", "Dr Quentine Wolf", "Dr Bruno Wolf"]
+    got = dict(tuple(r)[:2] for r in pii.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), b"k").collect())
+    first = {i: re.findall(r"(?:Mrs?|Dr|Prof) (\S+)", t) for i, t in got.items()}
+    gender = lambda name: next((g for g in "mf" if name.split("-")[0] in pii.GIVEN["LATIN", g]), None)
+    assert first[0] == first[1] and gender(first[0][0]) == "f"
+    assert first[2] == first[3] and gender(first[2][0]) == "m"
+    assert set(first[4] + first[5]) == {first[4][0]} and gender(first[4][0]) == "f"
+    assert gender(first[6][0]) and gender(first[7][0]) == "m"
+    assert len({first[i][0] for i in (0, 2, 4, 6, 7)}) == 5
+
+
+def test_genders_of_given_names_are_settled(spark):
+    seen = [("given-n:LATIN", "anna"), ("given-f:LATIN", "anna"), ("given-n:LATIN", "paul"), ("given-n:LATIN", "xyz"), ("given-m:LATIN", "vera"), ("given-f:LATIN", "vera"),
+            ("given-n:CYRILLIC", "анна"), ("given-m:GREEK", "anna"), ("ssn", "1"), ("surname:LATIN", "anna")]
+    got = {(r.kind, r.entity): r.settled for r in pii.settled(spark.createDataFrame(seen, "kind string, entity string")).collect()}
+    assert [got[x] for x in seen] == ["given-f:LATIN"] * 2 + ["given-m:LATIN", "given-n:LATIN", "given-f:LATIN", "given-f:LATIN", "given-f:CYRILLIC", "given-m:GREEK", "ssn", "surname:LATIN"]
+
+
+def test_names_in_other_scripts():
+    """Names after a title are found in scripts without capitals too, and letters stay in their script."""
+    for name, letters in (("王伟", "CJK"), ("محمد", "ARABIC"), ("דוד", "HEBREW"), ("გიორგი", "GEORGIAN"), ("민준", "HANGUL"), ("Արամ", "ARMENIAN"), ("さくら", "HIRAGANA"), ("サクラ", "KATAKANA")):
+        assert pii.detect(f"Dr {name} left") == [(3, 3 + len(name), f"surname:{letters}", name.casefold())]
+        assert [x[2] for x in pii.detect(f"Mrs {name} {name}, x")] == [f"given-f:{letters}", f"surname:{letters}"]
+        for kind in ("local", "secret", f"surname:{letters}", f"given-m:{letters}", f"given-n:{letters}"):
+            assert {pii.script(c) for c in pii.surrogate(kind, name.casefold(), b"k") if c.isalpha()} == {letters}
+    assert pii.detect("Dr anna left") == [] and [x[2] for x in pii.detect("Dr Anna 说")] == ["surname:LATIN"]
+
+
 def test_full_private_range_takes_surrogates_from_a_larger_one():
     """Every address of 192.168 may be real: a later attempt leaves it, first for 10, then for any."""
     later = [pii.surrogate("ip", "192.168.1.7", b"k", attempt) for attempt in (0, 7, 8, 15, 16)]
