@@ -75,9 +75,9 @@ PATTERNS = [(kind, re.compile(pattern)) for kind, pattern in [
     ("phone", r"(?<![\w+])(?P<phone>\+1[ .-]?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?!\w)"),
     ("name", rf"\b(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\b\.?[^\S\n]+(?P<first>{NAME})(?:[^\S\n]+(?P<last>{NAME}))?"),
 ]]
-#: Every entity has one of these characters, or its text one of these parts of titles.
+#: Every entity has one of these characters, or its text one of these parts of titles and keys.
 HINT_CHARACTERS = "[0-9@=:]"
-HINT_PARTS = ["Mr", "Ms", "Mis", "Mme", "Madame", "Monsieur", "Herr", "Frau", "Señor", "Sr", "Dr", "Prof", "осподин", "оспожа", "ύριος", "υρία"]
+HINT_PARTS = ["Mr", "Ms", "Mis", "Mme", "Madame", "Monsieur", "Herr", "Frau", "Señor", "Sr", "Dr", "Prof", "осподин", "оспожа", "ύριος", "υρία", "AKIA"]
 
 
 def hinted(text: str) -> Column:
