@@ -15,6 +15,7 @@ import corpus_pipeline
 from check_oracle import compare
 from conftest import SMALL
 from couponlens.llm import ann, chat, queries, url_filter
+from test_documents_ops import plain_fingerprint
 
 DAY = dt.datetime(2024, 3, 1)
 
@@ -242,6 +243,17 @@ def test_every_operator_is_registered():
     assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
 
 
+def smallest_of_components(ids, texts):
+    """The smallest id of each group of texts that fingerprints at most 4 bits apart connect, by brute force."""
+    prints = np.array([plain_fingerprint(t) for t in texts], np.uint64)
+    label = np.arange(len(ids))  # ids are sorted
+    while True:
+        new = np.array([label[np.bitwise_count(prints ^ p) <= 4].min() for p in prints])
+        if (new == label).all():
+            return {ids[i] for i in set(label)}
+        label = new
+
+
 def test_pipeline_stages(spark):
     """Each stage on what its predecessor kept: clean documents stay, copies go, sources reach their shares, all is packed."""
     from couponlens.llm import mixing
@@ -261,6 +273,8 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in kept["exact_dedup"].collect()} == {max(g) for g in groups.values()}
     near = [r.doc_id for r in kept["simhash_near_dedup"].collect()]
     assert len(near) == len(set(near)) and set(near) <= {max(g) for g in groups.values()}
+    ids = sorted(r.doc_id for r in kept["exact_dedup"].collect())
+    assert set(near) == smallest_of_components(ids, [texts[d] for d in ids]) and len(near) < len(ids)
     plan = {r.doc_id: r for r in mixing.mix(kept["simhash_near_dedup"]).collect()}
     copies = Counter(r.doc_id for r in docs.collect())
     assert all(abs(copies[d] * r.size - r.taken) <= r.size / 2 for d, r in plan.items())
