@@ -3,7 +3,8 @@
 The pieces are those of a fixed public byte-level vocabulary. Each language
 has a probability for every piece; a word (a space and a lower-cased run of
 letters) has the probability that a forward pass sums over all its
-segmentations into pieces, and a text that of its words. The piece
+segmentations into pieces, and a text that of its words; a word of more than
+``PART`` bytes is cut, and no piece reaches across a cut. The piece
 probabilities are learned by EM over all labelled texts: Spark counts the
 words of every language, and each round a forward-backward pass over those
 counts gives the expected use of every piece, which Spark sums.
