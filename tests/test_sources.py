@@ -71,7 +71,7 @@ def test_replaced_tables_are_read_anew(spark, tmp_path):
     from couponlens.plans import registry as R
     for source, rows in ((SMALL, 6000), (MEDIUM, 60000)):
         for t in S.FIXTURE_TABLES:
-            shutil.copy(f"{source}/{t}.parquet", tmp_path / f"{t}.parquet")
+            shutil.copyfile(f"{source}/{t}.parquet", tmp_path / f"{t}.parquet")
         assert R.QUERIES["coupon_type"](spark, str(tmp_path)).count() == rows
         assert R.QUERIES["receipts"](spark, str(tmp_path)).count() == rows
 
