@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from couponlens.llm import ann, chat, exact_dedup, lang_id, mixing, packing, pii, sharding, simhash, url_filter
+from couponlens.llm import ann, chat, exact_dedup, lang_id, lexical, mixing, packing, pii, sharding, simhash, url_filter
 from couponlens.llm.common import table
 
 
@@ -94,10 +94,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(docs, lang_id.learn_from_documents(docs))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_pii_surrogates, op3_simhash_near_dedup, op4_packing, op5_exact_dedup, op6_sharding,
-        op7_chat_formatting, op8_mixing, op9_nearest_neighbours, op10_language_id)
+        op7_chat_formatting, op8_mixing, op9_nearest_neighbours, op10_language_id, op12_lexical_search)
 }
 
 ORACLE: dict[str, str] = {
@@ -133,4 +137,19 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op12_lexical_search": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+             t AS (SELECT r, unnest(terms) AS term FROM d),
+             tf AS (SELECT r, term, count(*) AS tf FROM t GROUP BY ALL),
+             df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+             s AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS all_terms FROM d WHERE len(terms) > 0),
+             m AS (SELECT r, doc_id, 75 + (25 * len(terms) * n_docs) // all_terms AS m FROM d, s WHERE len(terms) > 0),
+             i AS (SELECT row_number() OVER () AS q, item_id,
+                   unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+             w AS (SELECT q, item_id, term, count(*) * CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM i JOIN df USING (term), s GROUP BY q, item_id, term, n_docs, df),
+             scored AS (SELECT q, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+                        FROM w JOIN tf USING (term) JOIN m USING (r) GROUP BY q, item_id, r, doc_id),
+             ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, r) AS INTEGER) AS rank FROM scored WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20""",
 }
