@@ -40,9 +40,9 @@ BITS, PROBES, SEED = 16, 6, 11
 #: Term frequencies that are levels: powers of two, and half as much again.
 LEVELS = np.array(sorted({1 << i for i in range(40)} | {3 << i for i in range(39)}), np.int64)
 #: Documents of a block, and bits of one (a longer document has a block of its own).
-BLOCK_ROWS, BLOCK_BITS = 1024, 1 << 26
+BLOCK_ROWS, BLOCK_BITS = 1024, 1 << 24
 #: Documents, or bytes of text, that a task indexes at once; entries it keeps back to fill blocks; words whose counts it keeps.
-BATCH_ROWS, BATCH_BYTES, HELD_ENTRIES, HELD_TERMS = 512, 1 << 22, 1 << 22, 300_000
+BATCH_ROWS, BATCH_BYTES, HELD_ENTRIES, HELD_TERMS = 512, 1 << 21, 1 << 21, 150_000
 #: Items that are answered at once.
 ITEMS = 1024
 #: Rows of (document, items) up to which they are broadcast to the texts; beyond, texts and rows are shuffled.
