@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from couponlens.llm import ann, chat, exact_dedup, lang_id, lexical, mixing, packing, pii, sharding, simhash, url_filter
+from couponlens.llm import ann, chat, collocations, exact_dedup, lang_id, lexical, mixing, packing, pii, sharding, simhash, url_filter
 from couponlens.llm.common import table
 
 
@@ -98,10 +98,14 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_pii_surrogates, op3_simhash_near_dedup, op4_packing, op5_exact_dedup, op6_sharding,
-        op7_chat_formatting, op8_mixing, op9_nearest_neighbours, op10_language_id, op12_lexical_search)
+        op7_chat_formatting, op8_mixing, op9_nearest_neighbours, op10_language_id, op12_lexical_search, op13_phrase_collocations)
 }
 
 ORACLE: dict[str, str] = {
@@ -152,4 +156,23 @@ ORACLE: dict[str, str] = {
                         FROM w JOIN tf USING (term) JOIN m USING (r) GROUP BY q, item_id, r, doc_id),
              ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, r) AS INTEGER) AS rank FROM scored WHERE score > 0)
         SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20""",
+    "op13_phrase_collocations": r"""
+        WITH docs AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+             pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+             lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+             starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+             grams AS (SELECT lang, list_slice(w, i, i + k) AS words FROM starts, range(5) AS r(k) WHERE i + k <= len(w)),
+             f AS (SELECT lang, words, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+             sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM lists GROUP BY lang),
+             longer AS (SELECT lang, unnest([list_slice(words, 1, len(words) - 1), list_slice(words, 2, len(words))]) AS words, f FROM f WHERE len(words) > 2),
+             within AS (SELECT lang, words, max(f) AS f FROM longer GROUP BY ALL),
+             kept AS (SELECT f.lang, f.words, f.f AS a FROM f LEFT JOIN within USING (lang, words) WHERE len(f.words) > 1 AND (within.f IS NULL OR within.f < f.f)),
+             cuts AS (SELECT lang, words, a, unnest(range(1, len(words))) AS k FROM kept),
+             scored AS (SELECT cuts.lang, cuts.words, a, k, x.f AS l, y.f AS r, n,
+                               CAST(CAST(1000 AS HUGEINT) * a * n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+                        FROM cuts JOIN f AS x ON x.lang = cuts.lang AND x.words = list_slice(cuts.words, 1, k)
+                        JOIN f AS y ON y.lang = cuts.lang AND y.words = list_slice(cuts.words, k + 1, len(cuts.words)) JOIN sizes ON sizes.lang = cuts.lang),
+             best AS (SELECT *, row_number() OVER (PARTITION BY lang, words ORDER BY score, k) AS c FROM scored),
+             ranked AS (SELECT *, array_to_string(words, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ')) AS rank FROM best WHERE c = 1)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
 }
