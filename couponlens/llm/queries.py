@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from couponlens.llm import ann, chat, collocations, exact_dedup, lang_id, lexical, mixing, packing, pii, sharding, simhash, url_filter
+from couponlens.llm import ann, chat, collocations, exact_dedup, lang_id, lexical, maxent, mixing, packing, pii, sharding, simhash, url_filter
 from couponlens.llm.common import table
 
 
@@ -94,6 +94,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(docs, lang_id.learn_from_documents(docs))
 
 
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.scores(table(spark, sf_dir, "documents"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
@@ -105,7 +109,7 @@ def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_pii_surrogates, op3_simhash_near_dedup, op4_packing, op5_exact_dedup, op6_sharding,
-        op7_chat_formatting, op8_mixing, op9_nearest_neighbours, op10_language_id, op12_lexical_search, op13_phrase_collocations)
+        op7_chat_formatting, op8_mixing, op9_nearest_neighbours, op10_language_id, op11_lm_scores, op12_lexical_search, op13_phrase_collocations)
 }
 
 ORACLE: dict[str, str] = {

@@ -240,7 +240,7 @@ def test_matches_duckdb(spark, duck, name):
 
 def test_every_operator_is_registered():
     names = set(E.queries())
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
 
 
 def smallest_of_components(ids, texts):
