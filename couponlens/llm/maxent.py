@@ -15,8 +15,9 @@ smoothed share of it, so that all words, and one for unknown ones, sum to 1.
 Training takes every token of the training texts once, in ``ROUNDS`` rounds
 over a part of the texts each. In a round every task goes through its texts
 in small batches, by gradient steps from the round's weights, and gives the
-change of every row times the row's uses; Spark sums these by slices of rows,
-and the mean change by use is added to the weights.
+change and the uses of every row; Spark takes the mean change by use, slice
+of rows by slice, and it is added to the weights. A task has at least
+``TASK_TOKENS`` tokens, so that what it gives stays small beside its texts.
 
 The counts of all words are a table. The driver and the tasks hold the tree
 and the weights, both bounded by ``HEAD`` and ``ROWS``; counts of the other
@@ -41,13 +42,13 @@ from couponlens.llm.common import ROW, numbered, stored, whole_text
 
 #: Words in the tree, how often they occur at least, and how long they are at most.
 HEAD, LEAST, LONGEST = 1 << 17, 3, 128
-WAYS, FEATURES, ROWS, ROUNDS = 16, 3, 1 << 16, 4
+WAYS, FEATURES, ROWS, ROUNDS = 16, 3, 1 << 16, 3
 #: Step of a weight, and the squares that every row begins with: the larger, the less a few uses move a row.
 RATE, FIRM = 0.25, 4.0
-#: Tokens of a gradient step, tokens scored at once, bytes of text whose words a task keeps, rows of a slice.
-STEP, SCORED, HELD_BYTES, SLICE = 8192, 16384, 1 << 23, 1 << 10
+#: Tokens of a gradient step, tokens scored at once, bytes of text whose words a task keeps, rows of a slice, tokens of a task of a round.
+STEP, SCORED, HELD_BYTES, SLICE, TASK_TOKENS = 16384, 16384, 1 << 23, 1 << 10, 500_000
 #: Word classes, and the frequent words they are told by, within so many places either side.
-CLASSES, ANCHORS, NEAR = 12, 32, 4
+CLASSES, ANCHORS, NEAR, NEAR_CODES = 12, 32, 2, 1 << 22
 #: Stands for the end of a text in the table of counts; words are never empty.
 END = b""
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -98,51 +99,57 @@ class Tree:
         return len(self.words)
 
 
-def merged(weights: np.ndarray) -> tuple[list[list[tuple[int, int]]], list[list[float]]]:
-    """Paths (class, member) of leaves and the classes' log shares, by merging the lightest ``WAYS``; class 0 is the whole."""
+def merged(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes (a level a column, -1 below a leaf's last) and members on the way to each leaf, and the classes' log shares.
+
+    The lightest ``WAYS`` are merged until one class, number 0, is left.
+    """
     leaves = len(weights)
-    heap = [(w, i) for i, w in enumerate(weights)]
+    heap = [(w, i) for i, w in enumerate(weights.tolist())]
     heapq.heapify(heap)
-    parent: dict[int, tuple[int, int]] = {}
-    bias: list[list[float]] = []
     # The first merge takes as many as make all others full; a class of one leaf needs no merge.
     take = (leaves - 2) % (WAYS - 1) + 2 if leaves > 1 else 1
-    while len(heap) > 1 or not bias:
-        members = [heapq.heappop(heap) for _ in range(min(take, len(heap)))]
-        take, node, total = WAYS, len(bias), math.fsum(w for w, _ in members)
-        bias.append([math.log(w / total) for w, _ in members] + [-np.inf] * (WAYS - len(members)))
-        for branch, (_, child) in enumerate(members):
-            parent[child] = node, branch
+    made = 1 if leaves == 1 else -(-(leaves - take) // (WAYS - 1)) + 1
+    above, member = np.full(leaves + made, -1), np.zeros(leaves + made, np.int8)
+    bias = np.full((made, WAYS), -np.inf, np.float32)
+    for node in range(made - 1, -1, -1):
+        members = [heapq.heappop(heap) for _ in range(take)]
+        children, total = [child for _, child in members], math.fsum(w for w, _ in members)
+        above[children], member[children], take = node, np.arange(take), WAYS
+        bias[node, :len(members)] = np.log([w / total for w, _ in members])
         heapq.heappush(heap, (total, leaves + node))
-    paths = []
-    for leaf in range(leaves):
-        path, at = [], leaf
-        while at in parent:
-            node, branch = parent[at]
-            path.append((len(bias) - 1 - node, branch))
-            at = leaves + node
-        paths.append(path[::-1])
-    return paths, bias[::-1]
+    up, members, at = [], [], np.arange(leaves)
+    while (above[at] >= 0).any():
+        up.append(above[at])
+        members.append(member[at])
+        at = np.where(above[at] >= 0, leaves + above[at], at)
+    up, members = np.array(up).T, np.array(members).T
+    # From the leaf upwards so far: turned round, each from its own last class.
+    depth = (up >= 0).sum(axis=1, keepdims=True)
+    level = np.arange(up.shape[1])
+    place = np.maximum(depth - 1 - level, 0)
+    inside = level < depth
+    return (np.where(inside, np.take_along_axis(up, place, axis=1), -1),
+            np.where(inside, np.take_along_axis(members, place, axis=1), 0), bias)
 
 
 def tree_of(words: list[bytes], weights: list[float], classes: np.ndarray) -> Tree:
     """Leaves with these weights (one more than words: that of all others), first by their class (below ``WAYS``), then by weight."""
     w = np.array(weights)
     used = np.unique(classes)
-    shares = np.array([w[classes == c].sum() for c in used]) / w.sum()
-    bias, paths = [[*np.log(shares), *[-np.inf] * (WAYS - len(used))]], [None] * len(w)
-    for branch, c in enumerate(used):
+    root = np.full((1, WAYS), -np.inf, np.float32)
+    root[0, :len(used)] = np.log([w[classes == c].sum() / w.sum() for c in used])
+    parts = [merged(w[classes == c]) for c in used]
+    depth = 1 + max(nodes.shape[1] for nodes, _, _ in parts)
+    nodes, branches, bias = np.full((len(w), depth), -1, np.int32), np.zeros((len(w), depth), np.int8), [root]
+    nodes[:, 0] = 0
+    for branch, (c, (below, members, more)) in enumerate(zip(used, parts)):
         leaves = np.flatnonzero(classes == c)
-        below, more = merged(w[leaves])
-        for leaf, path in zip(leaves, below):
-            paths[leaf] = [(0, branch), *((len(bias) + n, b) for n, b in path)]
-        bias += more
-    depth = max(map(len, paths))
-    nodes, branches = np.full((len(w), depth), -1, np.int32), np.zeros((len(w), depth), np.int8)
-    for leaf, path in enumerate(paths):
-        nodes[leaf, :len(path)] = [n for n, _ in path]
-        branches[leaf, :len(path)] = [b for _, b in path]
-    return Tree(words, w, nodes, branches, np.array(bias, np.float32))
+        branches[leaves, 0] = branch
+        nodes[leaves, 1:1 + below.shape[1]] = np.where(below >= 0, below + sum(map(len, bias)), -1)
+        branches[leaves, 1:1 + below.shape[1]] = members
+        bias.append(more)
+    return Tree(words, w, nodes, branches, np.concatenate(bias))
 
 
 def word_classes(near: np.ndarray, weights: np.ndarray, k: int = CLASSES) -> np.ndarray:
@@ -282,38 +289,53 @@ def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[np.ndarray, np.
 
 
 def _near(leaves: int) -> Callable:
-    """mapInArrow function over texts (ids): how often leaves stand near the first ``ANCHORS`` ones, as slices of leaves."""
+    """mapInArrow function over texts (ids): how often leaves stand near the first ``ANCHORS`` ones, as slices of (place, count)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(leaves * ANCHORS, np.int32)
+        total, codes = np.zeros(leaves * ANCHORS, np.int32), []
+
+        def add() -> None:
+            np.add(total, np.bincount(np.concatenate([np.empty(0, np.int64), *codes]), minlength=len(total)), out=total, casting="unsafe")
+            codes.clear()
+
         for batch in batches:
             for ids, begins, _, _ in _texts(batch, 0):
-                codes = []
                 for lag in range(1, NEAR + 1):
                     before = _before(ids, begins, lag, leaves)
                     for word, anchor in ((ids, before), (before, ids)):
-                        hit = (anchor < ANCHORS) & (word < leaves)
+                        hit = np.flatnonzero(anchor < ANCHORS)
+                        hit = hit[word[hit] < leaves]
                         codes.append(word[hit].astype(np.int64) * ANCHORS + anchor[hit])
-                total += np.bincount(np.concatenate(codes), minlength=len(total))
-        some = [i for i in range(0, leaves, SLICE) if total[i * ANCHORS:(i + SLICE) * ANCHORS].any()]
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([total[i * ANCHORS:(i + SLICE) * ANCHORS].tobytes() for i in some], pa.binary())],
-                                         ["slice", "near"])
+                if sum(map(len, codes)) > NEAR_CODES:
+                    add()
+        add()
+        at = np.flatnonzero(total)
+        cuts = np.searchsorted(at, np.arange(0, len(total) + SLICE * ANCHORS, SLICE * ANCHORS))
+        some = [i for i in range(len(cuts) - 1) if cuts[i] < cuts[i + 1]]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()),
+                                          pa.array([(at[cuts[i]:cuts[i + 1]] - i * SLICE * ANCHORS).astype(np.uint16).tobytes() for i in some], pa.binary()),
+                                          pa.array([total[at[cuts[i]:cuts[i + 1]]].tobytes() for i in some], pa.binary())], ["slice", "at", "n"])
 
     return run
 
 
 def _sum_near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of rows (slice, near), by slice in order."""
-    now, total = None, None
+    """Sums of rows (slice, at, n), by slice in order, as single-precision numbers."""
+    now, total = None, np.zeros(SLICE * ANCHORS)
+
+    def done() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["slice", "near"])
+        total[:] = 0
+        return out
+
     for batch in batches:
-        for part, near in zip(batch.column(0).to_pylist(), batch.column(1)):
-            if part != now:
-                if now is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slice", "near"])
-                now, total = part, 0
-            total = total + np.frombuffer(near.as_py(), np.int32).astype(np.int64)
+        for part, at, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if part != now and now is not None:
+                yield done()
+            now = part
+            total[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.int32)
     if now is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slice", "near"])
+        yield done()
 
 
 def _round(tree: Tree, start: np.ndarray) -> Callable:
@@ -324,7 +346,7 @@ def _round(tree: Tree, start: np.ndarray) -> Callable:
         for batch in batches:
             for ids, begins, _, _ in _texts(batch, 0):
                 train(tree, weights, squares, uses, ids, begins)
-        weights = (weights - start) * uses[:, None]
+        weights = (weights - start).astype(np.float16)
         some = [i for i in range(0, len(start), SLICE) if uses[i:i + SLICE].any()]
         task = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([task] * len(some), pa.int32()),
@@ -348,8 +370,9 @@ def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if now is not None:
                     yield done()
                 now, change, uses = part.as_py(), 0.0, 0.0
-            uses = uses + np.frombuffer(u.as_py(), np.float32).astype(float)
-            change = change + np.frombuffer(c.as_py(), np.float32).astype(float).reshape(-1, WAYS)
+            weight = np.frombuffer(u.as_py(), np.float32).astype(float)
+            uses = uses + weight
+            change = change + np.frombuffer(c.as_py(), np.float16).astype(float).reshape(-1, WAYS) * weight[:, None]
     if now is not None:
         yield done()
 
@@ -368,17 +391,18 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     words, leaf_weights = [w for w, _ in head], [c + 0.5 for _, c in head] + [others]
     rows = encoded(docs, words, id_col, text_col)
     taught = rows.where(~F.col("held_out"))
-    near = np.zeros((len(words), ANCHORS))  # without the end, which is near no word
-    parts = taught.select("ids").mapInArrow(_near(len(words) - 1), "slice int, near binary")
+    tasks = lambda parts: max(1, int(tokens) // (TASK_TOKENS * parts))
+    near = np.zeros((len(words), ANCHORS), np.float32)  # without the end, which is near no word
+    parts = taught.select("ids").coalesce(tasks(1)).mapInArrow(_near(len(words) - 1), "slice int, at binary, n binary")
     parts = parts.repartition("slice").sortWithinPartitions("slice").mapInArrow(_sum_near, "slice int, near binary")
     for r in parts.collect():  # HEAD x ANCHORS numbers
-        some = np.frombuffer(bytes(r.near), np.int64).reshape(-1, ANCHORS)
-        near[r.slice:r.slice + len(some)] = some
+        some = near[r.slice * SLICE:(r.slice + 1) * SLICE]
+        some[:] = np.frombuffer(bytes(r.near), np.float32).reshape(-1, ANCHORS)[:len(some)]
     classes = word_classes(near[:-1], np.array(leaf_weights[:-2]))
     tree = tree_of(words, leaf_weights, np.append(classes, [CLASSES, CLASSES]))
     weights = np.zeros((ROWS, WAYS), np.float32)
     for n in range(ROUNDS if tokens else 0):
-        part = taught.where(F.pmod(F.xxhash64(ROW), F.lit(ROUNDS)) == n).select("ids")
+        part = taught.where(F.pmod(F.xxhash64(ROW), F.lit(ROUNDS)) == n).select("ids").coalesce(tasks(ROUNDS))
         changes = part.mapInArrow(_round(tree, weights), "slice int, task int, change binary, uses binary")
         means = changes.repartition("slice").sortWithinPartitions("slice", "task").mapInArrow(_mean, "slice int, mean binary")
         weights = weights.copy()
