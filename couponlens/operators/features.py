@@ -3,14 +3,16 @@
 History tables are attached to the label-window entity tables before
 those go back to the receipts: a table keyed ``(user, date, distance,
 discount)`` is no larger than the window itself, so the user history
-rides on it instead of costing one more join of the full window. The
-receipts then see four left joins, each on a key that is unique in the
-right side, so the row count is preserved.
+rides on it instead of costing one more join of the full window. A merchant
+or a coupon, which has many receipts, is one packed row instead, with its
+ranks as maps. The receipts then see four left joins, each on a key that is
+unique in the right side, so the row count is preserved.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from couponlens.functions import coupons as C
 from couponlens.operators import history_features as H
@@ -29,12 +31,12 @@ def _with_history(table: DataFrame, hist_table: DataFrame, keys: list[str]) -> D
     return table.join(hist_table, keys, "left")
 
 
-def entity_join(lw: DataFrame, hist: DataFrame, sums: DataFrame | None = None) -> DataFrame:
+def entity_join(lw: DataFrame, hist: DataFrame, sums: DataFrame | None = None, coupons: DataFrame | None = None) -> DataFrame:
     """User, merchant and coupon history on each label-window receipt."""
     rows = lw.select(*KEYS)
     sums = H.pair_sums(hist) if sums is None else sums
     for e, table in (("u", H.user_features(sums)), ("m", H.merchant_features(sums)),
-                     ("c", H.coupon_features(hist))):
+                     ("c", H.coupon_features(H.coupon_sums(hist) if coupons is None else coupons))):
         keys, cols = H.ENTITIES[e]
         rows = join_back(rows, table, keys, cols)
     return _fill_counts(rows)
@@ -57,24 +59,44 @@ def _fill_counts(df: DataFrame) -> DataFrame:
     return df.withColumns({c: C.zero_fill(c) for c in df.columns if c in H.COUNTS})
 
 
-def features_wide(lw: DataFrame, hist: DataFrame, carry: tuple[str, ...] = (),
-                  sums: DataFrame | None = None) -> DataFrame:
+def packed_tables(lw: DataFrame, sums: DataFrame, coupons: DataFrame) -> dict[str, DataFrame]:
+    """One packed row per merchant (``m``) and per coupon (``c``) of the window, with its history features.
+
+    Stored, each is the small side of a join on its key alone, and AQE can split a hot key's receipts.
+    """
+    return {"m": _with_history(L.packed(lw, "merchant_id", kinds=True), H.merchant_features(sums), ["merchant_id"]),
+            "c": _with_history(L.packed(lw, "coupon_id"), H.coupon_features(coupons), ["coupon_id"])}
+
+
+def _join_packed(rows: DataFrame, table: DataFrame, entity: str) -> DataFrame:
+    """The features of a packed table on each receipt."""
+    (key,), hist_cols = H.ENTITIES[entity]
+    packed = [c for c in table.columns if c != key and c not in hist_cols]
+    side = table.select(F.col(key).alias(f"__k_{key}"), F.struct(*packed).alias("packed"), *hist_cols)
+    joined = rows.join(side, rows[key] == side[f"__k_{key}"], "left")
+    return joined.withColumns(L.unpacked(entity)).drop(f"__k_{key}", "packed")
+
+
+def features_wide(lw: DataFrame, hist: DataFrame, carry: tuple[str, ...] = (), sums: DataFrame | None = None,
+                  coupons: DataFrame | None = None, packed: dict[str, DataFrame] | None = None) -> DataFrame:
     """all 56 features on every label-window receipt, one row in, one row out.
 
     ``carry`` names extra receipt columns to keep (labels, for training);
-    ``sums`` a stored ``pair_sums(hist)`` so history is aggregated once.
+    ``sums`` is a stored ``pair_sums(hist)``, ``coupons`` a stored
+    ``coupon_sums(hist)``, so that history is aggregated once, and
+    ``packed`` the stored ``packed_tables``.
     """
     sums = H.pair_sums(hist) if sums is None else sums
+    if packed is None:
+        packed = packed_tables(lw, sums, H.coupon_sums(hist) if coupons is None else coupons)
     tu = _with_history(L.user_table(lw), H.user_features(sums), ["user_id"])
-    tm = _with_history(L.merchant_table(lw), H.merchant_features(sums), ["merchant_id"])
-    tc = _with_history(L.coupon_table(lw), H.coupon_features(hist), ["coupon_id"])
     tuc = _with_history(L.user_coupon_table(lw), H.pair_features(sums), ["user_id", "merchant_id"])
 
     rows = lw.select(*KEYS, "distance", "discount", "price_before", "is_manjian", *carry)
     # The user join comes first: its left side is a plain shuffle of the window, which AQE can split at a hot user.
-    for name, table, hist_cols in (("u", tu, H.ENTITIES["u"][1]), ("m", tm, H.ENTITIES["m"][1]),
-                                   ("c", tc, H.ENTITIES["c"][1]), ("uc", tuc, H.ENTITIES["um"][1])):
-        spec = L.TABLES[name][1]
-        rows = join_back(rows, table, spec.keys, [*spec.columns, *hist_cols], spec.nullable)
+    rows = join_back(rows, tu, L.TABLES["u"][1].keys, [*L.TABLES["u"][1].columns, *H.ENTITIES["u"][1]], L.NULLABLE)
+    for entity in ("m", "c"):
+        rows = _join_packed(rows, packed[entity], entity)
+    rows = join_back(rows, tuc, L.TABLES["uc"][1].keys, [*L.TABLES["uc"][1].columns, *H.ENTITIES["um"][1]])
     out = rows.withColumnRenamed("distance", "Distance")
     return _fill_counts(out).select(*KEYS, *FEATURES, *carry)

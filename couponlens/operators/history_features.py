@@ -6,7 +6,9 @@ roll-ups of it, so distinct merchant counts are plain counts of pairs (no
 ``Expand`` of the history rows). Coupon features are one more aggregate.
 The three consumers of the pair sums keep different columns, so Catalyst
 cannot share one exchange between them: callers that need more than one
-pass a stored copy (``plans.stage``) to read history once.
+pass a stored copy (``plans.stage``) to read history once. Several cutoffs
+(scoring and training) share one aggregation: ``pair_sums_at`` and
+``coupon_sums_at`` carry a struct of sums for each.
 All are partial + final hash aggregations, so a hot user or merchant
 costs one partial row per task.
 
@@ -17,33 +19,73 @@ rounded to 6 decimals.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from couponlens.functions import coupons as C
+from couponlens.plans.params import Windows
 
 
 def _n() -> F.Column:
     return F.count(F.lit(1))
 
 
+def _pair_sums(inside: F.Column, used: F.Column, rec_used: F.Column) -> dict[str, F.Column]:
+    """Sums of the receipts that are ``inside`` a history, of which some are ``used`` and ``rec_used`` in it."""
+    lag, bp, distance = C.redeem_lag(), C.discount_bp("discount"), F.col("distance")
+    used, rec_used = inside & used, inside & rec_used
+    within = lambda condition, c: F.when(condition, c)
+    return {
+        "n": F.count(within(inside, 1)),
+        "used": F.count(within(used, 1)),
+        "rec_used": F.count(within(rec_used, 1)),
+        "dist_sum": F.sum(within(inside, distance)).cast("long"),
+        "dist_n": F.count(within(inside, distance)),
+        "lag_sum": F.sum(within(used, lag)).cast("long"),
+        "lag_n": F.count(within(used, lag)),
+        "bp_sum": F.sum(within(used, bp)).cast("long"),
+        "bp_n": F.count(within(used, bp)),
+        "udist_sum": F.sum(within(used, distance)).cast("long"),
+        "udist_n": F.count(within(used, distance)),
+    }
+
+
 def pair_sums(hist: DataFrame) -> DataFrame:
-    used = F.col("used") == 1
-    lag = C.redeem_lag()
-    bp = C.discount_bp("discount")
-    return hist.groupBy("user_id", "merchant_id").agg(
-        _n().alias("n"),
-        F.sum("used").cast("long").alias("used"),
-        F.sum("rec_used").cast("long").alias("rec_used"),
-        F.sum("distance").cast("long").alias("dist_sum"),
-        F.count("distance").alias("dist_n"),
-        F.sum(F.when(used, lag)).cast("long").alias("lag_sum"),
-        F.count(F.when(used, lag)).alias("lag_n"),
-        F.sum(F.when(used, bp)).cast("long").alias("bp_sum"),
-        F.count(F.when(used, bp)).alias("bp_n"),
-        F.sum(F.when(used, F.col("distance"))).cast("long").alias("udist_sum"),
-        F.count(F.when(used, F.col("distance"))).alias("udist_n"),
-    )
+    sums = _pair_sums(F.lit(True), F.col("used") == 1, F.col("rec_used") == 1)
+    return hist.groupBy("user_id", "merchant_id").agg(*[c.alias(n) for n, c in sums.items()])
+
+
+def _at(w: Windows) -> tuple[F.Column, F.Column, F.Column]:
+    """Of parsed receipts: whether one is in the history of ``w``, redeemed in it, and redeemed in time (as T10 has it)."""
+    inside = F.col("date_received") < F.lit(w.cutoff)
+    used = F.coalesce(F.col("date_used") < F.lit(w.cutoff), F.lit(False))
+    return inside, used, used & (C.redeem_lag() <= w.redeem_days)
+
+
+def _sums_at(p: DataFrame, keys: list[str], windows: Sequence[Windows], sums) -> DataFrame:
+    """One aggregation of the receipts before the latest cutoff: a struct of sums for each of ``windows``, in order."""
+    each = [sums(*_at(w)) for w in windows]
+    rows = p.where(F.col("date_received") < F.lit(max(w.cutoff for w in windows)))
+    out = rows.groupBy(*keys).agg(*[c.alias(f"{n}_{i}") for i, one in enumerate(each) for n, c in one.items()])
+    return out.select(*keys, *[F.struct(*[F.col(f"{n}_{i}").alias(n) for n in one]).alias(f"at_{i}") for i, one in enumerate(each)])
+
+
+def pair_sums_at(p: DataFrame, windows: Sequence[Windows]) -> DataFrame:
+    """``pair_sums`` of the histories of several windows of parsed receipts at once; stored, each is read by ``of_window``."""
+    return _sums_at(p, ["user_id", "merchant_id"], windows, _pair_sums)
+
+
+def coupon_sums_at(p: DataFrame, windows: Sequence[Windows]) -> DataFrame:
+    """``coupon_sums`` of the histories of several windows of parsed receipts at once."""
+    return _sums_at(p, ["coupon_id"], windows, lambda inside, used, _: {"n": F.count(F.when(inside, 1)), "used": F.count(F.when(inside & used, 1))})
+
+
+def of_window(sums: DataFrame, i: int) -> DataFrame:
+    """The sums of the ``i``-th window: keys with a receipt in its history only. A scan reads that window's columns alone."""
+    keys = [c for c in sums.columns if not c.startswith("at_")]
+    return sums.where(F.col(f"at_{i}.n") > 0).select(*keys, f"at_{i}.*")
 
 
 def pair_features(sums: DataFrame) -> DataFrame:
@@ -94,14 +136,17 @@ def merchant_features(sums: DataFrame) -> DataFrame:
     )
 
 
-def coupon_features(hist: DataFrame) -> DataFrame:
-    g = hist.groupBy("coupon_id").agg(_n().alias("total"), F.sum("used").cast("long").alias("used"))
-    return g.select(
+def coupon_sums(hist: DataFrame) -> DataFrame:
+    return hist.groupBy("coupon_id").agg(_n().alias("n"), F.sum("used").cast("long").alias("used"))
+
+
+def coupon_features(sums: DataFrame) -> DataFrame:
+    return sums.select(
         "coupon_id",
-        F.col("total").alias("c_h_total_coupon"),
+        F.col("n").alias("c_h_total_coupon"),
         F.col("used").alias("c_h_used"),
-        (F.col("total") - F.col("used")).alias("c_h_not_use"),
-        C.ratio("used", "total").alias("c_h_rate_used"),
+        (F.col("n") - F.col("used")).alias("c_h_not_use"),
+        C.ratio("used", "n").alias("c_h_rate_used"),
     )
 
 
@@ -127,7 +172,7 @@ HISTORY_FEATURES = [f for _, fs in ENTITIES.values() for f in fs]
 def entity_table(hist: DataFrame, entity: str, sums: DataFrame | None = None) -> DataFrame:
     """History features of one entity. ``sums``: a stored ``pair_sums(hist)``."""
     if entity == "c":
-        return coupon_features(hist)
+        return coupon_features(coupon_sums(hist))
     sums = pair_sums(hist) if sums is None else sums
     return {"u": user_features, "m": merchant_features, "um": pair_features}[entity](sums)
 

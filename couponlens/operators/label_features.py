@@ -12,9 +12,11 @@ receipts (see ``ranks``):
   "this coupon" counts.
 * merchant coupon kinds: distinct ``(merchant, date, coupon)`` first, then
   counted (no distinct window aggregate exists; this is J4).
+* ``packed``: one row per merchant or coupon with maps from value to rank,
+  which the whole feature table (F57) joins by that key alone.
 
-Tables are joined back to the receipts on their full grain, NULL-safe on
-distance and discount.
+The other tables are joined back to the receipts on their full grain,
+NULL-safe on distance and discount.
 """
 
 from __future__ import annotations
@@ -151,6 +153,61 @@ def user_coupon_table(lw: DataFrame) -> DataFrame:
                     F.col("t").alias("u_l_today_this_coupon"))
 
 
+#: Ranked column -> kind of a packed row's map, and the key a value has there.
+PACKED = {"date_received": "days", "distance": "distances", "discount": "rates"}
+
+
+def _number(value: str) -> Column:
+    """A ranked value as a number: a day as its days since 1970, a distance or rate as it is (exactly)."""
+    return (F.unix_date(value) if value == "date_received" else F.col(value)).cast("double")
+
+
+def packed(lw: DataFrame, key: str, kinds: bool = False) -> DataFrame:
+    """One row per ``key``: its receipts, and maps from day, distance and rate to (asc, desc, t, kinds).
+
+    A row holds the values its key has (days + distances + rates at most),
+    however many receipts that is, where a table on the whole grain holds
+    their combinations. ``asc`` and ``desc`` are average-tie ranks, ``t``
+    counts receipts. ``kinds`` counts distinct coupons, in all and by day.
+    Both are counted per (key, value) first, so that a hot key is as many
+    rows as a task has values of it.
+    """
+    marks = F.array(*[F.struct(F.lit(kind).alias("kind"), _number(value).alias("value")) for value, kind in PACKED.items()])
+    rows = lw.select(key, F.explode(marks).alias("m"))
+    if kinds:
+        days = lw.groupBy(key, "coupon_id").agg(F.collect_set(_number("date_received")).alias("days"))
+        mark = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+        rows = rows.unionByName(days.select(key, F.explode(F.concat(
+            F.transform("days", lambda d: mark("kinds_of_day", d)), F.array(mark("kinds", F.lit(0.0))))).alias("m")))
+    counts = rows.where("m.value IS NOT NULL").groupBy(key, "m.kind", "m.value").agg(F.count(F.lit(1)).alias("t"))
+    named = [*PACKED.values(), *(["kinds_of_day", "kinds"] if kinds else [])]
+    lists = counts.groupBy(key).agg(*[F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.struct("value", "t")))).alias(k) for k in named])
+    total = lambda values: F.aggregate(values, F.lit(0).cast("long"), lambda n, x: n + x["t"])
+
+    def ranked(kind: str) -> Column:
+        n = total(F.col(kind))
+
+        def entry(x: Column, i: Column) -> Column:
+            asc = total(F.slice(kind, 1, i + 1)) - (x["t"] - 1) / F.lit(2.0)
+            of_day = F.try_element_at(F.map_from_entries("kinds_of_day"), x["value"]) if kinds and kind == "days" else F.lit(None).cast("long")
+            return F.struct(x["value"].alias("key"), F.struct(asc.alias("asc"), (n + 1 - asc).alias("desc"), x["t"].alias("t"), of_day.alias("kinds")).alias("value"))
+
+        return F.map_from_entries(F.transform(kind, entry)).alias(kind)
+
+    return lists.select(key, total(F.col("days")).alias("total"), *[ranked(k) for k in PACKED.values()],
+                        (F.get("kinds", F.lit(0))["t"] if kinds else F.lit(None).cast("long")).alias("kinds"))
+
+
+def unpacked(prefix: str, row: str = "packed") -> dict[str, Column]:
+    """Features of the receipts of a packed table's keys, by the receipt's own day, distance and rate; ``row``: the packed row."""
+    at = {value: F.try_element_at(F.col(f"{row}.{kind}"), _number(value)) for value, kind in PACKED.items()}
+    ranks = {name: at[value]["asc" if asc else "desc"] for name, (value, asc) in RANKS[prefix].items()}
+    if prefix == "c":
+        return {"c_l_total_received": F.col(f"{row}.total"), **ranks}
+    return {"m_l_howmuch_coupon": F.col(f"{row}.total"), "m_l_howmuch_coupon_today": at["date_received"]["t"],
+            "m_l_howmuch_kindof_coupon": F.col(f"{row}.kinds"), "m_l_howmuch_kindof_coupon_today": at["date_received"]["kinds"], **ranks}
+
+
 _U = ["u_l_total_coupon", "u_l_today_coupon", "u_l_if_is_first_received", "u_l_if_is_last_received", *RANKS["u"]]
 _M = ["m_l_howmuch_coupon", "m_l_howmuch_coupon_today", "m_l_howmuch_kindof_coupon",
       "m_l_howmuch_kindof_coupon_today", *RANKS["m"]]

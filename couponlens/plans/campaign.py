@@ -82,13 +82,21 @@ def run(spark: SparkSession, receipts: DataFrame | str, out: str, c: Campaign =
         labelled = {"label": c.label} if "label" in inspect.signature(fn).parameters else {}
         SK.write_report(fn(cube, **labelled), paths[name], key)
 
+    def kept(table: DataFrame, name: str) -> DataFrame:
+        SK.write_table(table, f"{out}/features/_{name}")
+        return SK.read_table(spark, f"{out}/features/_{name}", table.schema)
+
+    # History is aggregated once for the cutoffs of both windows.
+    windows = [c.scoring, c.training] if c.fit_model else [c.scoring]
+    pairs, coupons = kept(HF.pair_sums_at(p, windows), "pairsums"), kept(HF.coupon_sums_at(p, windows), "couponsums")
+
     def features(w: Windows, label_window_rows: DataFrame, history_rows: DataFrame, name: str,
                  carry: tuple[str, ...] = ()) -> DataFrame:
-        pairs = HF.pair_sums(history_rows)
-        SK.write_table(pairs, f"{out}/features/_pairsums_{name}")
-        sums = SK.read_table(spark, f"{out}/features/_pairsums_{name}", pairs.schema)
+        sums = HF.of_window(pairs, windows.index(w))
+        packed = FW.packed_tables(label_window_rows, sums, HF.of_window(coupons, windows.index(w)))
+        packed = {e: kept(t, f"packed_{e}_{name}") for e, t in packed.items()}
         paths[name] = f"{out}/features/{name}"
-        wide = FW.features_wide(label_window_rows, history_rows, carry=carry, sums=sums)
+        wide = FW.features_wide(label_window_rows, history_rows, carry=carry, sums=sums, packed=packed)
         SK.write_features(wide, paths[name])
         return SK.read_features(spark, paths[name], wide.schema)
 

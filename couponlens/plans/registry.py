@@ -3,8 +3,9 @@
 Every query starts from the receipt table derived from the test tables at
 ``sf_dir``, so its work grows with the tables. Tables that several queries
 share are written once per application to the session's shared folder
-(``plans.stage``): the receipts (by day), the report cube, the pair-level
-history of each cutoff, and the scoring and training feature tables.
+(``plans.stage``): the receipts (by day), the report cube, the pair-level and
+coupon-level history at both cutoffs, the packed merchant and coupon rows,
+and the scoring and training feature tables.
 """
 
 from __future__ import annotations
@@ -62,9 +63,27 @@ def cube(spark: SparkSession, sf_dir: str, w: Windows = SCORING) -> DataFrame:
     return staged(spark, S.fixture_key(spark, "cube", sf_dir, w), lambda: Q.report_cube(lw(spark, sf_dir, w)))
 
 
+def _at_both(spark: SparkSession, sf_dir: str, name: str, build, w: Windows) -> DataFrame:
+    """Sums of one history aggregation for the cutoffs of scoring and training, built once per application."""
+    windows = [SCORING, TRAINING]
+    made = staged(spark, S.fixture_key(spark, name, sf_dir, *windows), lambda: build(parsed_receipts(spark, sf_dir), windows))
+    return HF.of_window(made, windows.index(w))
+
+
 def sums(spark: SparkSession, sf_dir: str, w: Windows = SCORING) -> DataFrame:
-    """Pair-level history sums, aggregated once per application and cutoff."""
-    return staged(spark, S.fixture_key(spark, "pairsums", sf_dir, w), lambda: HF.pair_sums(hist(spark, sf_dir, w)))
+    """Pair-level history sums at the cutoff of ``w``."""
+    return _at_both(spark, sf_dir, "pairsums", HF.pair_sums_at, w)
+
+
+def coupon_sums(spark: SparkSession, sf_dir: str, w: Windows = SCORING) -> DataFrame:
+    """Coupon-level history sums at the cutoff of ``w``."""
+    return _at_both(spark, sf_dir, "couponsums", HF.coupon_sums_at, w)
+
+
+def packed(spark: SparkSession, sf_dir: str, w: Windows = SCORING) -> dict[str, DataFrame]:
+    """Packed merchant and coupon rows of a window, built once per application."""
+    made = FW.packed_tables(lw(spark, sf_dir, w), sums(spark, sf_dir, w), coupon_sums(spark, sf_dir, w))
+    return {e: staged(spark, S.fixture_key(spark, f"packed-{e}", sf_dir, w), lambda t=t: t) for e, t in made.items()}
 
 
 # ---- S1, T1..T13 -------------------------------------------------------------
@@ -203,12 +222,12 @@ QUERIES["f_distance"] = QUERIES["f_Distance"]
 def _features_wide(spark, sf_dir):
     """F57, written once per application: scoring and the sink read the stored table."""
     return staged(spark, S.fixture_key(spark, "features", sf_dir, SCORING),
-                  lambda: FW.features_wide(lw(spark, sf_dir), hist(spark, sf_dir), sums=sums(spark, sf_dir)))
+                  lambda: FW.features_wide(lw(spark, sf_dir), hist(spark, sf_dir), sums=sums(spark, sf_dir), packed=packed(spark, sf_dir)))
 
 
 @query("features_entity_join")
 def _features_entity_join(spark, sf_dir):
-    return FW.entity_join(lw(spark, sf_dir), hist(spark, sf_dir), sums(spark, sf_dir))
+    return FW.entity_join(lw(spark, sf_dir), hist(spark, sf_dir), sums(spark, sf_dir), coupon_sums(spark, sf_dir))
 
 
 @query("features_pair_join")
@@ -226,7 +245,7 @@ def _kinds_join_back(spark, sf_dir):
 def _train(spark, sf_dir):
     """M1, written once per application; the fit reads the stored table."""
     return staged(spark, S.fixture_key(spark, "trainset", sf_dir, TRAINING), lambda: M.train_set(
-        lw(spark, sf_dir, TRAINING), hist(spark, sf_dir, TRAINING), sums(spark, sf_dir, TRAINING)))
+        lw(spark, sf_dir, TRAINING), hist(spark, sf_dir, TRAINING), sums(spark, sf_dir, TRAINING), packed(spark, sf_dir, TRAINING)))
 
 
 def _model(spark, sf_dir):

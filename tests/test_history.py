@@ -56,7 +56,7 @@ def test_used_plus_not_use_is_total(spark):
     for r in H.user_features(H.pair_sums(h)).collect():
         assert r.u_h_used + r.u_h_not_use == r.u_h_total_coupon
         assert 0.0 <= r.u_h_rate_used <= 1.0
-    for r in H.coupon_features(h).collect():
+    for r in H.coupon_features(H.coupon_sums(h)).collect():
         assert r.c_h_used + r.c_h_not_use == r.c_h_total_coupon
 
 

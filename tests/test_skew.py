@@ -1,13 +1,18 @@
 """Hot keys: a user holding over a third of all rows, many identical copies,
 a hot merchant and a hot day. Results must equal the SQL oracle exactly."""
 
+import datetime as dt
+
 import duckdb
 from pyspark.sql import functions as F
 
 from check_oracle import compare
 from couponlens.operators import features as FW
+from couponlens.operators import history_features as HF
+from couponlens.operators import label_features as L
 from couponlens.operators import reports as Q
 from couponlens.plans.oracle import features_over
+from couponlens.plans.params import SCORING, TRAINING, Windows
 from couponlens.plans.windows import history_window, label_window
 from couponlens.sources import receipts as S
 
@@ -80,3 +85,53 @@ def test_hot_key_join_back_is_split_by_aqe(spark):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "SortMergeJoin(skew=true) [user_id" in plan
+
+
+def test_hot_merchant_is_split_by_aqe(spark, tmp_path):
+    """One merchant holds most of the window; its packed row is one of a stored table, and AQE splits its receipts in that join."""
+    s2 = spark.newSession()
+    for k, v in {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                 "spark.sql.adaptive.coalescePartitions.enabled": "false",  # a megabyte would be one map task, which cannot be split
+                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}.items():
+        s2.conf.set(k, v)
+    hot = s2.range(30000).select(
+        F.col("id").alias("user_id"), F.lit(3).cast("long").alias("merchant_id"),
+        F.abs(F.xxhash64("id")).alias("coupon_id"), F.lit("30:5").alias("discount_rate"),
+        (F.col("id") % 11).cast("int").alias("distance"), F.lit("2016-07-09").cast("date").alias("date_received"),
+        F.lit(None).cast("date").alias("date_used"))
+    p = S.parsed(S.fixture_receipts(s2, SMALL).unionByName(hot))
+    lw, hist = label_window(p), history_window(p)
+    packed = {}
+    for e, t in FW.packed_tables(lw, HF.pair_sums(hist), HF.coupon_sums(hist)).items():
+        t.write.parquet(str(tmp_path / e))
+        packed[e] = s2.read.parquet(str(tmp_path / e))
+    out = FW.features_wide(lw, hist, packed=packed)
+    assert out.count() == lw.count() == 834 + 30000
+    of_day = {r.d for r in out.where("merchant_id = 3 AND date_received = date'2016-07-09'").select((F.col("m_l_howmuch_coupon_today") >= 30000).alias("d")).distinct().collect()}
+    assert of_day == {True}
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin(skew=true) [merchant_id" in plan
+
+
+def test_packed_row_is_bounded_by_values(spark):
+    """The hot merchant's row holds a map entry per day, distance and rate, not per combination or receipt."""
+    lw = label_window(S.parsed(_skewed(spark)))
+    row = L.packed(lw, "merchant_id", kinds=True).where("merchant_id = 3").first()
+    seen = lw.where("merchant_id = 3").agg(F.count("*").alias("n"), F.countDistinct("date_received").alias("d"), F.countDistinct("distance").alias("x"),
+                                           F.countDistinct("discount").alias("r"), F.countDistinct("coupon_id").alias("k")).first()
+    assert (row.total, len(row.days), len(row.distances), len(row.rates), row.kinds) == (seen.n, seen.d, seen.x, seen.r, seen.k)
+
+
+def test_both_cutoffs_in_one_aggregation(spark):
+    """Sums of several windows at once are those of each window's own history."""
+    p = S.parsed(_skewed(spark))
+    windows = [SCORING, TRAINING, Windows(l_start=dt.date(2015, 1, 1), l_end=dt.date(2015, 1, 2))]
+    pairs, coupons = HF.pair_sums_at(p, windows), HF.coupon_sums_at(p, windows)
+    rows = lambda df: sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=repr)
+    for i, w in enumerate(windows):
+        hist = history_window(p, w)
+        assert rows(HF.of_window(pairs, i)) == rows(HF.pair_sums(hist)) and rows(HF.of_window(coupons, i)) == rows(HF.coupon_sums(hist))
+    assert HF.of_window(pairs, 2).count() == 0 < HF.of_window(pairs, 1).count() < HF.of_window(pairs, 0).count()
