@@ -12,7 +12,7 @@ the exact cosine of the original vectors.
 The window grows with the table: ``WINDOW`` vectors up to ``WINDOW_AT``
 classes and from there with their number to the power ``GROWTH``, which keeps
 recall on vectors without any structure (``window_for``). Beyond
-``LARGEST_BLOCK`` vectors a window is cut into blocks, and a query meets as
+``LARGEST_BLOCK`` vectors, or ``BLOCK_BYTES``, a window is cut into blocks, and a query meets as
 many blocks either side as make up a window.
 
 Identical vectors are one class with its smallest ids, so a vector that is
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -34,6 +34,8 @@ from couponlens.llm.common import stored
 
 CURVES, DIMS, CELL_BITS, WINDOW, SHORTLIST, SEED = 32, 16, 3, 384, 32, 7
 WINDOW_AT, GROWTH, LARGEST_BLOCK = 50_000, 0.85, 65_536
+#: Bytes of a block's vectors in double precision, and lengths of vectors that are answered, each among its own.
+BLOCK_BYTES, LENGTHS = 1 << 26, 16
 #: Bits of an axis that a curve's key holds: a cell is 4e-7 standard deviations wide, about what float32 tells apart.
 FINE_BITS = 24
 #: Scores of a block that are held at once.
@@ -94,19 +96,31 @@ def window_for(classes: int) -> int:
     return max(WINDOW, math.ceil(WINDOW * (classes / WINDOW_AT) ** GROWTH))
 
 
+def unit_rows(m: np.ndarray) -> np.ndarray:
+    """Rows of length one; by their largest component first, so that no square of a tiny or huge one is lost."""
+    m = m / np.abs(m).max(axis=1, keepdims=True)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1)
 
 
 def valid_vectors(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, v) of the vectors that take part: of the table's most common length, finite, not zero, with an id."""
+    """(vec_id, v) of the vectors that take part: finite, not zero, with an id."""
     v = F.col(vec_col)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    out = rows.select(F.col(id_col).alias("vec_id"), v.alias("v")).where(
+    return rows.select(F.col(id_col).alias("vec_id"), v.alias("v")).where(
         F.col("vec_id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0))
-    common = out.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return out.where(F.size("v") == (common["n"] if common else 0))
+
+
+def scaled(v: Column) -> Column:
+    """A vector in double precision, times a power of two (exactly) that brings its largest component near one."""
+    wide = F.transform(v, lambda x: x.cast("double"))
+    largest = F.array_max(F.transform(wide, lambda x: F.abs(x)))
+    exponent = F.greatest(F.least(F.floor(F.log2(largest)), F.lit(1000)), F.lit(-1000))
+    return F.transform(wide, lambda x: x * F.pow(F.lit(2.0), -exponent))
 
 
 def place(classes: DataFrame, curves: int, window: int, dims: int) -> DataFrame:
@@ -115,8 +129,7 @@ def place(classes: DataFrame, curves: int, window: int, dims: int) -> DataFrame:
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                m = _matrix(batch.column(2))
-                m /= np.linalg.norm(m, axis=1, keepdims=True)
+                m = unit_rows(_matrix(batch.column(2)))
                 for curve, key in enumerate(curve_keys(m, curves, dims)):
                     ends = np.arange(len(key) + 1, dtype=np.int32) * key.shape[1]
                     key = pa.Array.from_buffers(pa.binary(), len(key), [None, pa.py_buffer(ends), pa.py_buffer(key)])
@@ -177,18 +190,32 @@ def _compare(shortlist: int):
 
 
 def nearest(rows: DataFrame, every: int, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", curves: int = CURVES,
-            window: int | None = None, dims: int = DIMS, shortlist: int = SHORTLIST) -> DataFrame:
+            window: int | None = None, dims: int = DIMS, shortlist: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every row whose id is divisible by ``every``.
 
-    Nearness is the cosine of the original vectors in double precision; ties
-    go to the smaller vec_id; the query's own id is no candidate. Null or
-    zero vectors, vectors with null or non-finite components, vectors of
-    another length than most, and rows without an id take no part. A row
+    Nearness is the cosine of the original vectors in double precision, of
+    vectors of any magnitude; ties go to the smaller vec_id; the query's own
+    id is no candidate. Null or zero vectors, vectors with null or non-finite
+    components, and rows without an id take no part. Vectors meet those of
+    their own length; more than ``LENGTHS`` lengths are an error. A row
     repeated with its id counts once. With fewer than ``k`` candidates all
     are returned; an empty table gives no rows; other columns are not read.
-    Without ``window`` it follows from the number of distinct vectors.
+    Without ``window`` and ``shortlist`` they follow from the number of
+    distinct vectors and from ``k``.
     """
     vectors = valid_vectors(rows, id_col, vec_col)
+    lengths = [r.n for r in vectors.select(F.size("v").alias("n")).distinct().orderBy("n").limit(LENGTHS + 1).collect()]
+    if len(lengths) > LENGTHS:
+        raise ValueError(f"vectors of more than {LENGTHS} lengths")
+    found = None
+    for n in lengths or [0]:
+        some = _nearest(vectors.where(F.size("v") == n), n, every, k, curves, window, dims, shortlist or max(SHORTLIST, 2 * (k + 1)))
+        found = some if found is None else found.unionByName(some)
+    return found
+
+
+def _nearest(vectors: DataFrame, length: int, every: int, k: int, curves: int, window: int | None, dims: int, shortlist: int) -> DataFrame:
+    """``nearest`` of (vec_id, v) with vectors of one length."""
     # Rank limits are applied before the shuffle too, so a hot vector sends k + 1 ids from each task.
     lowest = vectors.withColumn("r", F.dense_rank().over(W.partitionBy("v").orderBy("vec_id"))).where(F.col("r") <= k + 1)
     classes = stored(lowest.groupBy("v").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
@@ -201,10 +228,10 @@ def nearest(rows: DataFrame, every: int, k: int = 5, id_col: str = "vec_id", vec
     @F.pandas_udf("binary")
     def unit32(v):
         m = np.array(v.tolist(), np.float64).reshape(len(v), -1)
-        return type(v)([x.tobytes() for x in (m / np.linalg.norm(m, axis=1, keepdims=True)).astype(np.float32)])
+        return type(v)([x.tobytes() for x in unit_rows(m).astype(np.float32)])
 
     window = window or window_for(classes.count())
-    block = min(window, LARGEST_BLOCK)
+    block = max(1, min(window, LARGEST_BLOCK, BLOCK_BYTES // (8 * max(1, length))))
     reach = math.ceil(window / block)
     placed = place(flagged, curves, block, dims).join(classes.select("cls", unit32("v").alias("unit")), "cls")
     members = placed.select("curve", "block", F.lit(False).alias("ask"), "cls", "unit")
@@ -212,15 +239,15 @@ def nearest(rows: DataFrame, every: int, k: int = 5, id_col: str = "vec_id", vec
                                         F.lit(True).alias("ask"), "cls", "unit")
     # Rows of two groups whose hashes meet are compared as well, which harms nothing.
     groups = members.unionByName(asks).select(F.xxhash64("curve", "block").alias("g"), "ask", "cls", "unit").repartition("g").sortWithinPartitions("g")
-    found = groups.mapInArrow(_compare(min(shortlist, 16)), "q long, c long, near double").groupBy("q", "c").agg(F.max("near").alias("near"))
+    found = groups.mapInArrow(_compare(min(shortlist, max(16, k + 1))), "q long, c long, near double").groupBy("q", "c").agg(F.max("near").alias("near"))
     own = asked.select(F.col("cls").alias("q"), F.col("cls").alias("c"))
     short = (found.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("near"), "c")))
              .where(F.col("r") <= shortlist).select("q", "c").unionByName(own))
 
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     cosine = dot("qv", "v") / (F.sqrt(dot("qv", "qv")) * F.sqrt(dot("v", "v")))
-    scored = (short.join(classes.select(F.col("cls").alias("q"), F.col("v").alias("qv")), "q")
-              .join(classes.select(F.col("cls").alias("c"), "v", "ids"), "c").select("q", cosine.alias("score"), F.explode("ids").alias("vec_id")))
+    scored = (short.join(classes.select(F.col("cls").alias("q"), scaled(F.col("v")).alias("qv")), "q")
+              .join(classes.select(F.col("cls").alias("c"), scaled(F.col("v")).alias("v"), "ids"), "c").select("q", cosine.alias("score"), F.explode("ids").alias("vec_id")))
     best = (scored.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).where(F.col("r") <= k + 1)
             .groupBy(F.col("q").alias("cls")).agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id", "score"))).alias("near")))
     others = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)

@@ -174,6 +174,40 @@ def test_nearest_neighbours_awkward(spark, tmp_path):
     assert [(r.query_id, r.vec_id) for r in ann.nearest(two, every=2).collect()] == [(0, 1)]
 
 
+def test_nearest_neighbours_of_any_magnitude(spark):
+    """Squares of tiny components vanish and of huge ones run over; the cosine is that of the vectors all the same."""
+    m = np.random.default_rng(12).normal(size=(60, 6))
+    scale = np.array([1e-170, 1e-310, 1.0, 1e170, 1e307])[np.arange(60) % 5]
+    rows = [(i, (v * s).tolist()) for i, (v, s) in enumerate(zip(m, scale))]
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    got = defaultdict(list)
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=5, k=5).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    for q in range(0, 60, 5):
+        near = sorted((-float(unit[q] @ unit[j]), j) for j in range(60) if j != q)[:5]
+        assert [j for j, _ in got[q]] == [j for _, j in near] and np.allclose([s for _, s in got[q]], [-s for s, _ in near], atol=1e-9)
+
+
+def test_many_nearest_neighbours(spark):
+    """No cap beside k: 100 of 300 distinct vectors; and vectors of another length meet their own."""
+    m = np.random.default_rng(13).normal(size=(300, 8)).tolist()
+    other = np.random.default_rng(14).normal(size=(7, 3)).tolist()
+    rows = list(enumerate(m)) + [(1000 + i, v) for i, v in enumerate(other)]
+    got = defaultdict(list)
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=50, k=100).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((-round(r.score, 12), r.vec_id))
+    wide = lambda found: {q: [(round(s, 5), j) for s, j in x] for q, x in found.items()}
+    wanted = plain_nearest(rows[:300], 50, 100, 8) | plain_nearest(rows[300:], 50, 100, 3)
+    assert {q: len(x) for q, x in got.items()} == {q: len(x) for q, x in wanted.items()} and len(got[0]) == 100 and len(got[1000]) == 6
+    assert all({j for _, j in wide(got)[q]} == {j for _, j in wide(wanted)[q]} for q in got)
+
+
+def test_too_many_lengths_are_refused(spark):
+    rows = [(i, [1.0] * (i + 1)) for i in range(ann.LENGTHS + 1)]
+    with pytest.raises(ValueError):
+        ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=5)
+
+
 def test_nearest_neighbours_recall(spark):
     """Windows much smaller than the table: 20,000 vectors without structure, recall at least 0.9 of brute force."""
     rng = np.random.default_rng(9)
