@@ -75,6 +75,23 @@ def test_url_filter_without_entries_or_captures(spark, tmp_path):
         assert url_filter.filter_captures(captures, some).count() == len(rows)
 
 
+def test_url_filter_of_very_long_urls(spark, tmp_path):
+    """URLs of a megabyte with 500,000 slashes, steps or labels take seconds; keys at and beyond the longest listed one."""
+    import time
+    long = ["https://b.example.com/x" + "/" * 500_000 + "y", "https://b.example.com/" + "x/" * 500_000, "https://" + "a." * 400_000 + "example.com/x",
+            "https://b.example.com/" + "z" * 1_000_000, "https://b.example.com/x/yy", "https://b.example.com/x/y/", "https://b.example.com/x/y", "https://bb.example.com",
+            "https://" + "a" * 500_000 + "." + "b" * 500_000, "x" * 1_000_000]
+    entries = [("l", "b.example.com/x", "add", at(0)), ("l", "b.example.com/x/y", "add", at(0)), ("d", "example.com", "add", at(0)), ("d", "b.example.com", "add", at(0))]
+    rows = [(i, u, at(1)) for i, u in enumerate(long)]
+    spark.createDataFrame(rows, "page_id long, url string, fetched_at timestamp").repartition(2).write.parquet(str(tmp_path / "c"))
+    begun = time.monotonic()
+    listed = spark.createDataFrame(entries, "list string, key string, action string, dated timestamp")
+    got = {r.page_id: (r.matched_key, r.matches) for r in url_filter.filter_captures(spark.read.parquet(str(tmp_path / "c")), listed).collect()}
+    assert time.monotonic() - begun < 60
+    assert got == {0: ("b.example.com/x/y", 4), 1: ("b.example.com/x", 3), 2: ("example.com", 1), 3: ("b.example.com", 2), 4: ("b.example.com/x", 3),
+                   5: ("b.example.com/x/y", 4), 6: ("b.example.com/x/y", 4), 7: ("example.com", 1), 8: (None, 0), 9: (None, 0)}
+
+
 TEXTS = ["hello", "", None, "\\### Assistant: </turn> ok", "<turn>### a: b</turn>\n", "a\\l\\\\h\n", "x" * 5000, "é\u0000\U0001f600"]
 
 
