@@ -27,27 +27,57 @@ from pyspark.sql import functions as F
 from couponlens.llm.common import ROW, numbered
 
 RESETS = ("open", "edit", "regenerate")
-#: Characters of a streamed delta when a log is made of whole messages.
-DELTA = 2048
 OPEN, MIDDLE, CLOSE = "<turn>### ", ": ", "</turn>\n"
 ESCAPES = {"\\": "\\\\", "<": "\\l", "#": "\\h", ":": "\\c"}
 SEGMENT = re.compile(re.escape(OPEN) + r"([^:]*)" + re.escape(MIDDLE) + r"(.*)" + re.escape(CLOSE), re.DOTALL)
 
 
+def _cut(text: Column, size: Column) -> Column:
+    """The pieces of ``size`` characters that a text is streamed in."""
+    last = F.floor((F.length(text) - 1) / size).cast("int")
+    return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(
+        F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(text, i * size + 1, size)))
+
+
 def log_of(rows: DataFrame) -> DataFrame:
-    """The event log of whole messages (conv_id, turn, role, text): each is opened and streamed in deltas."""
+    """An event log that whole messages (conv_id, turn, role, text) could come from, by rules on a hash of the message.
+
+    A message is opened and streamed in deltas of 7 to 67 characters, of a
+    64th of the text if that is more. One in four comes just so; one in four
+    is a draft first, in two deltas, that is thrown away by a regeneration;
+    one in four begins with a wrong delta, is edited to its first half and
+    streams the rest; and one in four is streamed, edited to something else,
+    regenerated, streamed in part and edited to the whole. The log arrives
+    backwards, and one event in five twice.
+    """
     each = numbered(rows.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))).withColumnRenamed(ROW, "message")
-    opened = F.array(F.struct(F.lit("open").alias("op"), F.lit("").alias("text")))
-    deltas = F.transform(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{DELTA}}}"), F.lit(0)),
-                         lambda t: F.struct(F.lit("delta").alias("op"), t.alias("text")))
-    return (each.select("conv_id", "turn", "message", "role", F.posexplode(F.concat(opened, deltas)).alias("seq", "e"))
-            .select("conv_id", "turn", "message", F.col("seq").cast("long").alias("seq"), "e.op", "role", "e.text"))
+    event = lambda op, text: F.struct(F.lit(op).alias("op"), text.alias("text"))
+    hashed, text, draft = F.col("hashed"), F.col("text"), F.lit("A draft </turn> ### to be thrown away: ")
+    size = F.greatest(F.lit(7) + F.pmod(hashed, F.lit(61)), F.ceil(F.length("text") / 64)).cast("int")
+    half = F.floor(F.length("text") / 2).cast("int")
+    first, rest = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.length("text"))
+    deltas = lambda t: F.transform(_cut(t, F.col("size")), lambda x: event("delta", x))
+    none, opened = F.lit(""), event("open", F.lit(""))
+    way = F.pmod(F.shiftright(hashed, 8), F.lit(4))
+    told = (F.when(way == 0, deltas(text))
+            .when(way == 1, F.concat(F.array(event("delta", draft), event("delta", F.reverse(first)), event("regenerate", none)), deltas(text)))
+            .when(way == 2, F.concat(F.array(event("delta", draft), event("edit", first)), deltas(rest)))
+            .otherwise(F.concat(deltas(first), F.array(event("edit", draft), event("regenerate", none)), deltas(rest), F.array(event("edit", text)))))
+    named = each.withColumn("hashed", F.xxhash64("conv_id", "turn", "role", "text")).withColumn("size", size)
+    events = named.select("conv_id", "turn", "message", "role", "hashed", F.concat(F.array(opened), told).alias("told"))
+    numbers = F.transform("told", lambda e, i: F.struct(i.cast("long").alias("seq"), e["op"].alias("op"), e["text"].alias("text")))
+    twice = F.filter(numbers, lambda e: F.pmod(F.xxhash64(e["seq"], F.col("hashed")), F.lit(5)) == 0)
+    return events.select("conv_id", "turn", "message", "role", F.explode(F.concat(F.reverse(numbers), twice)).alias("e")).select(
+        "conv_id", "turn", "message", "e.seq", "e.op", F.when(F.col("e.op") == "open", F.col("role")).alias("role"), "e.text")
 
 
 def fold(log: DataFrame) -> DataFrame:
     """Final messages (conv_id, turn, message, role, text) of a log (conv_id, turn, message, seq, op, role, text).
 
-    ``message`` tells messages of a conversation apart, ``turn`` orders them.
+    ``message`` tells messages of a conversation apart, ``turn`` orders them;
+    each is folded by itself, so that a conversation may have any number. A
+    message's events are sorted in one row: its whole history, with what it
+    was before, has to fit a task.
     The role is that of the first event that has one. Repeated events (same
     seq, op and text) count once, null texts as empty, other ops not at all.
     """
@@ -140,6 +170,6 @@ def format_conversations(rows: DataFrame) -> DataFrame:
 
     Every row is a message, repeated rows and rows of one turn too. Null
     texts and roles count as empty; rows with a null conv_id make up one
-    conversation. An empty table gives no rows; other columns are not read.
+    conversation. A text of any length is one message, held whole by a task. An empty table gives no rows; other columns are not read.
     """
     return render(fold(log_of(rows)))

@@ -153,6 +153,30 @@ def test_fold_is_the_fold_of_events_in_order(spark, logs):
         assert got.get(i) == (text if log else None)
 
 
+def test_the_log_holds_what_the_fold_is_for(spark):
+    """Drafts, edits and regenerations, out of order and twice; the fold of it is the messages."""
+    texts = ["", "a", "Some text of a message, cut anywhere. " * 4, "<#\\:>" * 30, "\U0001f600é" * 50, "word " * 20_000]
+    rows = [(c, t, "assistant" if t % 2 else "user", texts[(c + t) % len(texts)]) for c in range(20) for t in range(6)]
+    log = chat.log_of(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).repartition(7)
+    ops = Counter(r.op for r in log.select("op").collect())
+    assert set(ops) == {"open", "delta", "edit", "regenerate"} and min(ops.values()) >= 20
+    events = log.groupBy("message", "seq").count()
+    assert 0.1 < events.where("count > 1").count() / events.count() < 0.3
+    assert log.groupBy("message").count().agg({"count": "max"}).first()[0] < 200
+    assert Counter((r.conv_id, r.turn, r.role, r.text) for r in chat.fold(log).collect()) == Counter(rows)
+
+
+def test_fold_of_a_message_with_very_many_events(spark):
+    """30,000 events of one message, each delivered twice, backwards, with edits and regenerations among them."""
+    op = lambda n: "edit" if n % 9973 == 0 else "regenerate" if n % 7919 == 0 else "delta"
+    log = [(1, 0, 5, n, op(n), "user" if n == 0 else None, f"{n} ") for n in range(30_000)]
+    text = ""
+    for *_, o, _, part in log:
+        text = {"edit": part, "regenerate": "", "delta": text + part}[o]
+    table = spark.createDataFrame(log[::-1] + log, "conv_id long, turn long, message long, seq long, op string, role string, text string").repartition(4)
+    assert [(r.role, r.text) for r in chat.fold(table).collect()] == [("user", text)]
+
+
 def test_hilbert_curve_visits_every_cell_and_steps_to_neighbours():
     for dims, bits in ((2, 4), (3, 3), (5, 2), (2, 1)):
         cells = np.array(list(itertools.product(range(1 << bits), repeat=dims)))
