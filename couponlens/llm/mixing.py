@@ -7,14 +7,18 @@ whole passes over its documents and, for the rest, a prefix of a last pass.
 Documents fall into ``BLOCKS`` blocks of their source by a keyed hash of
 their id, and each pass has its own permutation of the blocks. The number of
 blocks a source gives is its quota. A splitting tree deals the quotas to the
-output shards: at each node the blocks of all sources are drawn without
-replacement into a left and a right half, which makes the counts
-multivariate hypergeometric, until a node is one shard; a shard thus holds
+output shards: at each node as many as half of all sources' blocks are drawn
+without replacement to go left, which makes the counts by source
+multivariate hypergeometric, until a node is one shard. Each source then
+fills its shards' quotas with its blocks in a permutation; a shard thus holds
 disjoint permuted blocks. Its rows are shuffled by a keyed hash.
 
-Windows see blocks (at most ``BLOCKS`` per source and pass), never all
-documents of a source. Only documents of the one block of each source that
-the target cuts are ordered among themselves, and those cell by cell.
+Windows see one source's blocks (at most ``BLOCKS`` a pass), one range of
+hashes of a node's blocks, or the ranges themselves, never all blocks of all
+sources or all documents of a source. Only documents of the one block of each
+source that the target cuts are ordered among themselves, and those cell by
+cell; rows of one id have cells of their own. The targets are computed by one
+task over the list of sources.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from pyspark.sql import Window as W
 from couponlens.llm.common import ROW, WORD, numbered, spare_name, stored, whole_text
 
 BLOCKS = 1024
+#: A node's blocks are ranked by ranges of their hashes, 2^HASH_BITS of them.
+HASH_BITS = 12
 WEIGHTS = (5, 2, 1)
 SEED = 20240607
 
@@ -43,7 +49,7 @@ def sized(docs: DataFrame, seed: int, id_col: str = "doc_id", source_col: str =
     key = _hash(seed, F.col("doc_id").cast("string"))
     return stored(rows.select(
         ROW, "doc_id", "s", "source", F.regexp_count("t", F.lit(WORD)).cast("long").alias("size"), key.alias("key"),
-        F.pmod(key, F.lit(BLOCKS)).cast("int").alias("block"), F.pmod(F.shiftright(key, 20), F.lit(BLOCKS)).cast("int").alias("cell"),
+        F.pmod(key, F.lit(BLOCKS)).cast("int").alias("block"), F.pmod(_hash(seed + 1, "doc_id", ROW), F.lit(BLOCKS)).cast("int").alias("cell"),
     ), "sized")
 
 
@@ -66,16 +72,37 @@ def targets(sources: DataFrame, weights: tuple = WEIGHTS, total: float = 1.5, mo
                              ).select("s", "source", "source_size", "target")
 
 
-def split(draws: DataFrame, levels: int, seed: int) -> DataFrame:
-    """Shard of every drawn block, by a tree of ``levels`` draws without replacement (2^levels shards)."""
-    out = draws.withColumn("shard", F.lit(0))
+def split(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
+    """(s, shard, n): how many of each source's quota of blocks (s, quota) each of 2^levels shards gets.
+
+    At a node the blocks of all sources, told apart by number only, go left or
+    right as a random half of them does: their keyed hashes are ranked, by
+    ``1 << HASH_BITS`` ranges of hashes first and then within a range, so no
+    task meets a node's blocks. The counts by source are multivariate hypergeometric.
+    """
+    out = quotas.where("quota > 0").select("s", F.explode(F.sequence(F.lit(1).cast("long"), F.col("quota"))).alias("draw"), F.lit(0).alias("shard"))
     for level in range(levels):
+        out = out.withColumn("u", _hash(seed + 100 + level, "s", "draw"))
+        out = stored(out.withColumn("part", F.shiftright("u", 64 - HASH_BITS)), "drawn")
         node = W.partitionBy("shard")
-        rank = F.row_number().over(node.orderBy(_hash(seed + 100 + level, "s", "draw"), "s", "draw"))
+        parts = out.groupBy("shard", "part").agg(F.count("*").alias("n"))
+        parts = parts.select("shard", "part", (F.sum("n").over(node.orderBy("part")) - F.col("n")).alias("before"), F.sum("n").over(node).alias("whole"))
         # An odd node's extra block goes left or right by a coin of its own.
-        left = F.floor((F.count("*").over(node) + F.pmod(_hash(seed + 200 + level, "shard"), F.lit(2))) / 2)
-        out = out.withColumn("shard", F.col("shard") * 2 + F.when(rank > left, 1).otherwise(0))
-    return out
+        left = F.floor((F.col("whole") + F.pmod(_hash(seed + 200 + level, "shard"), F.lit(2))) / 2)
+        rank = F.col("before") + F.row_number().over(W.partitionBy("shard", "part").orderBy("u", "s", "draw"))
+        out = out.join(parts, ["shard", "part"]).select("s", "draw", (F.col("shard") * 2 + F.when(rank > left, 1).otherwise(0)).alias("shard"))
+    return out.groupBy("s", "shard").agg(F.count("*").alias("n"))
+
+
+def dealt(drawn: DataFrame, levels: int, seed: int) -> DataFrame:
+    """(s, block, pass, shard) of the drawn blocks (s, block, pass): each source's blocks, in an order of their own, fill its shards' quotas."""
+    quotas = split(drawn.groupBy("s").agg(F.count("*").alias("quota")), levels, seed)
+    until = F.sum("n").over(W.partitionBy("s").orderBy("shard"))
+    # At most 2^levels entries a source.
+    ends = quotas.select("s", F.struct(until.alias("until"), "shard").alias("e")).groupBy("s").agg(F.array_sort(F.collect_list("e")).alias("ends"))
+    place = F.row_number().over(W.partitionBy("s").orderBy(_hash(seed + 300, "s", "block", "pass"), "pass", "block"))
+    return drawn.withColumn("place", place).join(ends, "s").select(
+        "s", "block", "pass", F.get(F.filter("ends", lambda e: e["until"] >= F.col("place")), F.lit(0))["shard"].alias("shard"))
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, total: float = 1.5, most: float = 2.0, levels: int = 4,
@@ -88,7 +115,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, total: float = 1.5, most: flo
     cut (one document per source), ``shards`` holds the shard of each copy.
     A null source is a source of its own, the last. A source without words
     has target 0. Repeated rows are documents of their own. Rows with one
-    id share a block; ties are broken by the row. An empty table gives no
+    id share a block, not a cell; ties are broken by the row. Texts are read whole at any length. An empty table gives no
     rows; other columns are not read. Reruns with one seed agree.
     """
     rows = sized(docs, seed, id_col, source_col, text_col)
@@ -105,8 +132,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, total: float = 1.5, most: flo
     order = W.partitionBy("s", "pass").orderBy("place", "block")
     each = each.withColumn("before", F.sum("words").over(order) - F.col("words"))
     drawn = each.where((F.col("pass") < F.col("whole_passes")) | (F.col("before") < F.col("rest")))
-    drawn = drawn.withColumn("draw", F.row_number().over(W.partitionBy("s").orderBy("pass", "place", "block")))
-    shards = (split(drawn.select("s", "block", "pass", "draw"), levels, seed).groupBy("s", "block")
+    drawn = stored(drawn.select("s", "block", "pass"), "blocks")
+    shards = (dealt(drawn, levels, seed).groupBy("s", "block")
               .agg(F.array_sort(F.collect_list(F.struct("pass", "shard"))).alias("drawn")))  # whole_passes + 1 at most
     last = each.where(F.col("pass") == F.col("whole_passes")).select(
         "s", "block", "source_size", "target", "whole_passes", "words", (F.col("rest") - F.col("before")).alias("room"))

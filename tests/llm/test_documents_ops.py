@@ -211,15 +211,43 @@ def test_mixing(docs):
     assert whole.count() == parts
 
 
-def test_splitting_tree_is_a_draw_without_replacement(spark):
-    draws = spark.range(1000).selectExpr("CASE WHEN id < 700 THEN 'a' ELSE 'b' END AS s", "id AS draw")
-    got = mixing.split(draws, 3, 1).groupBy("shard", "s").count().collect()
+def test_splitting_tree_is_a_draw_without_replacement(spark, monkeypatch):
+    quotas = spark.createDataFrame([("a", 700), ("b", 300), ("none", 0)], "s string, quota long")
+    got = mixing.split(quotas, 3, 1).collect()
     per_shard, per_source = Counter(), Counter()
     for r in got:
-        per_shard[r.shard] += r["count"]
-        per_source[r.s] += r["count"]
+        per_shard[r.shard] += r.n
+        per_source[r.s] += r.n
     assert per_source == {"a": 700, "b": 300} and len(per_shard) == 8 and max(per_shard.values()) - min(per_shard.values()) <= 2
-    assert all(60 <= r["count"] <= 115 for r in got if r.s == "a")  # about 87 each, standard deviation 5
+    assert all(60 <= r.n <= 115 for r in got if r.s == "a")  # about 87 each, standard deviation 5
+    # Ranks by ranges of hashes are those of one range.
+    monkeypatch.setattr(mixing, "HASH_BITS", 1)
+    assert sorted(got) == sorted(mixing.split(quotas, 3, 1).collect())
+
+
+def test_blocks_fill_the_quotas(spark):
+    """Every drawn block has one shard, and the shards of a source get what the tree gave them."""
+    drawn = spark.range(3000).selectExpr("CASE WHEN id < 2000 THEN 'a' ELSE concat('s', id % 100) END AS s", "cast(id % 1024 AS int) AS block", "id div 1024 AS pass")
+    got = mixing.dealt(drawn, 4, 9)
+    assert got.drop("shard").exceptAll(drawn).count() == 0 == drawn.exceptAll(got.drop("shard")).count()
+    wanted = mixing.split(drawn.groupBy("s").agg(F.count("*").alias("quota")), 4, 9)
+    assert sorted(map(tuple, got.groupBy("s", "shard").count().collect())) == sorted(map(tuple, wanted.collect()))
+    blocks = [r.block for r in got.where("s = 'a' AND shard = 0 AND pass = 0").collect()]
+    assert len(set(b * 8 // 1024 for b in blocks)) > 4  # from all over the source
+
+
+def test_mixing_a_hot_id_and_many_sources(spark, tmp_path):
+    """A third of a source has one id, another third none; 10,000 sources; no window sees all blocks or all rows of an id."""
+    rows = spark.range(16_000).selectExpr("CASE WHEN id < 2000 THEN 7 WHEN id < 4000 THEN NULL ELSE id END AS doc_id",
+                                          "CASE WHEN id < 6000 THEN 'hot' ELSE concat('s', id) END AS source", "repeat('w ', cast(id % 7 AS int)) AS text")
+    rows.repartition(4).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    got = mixing.mix(docs).select("size", "source_size", "target", "taken", "passes", F.size("shards").alias("n")).collect()
+    assert len(got) == 16_000 and all(r.taken <= 2 * r.size and r.n == r.passes for r in got)
+    hot = [r for r in got if r.source_size > 6]
+    assert len(hot) == 6000 and abs(sum(r.taken for r in hot) - hot[0].target) <= 0.5
+    sized = mixing.sized(docs, 1)
+    assert sized.where("doc_id = 7").select("cell").distinct().count() > 700 and sized.where("doc_id IS NULL").select("cell").distinct().count() > 700
 
 
 def test_targets_of_one_and_of_capped_sources(spark):
