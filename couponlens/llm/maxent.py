@@ -8,7 +8,8 @@ probability of a word is the product of the softmaxes down its path. A
 class's scores are its members' log frequencies plus one weight row for each
 feature of the history: the word before, the one before that (a skip), and
 the classes of the last three, each hashed with the class to one of ``ROWS``
-rows. With all weights zero the model is the smoothed unigram that it is
+rows. That holds for the first ``LEVELS`` classes of a path; the small classes
+of rare words below go by frequency alone. With all weights zero the model is the smoothed unigram that it is
 compared with; a word outside the tree is the other-word symbol times its own
 smoothed share of it, so that all words, and one for unknown ones, sum to 1.
 
@@ -42,9 +43,9 @@ from couponlens.llm.common import ROW, numbered, stored, whole_text
 
 #: Words in the tree, how often they occur at least, and how long they are at most.
 HEAD, LEAST, LONGEST = 1 << 17, 3, 128
-WAYS, FEATURES, ROWS, ROUNDS = 16, 3, 1 << 16, 3
+WAYS, FEATURES, ROWS, ROUNDS, LEVELS = 16, 3, 1 << 16, 3, 3
 #: Step of a weight, and the squares that every row begins with: the larger, the less a few uses move a row.
-RATE, FIRM = 0.25, 4.0
+RATE, FIRM = 0.4, 4.0
 #: Tokens of a gradient step, tokens scored at once, bytes of text whose words a task keeps, rows of a slice, tokens of a task of a round.
 STEP, SCORED, HELD_BYTES, SLICE, TASK_TOKENS = 16384, 16384, 1 << 23, 1 << 10, 500_000
 #: Word classes, and the frequent words they are told by, within so many places either side.
@@ -93,6 +94,8 @@ class Tree:
     nodes: np.ndarray
     branches: np.ndarray
     bias: np.ndarray
+    #: Log share of each leaf below the classes that go by the history.
+    below: np.ndarray
 
     @property
     def other(self) -> int:
@@ -149,7 +152,9 @@ def tree_of(words: list[bytes], weights: list[float], classes: np.ndarray) -> Tr
         nodes[leaves, 1:1 + below.shape[1]] = np.where(below >= 0, below + sum(map(len, bias)), -1)
         branches[leaves, 1:1 + below.shape[1]] = members
         bias.append(more)
-    return Tree(words, w, nodes, branches, np.concatenate(bias))
+    bias, deep = np.concatenate(bias), nodes[:, LEVELS:]
+    below = np.where(deep >= 0, bias[deep, branches[:, LEVELS:]], 0).sum(axis=1)
+    return Tree(words, w, nodes, branches, bias, below)
 
 
 def word_classes(near: np.ndarray, weights: np.ndarray, k: int = CLASSES) -> np.ndarray:
@@ -196,8 +201,8 @@ def _rows_at(history: np.ndarray, nodes: np.ndarray, size: int) -> np.ndarray:
 
 
 def _levels(tree: Tree, weights: np.ndarray, ids: np.ndarray, history: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """For each level of the tree: tokens that have it, weight rows, member taken, and probabilities of all members."""
-    for level in range(tree.nodes.shape[1]):
+    """For each of the first ``LEVELS`` levels of the tree: tokens that have it, weight rows, member taken, and probabilities of all members."""
+    for level in range(min(LEVELS, tree.nodes.shape[1])):
         at = np.flatnonzero(tree.nodes[ids, level] >= 0)
         nodes = tree.nodes[ids[at], level]
         rows = _rows_at(history[at], nodes, len(weights))
@@ -211,7 +216,7 @@ def _levels(tree: Tree, weights: np.ndarray, ids: np.ndarray, history: np.ndarra
 
 def log_probabilities(tree: Tree, weights: np.ndarray, ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """Natural log probability of each token's leaf."""
-    out = np.zeros(len(ids))
+    out = tree.below[ids].astype(float)
     history = histories(tree, ids, begins)
     for lo in range(0, len(ids), SCORED):
         part = slice(lo, lo + SCORED)

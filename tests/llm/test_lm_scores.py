@@ -88,7 +88,7 @@ def test_steps_follow_the_gradient(monkeypatch):
     moved = start.copy()
     uses = np.zeros(rows, np.float32)
     maxent.train(tree, moved, np.full(rows, firm, np.float32), uses, ids, begins)
-    assert (moved[uses == 0] == start[uses == 0]).all() and uses.sum() == maxent.FEATURES * (tree.nodes[ids] >= 0).sum()
+    assert (moved[uses == 0] == start[uses == 0]).all() and uses.sum() == maxent.FEATURES * (tree.nodes[ids, :maxent.LEVELS] >= 0).sum()
     often = np.argsort(-uses)[:25]
     for row, way in zip(often, rng.integers(0, maxent.WAYS, 25)):
         losses = []
