@@ -37,7 +37,7 @@ WORD_BITS, PAIR_BITS = 24, 26
 #: Bits of a part of a bitmap, as Spark makes it.
 PART_BITS = 15
 #: Bytes of text that a task goes through at once.
-HELD_BYTES = 1 << 23
+HELD_BYTES = 1 << 24
 #: Suffixes of a group; more where the table would have over ``MOST_GROUPS`` of them.
 GROUP, MOST_GROUPS = 500_000, 100_000
 #: Parts a language's candidates are ranked in first.
@@ -175,10 +175,11 @@ def _suffixes(frequent: np.ndarray, pairs: np.ndarray, longest: int) -> Callable
     return run
 
 
-def _subtrees(longest: int) -> Callable:
+def _subtrees(least: int, heavy: set[tuple[str, str]]) -> Callable:
     """mapInArrow function over a group's suffixes (group, lang, phrase, n) in order: node totals (lang, phrase, n) of two words and more.
 
-    Holds one path of the tree, whatever the group holds.
+    Nodes of less than ``least`` are left out, but for the ``heavy`` prefixes,
+    which other groups have parts of. Holds one path of the tree, whatever the group holds.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +192,9 @@ def _subtrees(longest: int) -> Callable:
             while len(path) > depth:
                 total = totals.pop()
                 if len(path) > 1:
-                    out.append((now[1], END.join(path) + END, total))
+                    phrase = END.join(path) + END
+                    if total >= least or (now[1], phrase) in heavy:
+                        out.append((now[1], phrase, total))
                 path.pop()
                 if totals:
                     totals[-1] += total
@@ -246,8 +249,8 @@ def _length(phrase: str = "phrase") -> Column:
     return F.regexp_count(phrase, F.lit(END))
 
 
-def prefix_groups(suffixes: DataFrame, pairs: DataFrame, longest: int, group: int) -> DataFrame:
-    """Suffixes (lang, phrase, n) with the number ``g`` of their vertical prefix's group.
+def prefix_groups(suffixes: DataFrame, pairs: DataFrame, longest: int, group: int) -> tuple[DataFrame, set[tuple[str, str]]]:
+    """Suffixes (lang, phrase, n) with the number ``g`` of their vertical prefix's group, and the prefixes that were extended.
 
     A prefix is two words; while more than ``group`` suffixes begin with it,
     it is extended by a word. The extended prefixes are a list of at most
@@ -256,11 +259,14 @@ def prefix_groups(suffixes: DataFrame, pairs: DataFrame, longest: int, group: in
     total = pairs.agg(F.sum("n")).first()[0] or 0
     group = max(group, -(-total // MOST_GROUPS))
     groups = -(-total // group) + 1
+    extended: set[tuple[str, str]] = set()
     key, heavy = _first(2), pairs.where(F.col("n") > group).select("lang", "phrase")
     for depth in range(3, longest + 1):
         heavy = stored(heavy, "heavy")
-        if heavy.isEmpty():
+        found = heavy.collect()  # at most MOST_GROUPS
+        if not found:
             break
+        extended |= {(r.lang, r.phrase) for r in found}
         listed = F.broadcast(heavy.select("lang", F.col("phrase").alias("head"), F.lit(True).alias("over")))
         suffixes = suffixes.withColumn("head", key).join(listed, ["lang", "head"], "left")
         longer = F.col("over") & (_length() >= depth)
@@ -270,7 +276,7 @@ def prefix_groups(suffixes: DataFrame, pairs: DataFrame, longest: int, group: in
         key = F.col("key")
         heavy = (suffixes.where(_length("key") == depth).groupBy("lang", "key").agg(F.sum("n").alias("n"))
                  .where(F.col("n") > group).select("lang", F.col("key").alias("phrase")))
-    return suffixes.select("lang", "phrase", "n", F.pmod(F.xxhash64("lang", key), F.lit(groups)).alias("g"))
+    return suffixes.select("lang", "phrase", "n", F.pmod(F.xxhash64("lang", key), F.lit(groups)).alias("g")), extended
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 100, longest: int = 5,
@@ -290,10 +296,10 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     pairs = stored(summed(texts.mapInArrow(_count_pairs(word_bits), schema)).where(F.col("n") >= least), "pairs")
     pair_bits = _bitmap(pairs, PAIR_BITS)
     suffixes = stored(texts.mapInArrow(_suffixes(word_bits, pair_bits, longest), schema), "suffixes")
-    grouped = prefix_groups(suffixes, pairs, longest, group)
+    grouped, heavy = prefix_groups(suffixes, pairs, longest, group)
     grouped = grouped.groupBy("g", "lang", "phrase").agg(F.sum("n").alias("n"))
     walked = (grouped.repartition("g").sortWithinPartitions("g", "lang", "phrase").select("g", "lang", "phrase", "n")
-              .mapInArrow(_subtrees(longest), schema))
+              .mapInArrow(_subtrees(least, heavy), schema))
     # A node above the extended prefixes is in several groups: its parts meet here.
     nodes = summed(walked).where(F.col("n") >= least)
     return sizes, stored(frequent.unionByName(nodes), "counts")

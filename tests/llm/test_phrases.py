@@ -85,7 +85,8 @@ def test_no_groups_hold_more_than_their_budget(spark, tmp_path):
     pairs = Counter()
     for p, n in suffixes.items():
         pairs[p[:2]] += n
-    grouped = collocations.prefix_groups(table_of(suffixes), table_of(pairs), 5, 400)
+    grouped, heavy = collocations.prefix_groups(table_of(suffixes), table_of(pairs), 5, 400)
+    assert {p for _, p in heavy} == {''.join(w + '\n' for w in p) for p in [('spam',) * 2, ('spam',) * 3, ('spam',) * 4, ('to', 'be'), ('be', 'or'), ('or', 'not'), ('not', 'to'), ('to', 'be', 'or'), ('be', 'or', 'not'), ('or', 'not', 'to'), ('not', 'to', 'be'), ('to', 'be', 'or', 'not'), ('be', 'or', 'not', 'to'), ('or', 'not', 'to', 'be')]}
     assert grouped.agg({"n": "sum"}).first()[0] == sum(suffixes.values())
     # What a group takes of one prefix fits the budget; only equal suffixes, one row each, may pass it.
     rows_of = Counter(r.g for r in grouped.groupBy("g", "phrase").count().collect())
