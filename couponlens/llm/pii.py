@@ -3,8 +3,8 @@
 Three steps. Spans are detected in every text and stored. Their distinct
 entities, (kind, canonical form), get a surrogate from a keyed hash of the
 entity: digits become digits, letters become letters of the same script and
-case, separators stay, card numbers keep their check digit right or wrong,
-names keep gender and script. A given name has one gender wherever it occurs,
+case, separators stay, phone numbers keep their country, card and account
+numbers their right check digits, names gender and script. A given name has one gender wherever it occurs,
 from the titles it follows and the lists of names. Surrogates are checked against each other and
 against all real entities; where two meet, or a surrogate is a real entity,
 the smallest entity keeps it and the others draw again, until none meet, so
@@ -73,8 +73,16 @@ PATTERNS = [(kind, re.compile(pattern)) for kind, pattern in [
     ("card", r"(?<![\w-])(?P<card>[0-9](?:[ -]?[0-9]){12,18})(?![\w-])"),
     ("ssn", r"(?<![\w-])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])"),
     ("phone", r"(?<![\w+])(?P<phone>\+1[ .-]?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?!\w)"),
-    ("name", rf"\b(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\b\.?[^\S\n]+(?P<first>{NAME})(?:[^\S\n]+(?P<last>{NAME}))?"),
+    ("name", rf"\b(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\b\.?(?=[^\S\n])"),
 ]]
+# The part of a name after a title or another part, on the same line; an initial's full stop goes with it.
+PART = re.compile(rf"[^\S\n]+(?P<part>{NAME})(?P<dot>\.(?=[^\S\n]+\w))?")
+WORD = re.compile(NAME)
+POSSESSIVE = re.compile(r"['’]s$")
+# Particles that stand before a surname and stay as they are.
+PARTICLES = {"van", "von", "der", "den", "de", "del", "della", "di", "da", "dos", "du", "des", "la", "le", "el", "al", "bin", "ibn", "ter", "ten", "zu", "zur", "y"}
+# Country codes of phone numbers of one and two digits; all others have three.
+SHORT_CODES = {"1", "7", *("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())}
 #: Every entity has one of these characters, or its text one of these parts of titles and keys.
 HINT_CHARACTERS = "[0-9@=:]"
 HINT_PARTS = ["Mr", "Ms", "Mis", "Mme", "Madame", "Monsieur", "Herr", "Frau", "Señor", "Sr", "Dr", "Prof", "осподин", "оспожа", "ύριος", "υρία", "AKIA"]
@@ -93,6 +101,11 @@ def luhn(digits: str) -> bool:
     return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
 
 
+def iban_rest(text: str) -> int:
+    """Remainder of an account number, its letters as numbers from 10, by 97."""
+    return int("".join(str(int(c, 36)) for c in text)) % 97
+
+
 def script(text: str) -> str:
     for c in text:
         if c.isalpha():
@@ -103,14 +116,16 @@ def script(text: str) -> str:
 
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical form) of each entity part, in order and without overlap."""
-    found = []
+    found, whole = [], text
     for kind, pattern in PATTERNS:
         taken = []
         for m in pattern.finditer(text):
             if kind == "name":
-                parts = _name_parts(m)
+                parts = _name_parts(text, m)
             elif kind == "email":
                 parts = m["domain"] and [(*m.span("local"), "local", m["local"].casefold()), (*m.span("domain"), "domain", m["domain"].casefold())]
+            elif kind == "card" and not luhn(re.sub(r"[^0-9]", "", m["card"])):
+                parts = []  # some other number: an order, a book
             elif kind in ("card", "ssn", "phone"):
                 parts = [(*m.span(kind), kind, ("+" if m[kind][0] == "+" else "") + re.sub(r"[^0-9]", "", m[kind]))]
             elif kind == "iban":
@@ -118,11 +133,18 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             else:
                 parts = [(*m.span(kind), kind, m[kind])]
             if parts:
-                taken.append(m.span())
+                taken.append((m.start(), max(m.end(), parts[-1][1])))
                 found += parts
         if taken:  # what one pattern has claimed the next ones cannot reach
             ends = [0, *(b for _, b in taken)]
             text = "".join(text[end:a] + BLANK * (b - a) for end, (a, b) in zip(ends, taken)) + text[ends[-1]:]
+    names = {(surface, e): k for (a, b, k, e) in found if k.startswith(("surname", "given")) for surface in [whole[a:b]] if b - a > 2}
+    if names:  # the same names without a title, elsewhere in the text
+        known = {surface: (k, e) for (surface, e), k in sorted(names.items(), key=lambda x: (x[1].startswith("given"), x[0]))}
+        for m in WORD.finditer(text):
+            surface = POSSESSIVE.sub("", m[0])
+            if surface in known:
+                found.append((m.start(), m.start() + len(surface), *known[surface]))
     return sorted(found)
 
 
@@ -131,15 +153,29 @@ def _begins_name(letter: str) -> bool:
     return letter.isupper() or letter == letter.swapcase() or script(letter) == "GEORGIAN"
 
 
-def _name_parts(m: re.Match) -> list[tuple[int, int, str, str]]:
-    gender, first, last = TITLES[m["title"]], m["first"], m["last"]
-    if not _begins_name(first[0]):
-        return []
-    # A word that cannot show whether it begins a name is a surname only after a given name of its own kind.
-    if not last or not (last[0].isupper() or _begins_name(last[0]) and not first[0].isupper()):
-        return [(*m.span("first"), f"surname:{script(first)}", first.casefold())]
-    return [(*m.span("first"), f"given-{gender}:{script(first)}", first.casefold()),
-            (*m.span("last"), f"surname:{script(last)}", last.casefold())]
+def _name_parts(text: str, m: re.Match) -> list[tuple[int, int, str, str]]:
+    """Given names and surname after a title; particles and initials stay, and no other title is taken for a name."""
+    words, at, capital = [], m.end(), None
+    while part := PART.match(text, at):
+        word = part["part"]
+        own = POSSESSIVE.sub("", word)
+        particle = own in PARTICLES
+        if own in TITLES or (capital is not False and not particle and not _begins_name(own[0])):
+            break
+        if not particle:
+            if capital is None:
+                capital = own[0].isupper()
+            # A word that cannot show whether it begins a name is one only after a part of its own kind, and the second at most.
+            if own[0].isupper() != capital or not _begins_name(own[0]) or not capital and len(words) == 2:
+                break
+        start = part.start("part")
+        if not particle and not (len(own) == 1 and own.isupper() and part["dot"]):
+            words.append((start, start + len(own), own))
+        at = part.end()
+        if own != word:
+            break
+    gender = TITLES[m["title"]]
+    return [(a, b, f"given-{gender}:{script(w)}" if i < len(words) - 1 else f"surname:{script(w)}", w.casefold()) for i, (a, b, w) in enumerate(words)]
 
 
 class Draw:
@@ -199,10 +235,14 @@ def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
         right = next(str(d) for d in range(10) if luhn(body + str(d)))
         return body + (right if luhn(entity) else str((int(right) + 1 + draw(9)) % 10))
     if kind == "phone":
-        head = 2 if entity.startswith("+") else 0
+        head = 0
+        if entity.startswith("+"):  # the country stays
+            head = 2 if entity[1:2] in SHORT_CODES else 3 if entity[1:3] in SHORT_CODES else 4
         return entity[:head] + _like(entity[head:] + "0" * longer, draw)
     if kind == "iban":
-        return entity[:2] + _like(entity[2:] + "0" * longer, draw)
+        body = _like(entity[4:] + "0" * longer, draw)
+        right = f"{98 - iban_rest(body + entity[:2] + '00'):02}"
+        return entity[:2] + (right if iban_rest(entity[4:] + entity[:4]) == 1 else _like(entity[2:4], draw)) + body
     if not any(c in string.digits or c.isalpha() for c in entity):
         return entity + _like("a" * (longer + 1), draw)
     return _like(entity + "a" * longer, draw)

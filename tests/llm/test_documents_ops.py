@@ -409,6 +409,38 @@ def test_detection_goes_through_a_text_once():
     assert time.monotonic() - start < 60
 
 
+def found_names(text):
+    return [(text[a:b], kind.split(":")[0]) for a, b, kind, _ in pii.detect(text)]
+
+
+@pytest.mark.parametrize("text, names", [
+    ("Mr and Mrs Smith arrived", [("Smith", "surname")]),
+    ("Dr. Martin Luther King spoke", [("Martin", "given-n"), ("Luther", "given-n"), ("King", "surname")]),
+    ("Mr John Ronald Tolkien", [("John", "given-m"), ("Ronald", "given-m"), ("Tolkien", "surname")]),
+    ("Mr J. Smith left", [("Smith", "surname")]),
+    ("Mr J. R. Smith left", [("Smith", "surname")]),
+    ("Mr van der Berg and Mme de la Tour", [("Berg", "surname"), ("Tour", "surname")]),
+    ("Mr Smith's car", [("Smith", "surname")]),
+    ("Mr John Smith’s car", [("John", "given-m"), ("Smith", "surname")]),
+    ("Dr Prof Meyer", [("Meyer", "surname")]),
+    ("Mr Smith came. Then Smith left, Smith's hat too; smith and Smithson stay", [("Smith", "surname")] * 3),
+    ("Mr. said nothing, Mrs\nSmith", []),
+])
+def test_names_after_titles(text, names):
+    assert found_names(text) == names
+
+
+def test_numbers_that_look_private(spark):
+    iban, phone, card = "DE89370400440532013000", "+49 30 1234567", "4111111111111111"
+    for n in range(200):
+        key = str(n).encode()
+        new = pii.surrogate("iban", iban, key)
+        assert new[:2] == "DE" and pii.iban_rest(new[4:] + new[:4]) == 1 and len(new) == len(iban)
+        assert pii.surrogate("phone", "+49301234567", key)[:3] == "+49" and pii.surrogate("phone", "+35312345678", key)[:4] == "+353"
+    assert [x[2] for x in pii.detect(f"{iban} {phone} {card}")] == ["iban", "phone", "card"]
+    assert pii.detect("order 4111111111111112 and book 9780306406158") == []
+
+
 def test_pii_awkward(docs):
     got = pii.replace(docs, b"k")
     assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter((d, t) for _, d, t, _ in rows_of(docs))
