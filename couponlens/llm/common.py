@@ -9,6 +9,8 @@ from couponlens.plans.stage import new_folder
 
 #: Name of the row number that operators add to the columns they select.
 ROW = "__row"
+#: Row numbers that are broadcast at most: 8 MB.
+BROADCAST_ROWS = 1 << 20
 #: A word: a run of characters other than the space and the ASCII control spaces.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -55,6 +57,12 @@ def whole_text(col: str = "text") -> Column:
 
 
 def without(df: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``df`` (a table as read from files) whose row number is not in ``dropped``; its columns may have any name."""
+    """The rows of ``df`` (a table as read from files) whose row number is not in ``dropped``; its columns may have any name.
+
+    Up to ``BROADCAST_ROWS`` dropped numbers go to the rows; beyond that both
+    sides are shuffled.
+    """
     row = spare_name(df, ROW)
-    return numbered(df, row).join(dropped.select(F.col(ROW).alias(row)), row, "left_anti").drop(row)
+    gone = stored(dropped.select(F.col(ROW).alias(row)), "dropped")
+    few = gone.count() <= BROADCAST_ROWS
+    return numbered(df, row).join(F.broadcast(gone) if few else gone, row, "left_anti").drop(row)

@@ -409,6 +409,19 @@ def test_detection_goes_through_a_text_once():
     assert time.monotonic() - start < 60
 
 
+def test_rows_dropped_by_either_join(spark, tmp_path, monkeypatch):
+    """Few dropped rows are broadcast, many are shuffled; the rows that stay are the same, repeated ones each for itself."""
+    from couponlens.llm import common
+    spark.range(500).selectExpr("id % 100 AS doc_id", "'x' AS __row").repartition(3).write.parquet(str(tmp_path / "d"))
+    table = spark.read.parquet(str(tmp_path / "d"))
+    gone = common.numbered(table, "n").where("doc_id < 30 AND n % 2 = 0").select(F.col("n").alias(ROW))
+    few = common.without(table, gone)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    many = common.without(table, gone)
+    assert few.columns == many.columns == ["doc_id", "__row"] and few.count() == 500 - gone.count() < 500
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+
+
 def found_names(text):
     return [(text[a:b], kind.split(":")[0]) for a, b, kind, _ in pii.detect(text)]
 
