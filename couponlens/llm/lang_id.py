@@ -3,14 +3,15 @@
 The pieces are those of a fixed public byte-level vocabulary. Each language
 has a probability for every piece; a word (a space and a lower-cased run of
 letters) has the probability that a forward pass sums over all its
-segmentations into pieces, and a text that of its words; a word of more than
-``PART`` bytes is cut, and no piece reaches across a cut. The piece
+segmentations into pieces, and a text that of its words. A word of any length
+is summed whole: the pass goes through it in stretches, carrying the
+probabilities of its last beginnings, rescaled, from one to the next. The piece
 probabilities are learned by EM over all labelled texts: Spark counts the
 words of every language, and each round a forward-backward pass over those
 counts gives the expected use of every piece, which Spark sums.
 
 Only the learned table, (languages x pieces) numbers, reaches the driver; its
-size is fixed by the vocabulary.
+size is fixed by the vocabulary and ``MOST_LANGUAGES``.
 """
 
 from __future__ import annotations
@@ -33,15 +34,22 @@ from couponlens.llm.common import spare_name, stored
 VOCABULARY = "byte_bpe_50k.tiktoken"
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Bytes scored at once; a longer word is scored part by part.
-PART = 31
+SPACE = re.compile(r"\s")
+#: Languages that a model may have; learning from more labels is refused.
+MOST_LANGUAGES = 256
+#: Bytes after which the probabilities of a word's beginnings are rescaled.
+RESCALED = 16
+#: Beginnings of a word that are held at once; a multiple of ``RESCALED``.
+STRETCH = 4096
+#: Bytes of words, and their probabilities, that are gone through at once.
+BYTES, CELLS = 1 << 19, 5 << 19
 #: Words whose scores a task keeps; beyond it the memory starts anew, results stay the same.
 KEPT_WORDS = 200_000
 #: Documents after which a task looks at how many words it keeps.
 DOCUMENTS = 2000
-#: Words of a language that a task gathers before it goes through them at once.
-HELD_WORDS = 100_000
-#: Characters of a text that are split into words at once.
+#: Words of a language, or bytes of them, that a task gathers before it goes through them at once.
+HELD_WORDS, HELD_BYTES = 100_000, 1 << 24
+#: Characters of a text that are split into words at once, up to the next white space.
 SLICE = 1 << 20
 #: Share of the probability that every piece has alike.
 SMOOTHING = 0.01
@@ -52,16 +60,14 @@ def words(text: str) -> Iterator[list[str]]:
     """The lower-cased letter runs of a text, a slice of it at a time."""
     at = 0
     while at < len(text):
-        end = at + SLICE
-        while end < len(text) and not text[end].isspace() and end < at + 2 * SLICE:
-            end += 1
+        space = SPACE.search(text, at + SLICE)
+        end = space.start() if space else len(text)
         yield LETTERS.findall(text[at:end].lower())
         at = end
 
 
-def parts(word: str) -> list[bytes]:
-    data = b" " + word.encode("utf-8", "replace")
-    return [data[i:i + PART] for i in range(0, len(data), PART)]
+def in_bytes(word: str) -> bytes:
+    return b" " + word.encode("utf-8", "replace")
 
 
 class Pieces:
@@ -72,7 +78,6 @@ class Pieces:
     def __init__(self, path: str | None = None):
         with open(path or public_tokenizers.path(VOCABULARY), "rb") as lines:
             pieces = [base64.b64decode(x.split()[0]) for x in lines if x.strip()]
-        pieces = [p for p in pieces if len(p) <= PART]
         hashes = np.array([self.hash_of(p) for p in pieces], np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.count, self.longest = hashes[order], len(pieces), max(map(len, pieces))
@@ -89,43 +94,165 @@ class Pieces:
             h = (h * int(cls.STEP) + byte + 1) % (1 << 64)
         return h
 
-    def spans(self, data: np.ndarray) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
-        """(start, end) -> rows of ``data`` (equally long strings) with a piece there, and its number.
+    def spans(self, data: np.ndarray, starts: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(length, rows, pieces, edges) of the pieces in ``data`` (a string a row) that start in its first columns.
 
-        A row drops out of a start as soon as no piece goes on like it.
+        ``rows[edges[s]:edges[s + 1]]`` have a piece of that length at column
+        ``s``. A row drops out of a start as soon as no piece goes on like it.
         """
-        out, columns = {}, np.ascontiguousarray(data.T)
-        n, length = data.shape
-        for start in range(length):
-            rows, h = np.arange(n), np.ones(n, np.uint64)
-            for end in range(start + 1, min(length, start + self.longest) + 1):
-                h = h * self.STEP + columns[end - 1][rows] + np.uint64(1)
-                at = np.minimum(np.searchsorted(self.begun, h), len(self.begun) - 1)
-                known = self.begun[at] == h
-                rows, h, ids = rows[known], h[known], self.ended[at[known]]
-                if not len(rows):
-                    break
-                whole = ids >= 0
-                out[start, end] = rows[whole], ids[whole]
+        out, flat, n = [], np.ascontiguousarray(data.T).ravel(), len(data)
+        at, h = np.arange(min(starts, data.shape[1]) * n), np.uint64(1)
+        for length in range(1, self.longest + 1):
+            ahead = (length - 1) * n
+            fit = np.searchsorted(at, flat.size - ahead)
+            at, h = at[:fit], h if length == 1 else h[:fit]
+            h = h * self.STEP + flat[at + ahead] + np.uint64(1)
+            place = np.minimum(np.searchsorted(self.begun, h), len(self.begun) - 1)
+            known = self.begun[place] == h
+            at, h, ids = at[known], h[known], self.ended[place[known]]
+            if not len(at):
+                break
+            whole = ids >= 0
+            found = at[whole]
+            out.append((length, found % n, ids[whole], np.searchsorted(found, np.arange(starts + 1) * n)))
         return out
 
 
-def by_length(strings: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(positions, byte matrix) of the strings of one length, for each length."""
-    lengths = np.fromiter(map(len, strings), np.int64, len(strings))
-    for length in np.unique(lengths):
-        at = np.flatnonzero(lengths == length)
-        for some in np.array_split(at, -(-len(at) // 20_000)):
-            yield some, np.frombuffer(b"".join(strings[i] for i in some), np.uint8).reshape(-1, length).astype(np.uint64)
+def by_length(strings: list[bytes], languages: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(positions, lengths, byte matrix) of strings of like lengths, ascending; shorter ones are filled up with spaces.
 
+    What stands after a string's end takes no part in its probability.
+    """
+    lengths = np.fromiter(map(len, strings), np.int64, len(strings))
+    # Up to 32 bytes each length is by itself, from there on each eighth of a power of two.
+    eighth = 1 << np.maximum(np.log2(np.maximum(lengths, 1)).astype(np.int64) - 3, 0)
+    band = np.where(lengths <= 32, lengths, -(-lengths // eighth) * eighth)
+    order = np.lexsort((lengths, band))
+    for same in np.split(order, np.flatnonzero(np.diff(band[order])) + 1):
+        width = int(lengths[same[-1]])
+        columns = min(width, STRETCH)
+        rows = max(1, min(20_000, BYTES // width, CELLS // (columns * languages)))
+        for some in (same[i:i + rows] for i in range(0, len(same), rows)):
+            data = b"".join(strings[i].ljust(width) for i in some)
+            yield some, lengths[some], np.frombuffer(data, np.uint8).reshape(-1, width)
+
+
+class Lattice:
+    """Segmentations of a few strings, gone through a stretch of beginnings at a time.
+
+    Probabilities are scaled by string and language; a log scale holds what
+    was divided out.
+    """
 
-def forward(spans: dict, length: int, p: np.ndarray, n: int) -> np.ndarray:
-    """alpha[i]: probability of the first i bytes, summed over segmentations; p: (pieces, languages)."""
-    alpha = np.zeros((length + 1, n, p.shape[1]))
-    alpha[0] = 1
-    for (start, end), (rows, ids) in sorted(spans.items(), key=lambda x: x[0]):
-        alpha[end][rows] += alpha[start][rows] * p[ids]
-    return alpha
+    def __init__(self, data: np.ndarray, lengths: np.ndarray, pieces: Pieces, by_piece: np.ndarray):
+        self.data, self.lengths, self.pieces, self.by_piece = data, lengths, pieces, by_piece
+        self.reach = min(pieces.longest, data.shape[1])
+
+    def stretches(self) -> list[int]:
+        return list(range(0, self.data.shape[1] + 1, STRETCH))
+
+    def ends(self, first: int, size: int) -> np.ndarray:
+        """Edges, by beginning of the stretch, of the strings (ascending in length) that end there."""
+        return np.searchsorted(self.lengths, np.arange(first, first + size + 1))
+
+    def spans(self, first: int) -> tuple[int, list]:
+        size = min(STRETCH, self.data.shape[1] + 1 - first)
+        return size, self.pieces.spans(self.data[:, first:first + size + self.reach].astype(np.uint64), size)
+
+    def alphas(self, size: int, spans: list, carried: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Probabilities of a stretch's beginnings and what follows, and the log scale of each ``RESCALED`` of them."""
+        alpha = np.zeros((size + self.reach, *carried.shape[1:]))
+        alpha[:self.reach] = carried
+        scales = []
+        for start in range(size):
+            if start % RESCALED == 0:
+                if start:
+                    scale = scale + rescale(alpha[start:start + self.reach])
+                scales.append(scale)
+            for length, rows, ids, edges in spans:
+                a, b = edges[start], edges[start + 1]
+                if a < b:
+                    some = rows[a:b]
+                    alpha[start + length][some] += alpha[start][some] * self.by_piece[ids[a:b]]
+        return alpha, scales
+
+    def start(self) -> tuple[np.ndarray, np.ndarray]:
+        shape = (len(self.data), self.by_piece.shape[1])
+        carried = np.zeros((self.reach, *shape))
+        carried[0] = 1
+        return carried, np.zeros(shape)
+
+    def forward(self, keep: bool = False) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """(strings, languages) log probabilities, and, if kept, what each stretch was begun with."""
+        out, begun = np.zeros((len(self.data), self.by_piece.shape[1])), []
+        carried, scale = self.start()
+        for first in self.stretches():
+            if keep:
+                begun.append((carried, scale))
+            size, spans = self.spans(first)
+            alpha, scales = self.alphas(size, spans, carried, scale)
+            edges = self.ends(first, size)
+            for at in np.flatnonzero(np.diff(edges)):
+                ended = slice(edges[at], edges[at + 1])
+                out[ended] = np.log(alpha[at, ended]) + scales[at // RESCALED][ended]
+            carried = alpha[size:].copy()
+            scale = scales[-1] + rescale(carried)
+        return out, begun
+
+    def uses(self, counts: np.ndarray) -> np.ndarray:
+        """Expected number of uses of each piece in ``counts`` copies of the strings; one language.
+
+        The probabilities of what follows a beginning are kept as logarithms:
+        over a long piece they may differ by more than a double holds.
+        """
+        uses = np.zeros(self.pieces.count)
+        total, begun = self.forward(keep=True)
+        n = len(self.data)
+        with np.errstate(divide="ignore"):
+            log_p = np.log(self.by_piece[:, 0])
+        carried = np.full((self.reach, n), -np.inf)
+        for first in reversed(self.stretches()):
+            size, spans = self.spans(first)
+            alpha, scales = self.alphas(size, spans, *begun.pop())
+            with np.errstate(divide="ignore"):
+                alpha = np.log(alpha[:size, :, 0])
+            beta = np.concatenate([np.full((size, n), -np.inf), carried])
+            edges = self.ends(first, size)
+            for at in np.flatnonzero(np.diff(edges)):
+                beta[at, edges[at]:edges[at + 1]] = 0
+            logs = [log_p[ids] for _, _, ids, _ in spans]
+            for start in reversed(range(size)):
+                on = []
+                for (length, rows, _, edges), log in zip(spans, logs):
+                    a, b = edges[start], edges[start + 1]
+                    if a < b:
+                        some = rows[a:b]
+                        log[a:b] += beta[start + length][some]
+                        on.append((some, log[a:b]))
+                largest = beta[start].copy()  # of a string that ends here 0, else nothing yet
+                for some, log in on:
+                    largest[some] = np.maximum(largest[some], log)
+                base = np.where(largest == -np.inf, 0, largest)
+                inside = np.exp(beta[start] - base)
+                before = alpha[start] + scales[start // RESCALED][:, 0] - total[:, 0] + base
+                for some, log in on:
+                    log -= base[some]
+                    inside[some] += np.exp(log)
+                    log += before[some]
+                with np.errstate(divide="ignore"):
+                    beta[start] = base + np.log(inside)
+            for (_, rows, ids, _), log in zip(spans, logs):
+                uses += np.bincount(ids, np.exp(log) * counts[rows], minlength=self.pieces.count)
+            carried = beta[:self.reach]
+        return uses
+
+
+def rescale(window: np.ndarray) -> np.ndarray:
+    """Divides the window by its largest values, in place; their logarithms (0 where all is zero)."""
+    largest = window.max(axis=0)
+    largest[largest == 0] = 1
+    window /= largest
+    return np.log(largest)
 
 
 @dataclass
@@ -139,32 +266,17 @@ class Model:
 
 def log_probabilities(strings: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
     """(words, languages) log probabilities; a string without a letter scores nothing."""
-    flat, owner = [], []
-    for i, word in enumerate(strings):
-        for part in parts(word):
-            flat.append(part)
-            owner.append(i)
-    out, owner, by_piece = np.zeros((len(strings), len(p))), np.array(owner), np.ascontiguousarray(p.T)
-    for at, data in by_length(flat):
-        alpha = forward(pieces.spans(data), data.shape[1], by_piece, len(at))
-        np.add.at(out, owner[at], np.log(alpha[-1]))
+    out, by_piece = np.zeros((len(strings), len(p))), np.ascontiguousarray(p.T)
+    for at, lengths, data in by_length([in_bytes(x) for x in strings], len(p)):
+        out[at] = Lattice(data, lengths, pieces, by_piece).forward()[0]
     return out
 
 
 def expected_uses(strings: list[bytes], counts: np.ndarray, pieces: Pieces, p: np.ndarray) -> np.ndarray:
     """Expected number of uses of each piece in ``counts`` copies of the strings (one language; p: (1, pieces + 1))."""
     uses, by_piece = np.zeros(pieces.count), np.ascontiguousarray(p.T)
-    for at, data in by_length(strings):
-        n, length = data.shape
-        spans = pieces.spans(data)
-        alpha = forward(spans, length, by_piece, n)[:, :, 0]
-        beta = np.zeros((length + 1, n))
-        beta[length] = 1
-        share = counts[at] / alpha[length]
-        for (start, end), (rows, ids) in sorted(spans.items(), key=lambda x: x[0], reverse=True):
-            inside = by_piece[ids, 0] * beta[end][rows]
-            uses += np.bincount(ids, alpha[start][rows] * inside * share[rows], minlength=pieces.count)
-            beta[start][rows] += inside
+    for at, lengths, data in by_length(strings, 1):
+        uses += Lattice(data, lengths, pieces, by_piece).uses(counts[at])
     return uses
 
 
@@ -198,10 +310,15 @@ def word_counts(labelled: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", path: str | None = None,
           rounds: int = EM_ROUNDS) -> Model:
-    """Piece probabilities of every language with a labelled letter; rows with null text or label teach nothing."""
+    """Piece probabilities of every language with a labelled letter; rows with null text or label teach nothing.
+
+    More than ``MOST_LANGUAGES`` labels with a letter are an error.
+    """
     pieces = Pieces(path)
     counts = word_counts(labelled, text_col, lang_col)
-    languages = [r[0] for r in counts.select("lang").distinct().orderBy("lang").collect()]
+    languages = sorted(r[0] for r in counts.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
+    if len(languages) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages in column {lang_col}")
     model = Model(languages, np.full((len(languages), pieces.count + 1), 1 / pieces.count), pieces)
     model.p[:, -1] = 0
     for _ in range(rounds if languages else 0):
@@ -210,21 +327,23 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
         def uses(batches: Iterator[pa.RecordBatch], p: np.ndarray = learned) -> Iterator[pa.RecordBatch]:
             total = np.zeros((len(languages), pieces.count))
             held: dict[str, tuple[list, list]] = {lang: ([], []) for lang in languages}
+            size: Counter = Counter()
 
-            def add(least: int) -> None:
+            def add(words: int, size_of: int) -> None:
                 for i, lang in enumerate(languages):
                     strings, weights = held[lang]
-                    if len(strings) > least:
+                    if len(strings) > words or size[lang] > size_of:
                         total[i] += expected_uses(strings, np.array(weights, float), pieces, p[i:i + 1])
-                        held[lang] = ([], [])
+                        held[lang], size[lang] = ([], []), 0
 
             for batch in batches:
                 for lang, word, n in zip(*(column.to_pylist() for column in batch.columns)):
-                    some = parts(word)
-                    held[lang][0].extend(some)
-                    held[lang][1].extend([n] * len(some))
-                add(HELD_WORDS)
-            add(0)
+                    data = in_bytes(word)
+                    held[lang][0].append(data)
+                    held[lang][1].append(n)
+                    size[lang] += len(data)
+                add(HELD_WORDS, HELD_BYTES)
+            add(0, 0)
             lang, piece = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(piece), pa.array(total[lang, piece])], ["lang", "piece", "uses"])
 
@@ -293,7 +412,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """doc_id, held_out, lang_pred and score (posterior of the prediction, equal priors) of every row.
 
     ``und`` with score 0 where the text is null or has no letter, or where
-    nothing was learned. Equal scores go to the first language by code
+    nothing was learned. A very long text is read whole, a very long word
+    summed whole, in memory of a few times its size. Equal scores go to the first language by code
     point. Repeated rows are answered alike; other columns are not read.
     """
     out = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), predictor(model)(F.col(text_col).cast("string")).alias("p"))

@@ -5,6 +5,7 @@ import re
 import time
 import zlib
 from collections import Counter, defaultdict
+from decimal import Decimal, localcontext
 
 import numpy as np
 import public_tokenizers
@@ -302,12 +303,103 @@ def test_expected_uses_add_up_to_the_bytes():
         for line in lines:
             piece = base64.b64decode(line.split()[0])
             at = np.searchsorted(pieces.hashes, np.uint64(lang_id.Pieces.hash_of(piece)))
-            if len(piece) <= lang_id.PART:
-                sizes[at] = len(piece)
+            sizes[at] = len(piece)
     uses = lang_id.expected_uses([b" house", b" in", b" house"], np.array([3.0, 2.0, 1.0]), pieces, p)
     assert (uses * sizes).sum() == pytest.approx(4 * 6 + 2 * 3)
 
 
+def plain_lattice(data: bytes, pieces, p):
+    """(probability, expected uses by piece) of one string, with 40 digits and any exponent."""
+    ids = {int(h): i for i, h in enumerate(pieces.hashes)}
+    spans = [(a, b, ids[h]) for a in range(len(data)) for b in range(a + 1, min(len(data), a + pieces.longest) + 1)
+             if (h := lang_id.Pieces.hash_of(data[a:b])) in ids]
+    with localcontext(prec=40):
+        alpha, beta = [Decimal(0)] * (len(data) + 1), [Decimal(0)] * (len(data) + 1)
+        alpha[0] = beta[-1] = Decimal(1)
+        for a, b, i in spans:
+            alpha[b] += alpha[a] * Decimal(float(p[i]))
+        uses = Counter()
+        for a, b, i in sorted(spans, reverse=True):
+            beta[a] += Decimal(float(p[i])) * beta[b]
+            uses[i] += alpha[a] * Decimal(float(p[i])) * beta[b]
+        return alpha[-1], {i: float(u / alpha[-1]) for i, u in uses.items()}
+
+
+LONG_WORDS = ["donaudampfschifffahrtsgesellschaftskapitän", "语言识别不应该把长的词切断因为那样会丢掉跨越切口的片段" * 2, "ภาษาไทยไม่มีช่องว่างระหว่างคำ" * 2,
+              "これは長い文字列です" * 6, "a" * 200, "the", "ß" * 20, "x", "ãâ" * 33, "q" * 31, "z" * 32]
+
+
+@pytest.mark.parametrize("stretch", [16, 48, 4096])
+def test_long_words_are_summed_whole(monkeypatch, stretch):
+    monkeypatch.setattr(lang_id, "STRETCH", stretch)
+    pieces = lang_id.Pieces()
+    assert pieces.count == 50_256 and pieces.longest > 31
+    rng = np.random.default_rng(3)
+    # From even to very uneven, with many pieces at the least probability.
+    p = np.stack([rng.random(pieces.count), rng.random(pieces.count) ** 200 + 2e-7, np.full(pieces.count, 2e-7)])
+    p = np.append(p / np.maximum(p.sum(axis=1, keepdims=True), 1), np.zeros((3, 1)), axis=1)
+    got = lang_id.log_probabilities(LONG_WORDS, pieces, p)
+    counts = np.arange(1.0, len(LONG_WORDS) + 1)
+    for j in range(len(p)):
+        expected = np.zeros(pieces.count)
+        for i, word in enumerate(LONG_WORDS):
+            probability, uses = plain_lattice(lang_id.in_bytes(word), pieces, p[j])
+            assert got[i, j] == pytest.approx(float(probability.ln()))
+            for piece, use in uses.items():
+                expected[piece] += use * counts[i]
+        found = lang_id.expected_uses([lang_id.in_bytes(w) for w in LONG_WORDS], counts, pieces, p[j:j + 1])
+        assert found == pytest.approx(expected, rel=1e-7, abs=1e-9)
+
+
+def test_a_word_of_any_length_in_bounded_time():
+    pieces = lang_id.Pieces()
+    p = np.append(np.full((2, pieces.count), 1 / pieces.count), np.zeros((2, 1)), axis=1)
+    word = "语言识别" * 25_000  # 300 KB without a space
+    once, twice = lang_id.log_probabilities([word, word + word], pieces, p)
+    assert np.isfinite(once).all() and twice == pytest.approx(2 * once, rel=1e-3)
+    assert [len(x) for some in lang_id.words("a" * 3_000_000 + " b1c") for x in some] == [3_000_000, 1, 1]
+
+
+def test_predictions_equal_plain_ones(spark):
+    """EM and prediction on a small table, against sums with any exponent; the score is the posterior."""
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the house in the garden", "en"), ("das haus im garten", "de"), ("语言识别" * 9, "zh"), ("la maison", "fr"),
+                                                         ("the long haus", None), ("识别语言语言" * 7 + " the", None), ("Garten!", None), ("12", None)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.learn(docs, rounds=2)
+    assert model.languages == ["de", "en", "fr", "zh"]
+    for j, lang in enumerate(model.languages):
+        p = np.full(model.pieces.count, 1 / model.pieces.count)
+        for _ in range(2):
+            uses = np.zeros(model.pieces.count)
+            for _, t, own in rows:
+                for word in lang_id.LETTERS.findall(t.lower()) if own == lang else ():
+                    for piece, use in plain_lattice(lang_id.in_bytes(word), model.pieces, p)[1].items():
+                        uses[piece] += use
+            uses = uses.round(3)
+            p = (1 - lang_id.SMOOTHING) * uses / uses.sum() + lang_id.SMOOTHING / model.pieces.count
+        assert model.p[j, :-1] == pytest.approx(p, rel=1e-6)
+    got = {r.doc_id: r for r in lang_id.identify(docs, model).collect()}
+    for i, t, _ in rows[:-1]:
+        logs = np.array([float(sum(plain_lattice(lang_id.in_bytes(w), model.pieces, q)[0].ln() for w in lang_id.LETTERS.findall(t.lower()))) for q in model.p])
+        assert got[i].lang_pred == model.languages[logs.argmax()]
+        assert got[i].score == pytest.approx(1 / np.exp(logs - logs.max()).sum())
+    assert got[7].lang_pred == "und"
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(lang_id, "MOST_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        lang_id.learn(spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z")], "text string, lang string"))
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = lang_id.identify(docs, lang_id.learn_from_documents(docs))
+    labelled = docs.where("lang IS NOT NULL").select("doc_id", "lang")
+    right = out.where("held_out").join(labelled, "doc_id").agg(F.count("*").alias("n"), F.avg((F.col("lang") == F.col("lang_pred")).cast("double")).alias("share")).first()
+    assert right.n > 100 and right.share >= 0.97
+
+
 def test_nothing_learned_means_unknown(docs, spark):
     model = lang_id.learn(spark.createDataFrame([], "text string, lang string"))
     assert {r.lang_pred for r in lang_id.identify(docs, model).collect()} == {"und"}
