@@ -133,7 +133,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
 
     A document is its ids and then id 0, so a null or empty text is one id.
     Every row of ``docs`` is packed, rows with the same id each for itself
-    (``__row`` tells them apart), null ids too. An empty table gives no
+    (``__row`` tells them apart), null ids too. A text of any length is
+    encoded whole by its task, which holds its ids. An empty table gives no
     rows; other columns are not read.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

@@ -79,6 +79,22 @@ def test_exact_dedup(docs, keep):
 def test_exact_dedup_rejects_an_unknown_rule(docs):
     with pytest.raises(ValueError):
         exact_dedup.exact_duplicates(docs, keep="any")
+    with pytest.raises(ValueError):
+        exact_dedup.exact_duplicates(docs, fan_in=1)
+
+
+@pytest.mark.parametrize("runs", [1 << i for i in range(0, 21)])
+def test_runs_meet_in_three_rounds(runs):
+    fan_in, rounds = exact_dedup.fan_in_of(runs), 0
+    while runs > 1:
+        runs, rounds = -(-runs // fan_in), rounds + 1
+    assert rounds <= exact_dedup.ROUNDS and fan_in >= exact_dedup.LEAST_FAN_IN
+
+
+def test_every_number_of_rounds_gives_the_same(docs):
+    plain = exact_dedup.exact_duplicates(docs)
+    other = exact_dedup.exact_duplicates(docs, fan_in=3)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, other.collect()))
 
 
 def plain_fingerprint(text):
@@ -173,6 +189,13 @@ def test_fast_encoder_agrees(text):
     assert ENCODE(text).tolist() == exact.encode(text, add_special_tokens=False).ids
 
 
+def test_fast_encoder_agrees_on_whole_documents(spark):
+    exact = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    for text in [*texts, "\u4e2d\u6587\u5b57\u7b26" * 5_000, "\u0e20\u0e32\u0e29\u0e32" * 5_000, "a" * 20_000, " " * 20_000, "\n\t " * 5_000, "x1" * 10_000]:
+        assert ENCODE(text).tolist() == exact.encode(text, add_special_tokens=False).ids
+
+
 ENCODE = packing.encoder()
 
 
