@@ -11,15 +11,16 @@ node totals are the counts of the phrases.
 
 A suffix is also cut before its first word, or pair of words, that occurs
 less often than ``least`` times in all, since no phrase across it can be a
-candidate. Tasks know the frequent words and pairs from bitmaps of a fixed
-size, bit = hash; a clash of hashes keeps a suffix longer than need be, it
-never cuts one. Equal suffixes of a task are one row with a count, and those
-of one text that is copied any number of times are few.
+candidate. Pairs are counted by hash, and tasks know the frequent words and
+pairs from bitmaps of a fixed size, bit = hash; a clash of hashes keeps a
+suffix longer than need be, it never cuts one. Equal suffixes of a task are one
+row with a count, and those of one text that is copied any number of times are
+few.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ from couponlens.llm.common import stored, whole_text
 END = "\n"
 #: Bits of the bitmaps of frequent words and pairs: 2 and 8 MB, whatever the corpus.
 WORD_BITS, PAIR_BITS = 24, 26
+#: Leading bits of a pair's hash that it is counted by; the others are 0.
+HASH_BITS = 48
 #: Bits of a part of a bitmap, as Spark makes it.
 PART_BITS = 15
 #: Bytes of text that a task goes through at once.
@@ -51,8 +54,25 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(FOLD).replace(b".", b" . ").split()
 
 
-def bit_of(key: bytes, bits: int) -> int:
-    return xxhash.xxh64_intdigest(key, 0) >> (64 - bits)
+def _hashes(keys: Iterable[bytes], n: int) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(k, 0) for k in keys), np.uint64, n)
+
+
+def bit_of(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return hashes >> np.uint64(64 - bits)
+
+
+def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    head = lang.encode() + b"\n"
+    return _hashes((head + w + b"\n" for w in words), len(words))
+
+
+def _pair_hashes(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """A hash of each pair (number of the first word x words + number of the second), mixed from those of its words."""
+    first, second = hashes[codes // len(hashes)], hashes[codes % len(hashes)]
+    mixed = first * np.uint64(0x9E3779B97F4A7C15) + second * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (mixed ^ (mixed >> np.uint64(32))) & ~np.uint64((1 << 64 - HASH_BITS) - 1)
 
 
 class _Numbers(dict):
@@ -102,14 +122,14 @@ def _batch(lang: str, keys: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), text, pa.array(counts, pa.int64())], ["lang", "phrase", "n"])
 
 
-def _flags(bitmap: np.ndarray, bits: int, keys: Iterator[bytes], n: int) -> np.ndarray:
-    at = np.fromiter((bit_of(k, bits) for k in keys), np.int64, n)
+def _flags(bitmap: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
+    at = np.empty(len(hashes), np.int64)
+    at[:] = bit_of(hashes, bits)
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _frequent_words(bitmap: np.ndarray, lang: str, words: list[bytes]) -> np.ndarray:
-    head = lang.encode() + b"\n"
-    good = _flags(bitmap, WORD_BITS, (head + w + b"\n" for w in words), len(words))
+def _frequent_words(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    good = _flags(bitmap, WORD_BITS, hashes)
     good[0] = False
     return good
 
@@ -128,16 +148,14 @@ def _pairs(words: list[bytes], numbers: np.ndarray, good: np.ndarray) -> tuple[n
     return at, codes, which
 
 
-def _pair_keys(words: list[bytes], codes: np.ndarray) -> list[bytes]:
-    return [words[a] + b"\n" + words[b] + b"\n" for a, b in zip((codes // len(words)).tolist(), (codes % len(words)).tolist())]
-
-
 def _count_pairs(frequent: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, numbers in _chunks(batches):
-            _, codes, which = _pairs(words, numbers, _frequent_words(frequent, lang, words))
+            hashes = _word_hashes(lang, words)
+            _, codes, which = _pairs(words, numbers, _frequent_words(frequent, hashes))
             if len(codes):
-                yield _batch(lang, _pair_keys(words, codes), np.bincount(which))
+                pairs = _pair_hashes(hashes, codes).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(np.bincount(which), pa.int64())], ["h", "n"])
 
     return run
 
@@ -147,11 +165,11 @@ def _suffixes(frequent: np.ndarray, pairs: np.ndarray, longest: int) -> Callable
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, numbers in _chunks(batches):
-            at, codes, which = _pairs(words, numbers, _frequent_words(frequent, lang, words))
+            hashes = _word_hashes(lang, words)
+            at, codes, which = _pairs(words, numbers, _frequent_words(frequent, hashes))
             if not len(codes):
                 continue
-            head = lang.encode() + b"\n"
-            known = _flags(pairs, PAIR_BITS, (head + k for k in _pair_keys(words, codes)), len(codes))[which]
+            known = _flags(pairs, PAIR_BITS, _pair_hashes(hashes, codes))[which]
             at = at[known]
             goes_on = np.zeros(len(numbers) + longest, bool)
             goes_on[at] = True
@@ -221,16 +239,20 @@ def _subtrees(least: int, heavy: set[tuple[str, str]]) -> Callable:
     return run
 
 
-def _bitmap(keys: DataFrame, bits: int) -> np.ndarray:
-    """Bits of the hashes of (lang, phrase), 2^(bits - 3) bytes; Spark makes its parts."""
-    at = F.shiftrightunsigned(F.col("h"), 64 - bits)
+def _hashed(words: DataFrame) -> DataFrame:
+    """Hashes ``h`` of words (lang, phrase)."""
 
     @F.pandas_udf("long")
     def hashed(langs, phrases):
         both = (lang.encode() + b"\n" + phrase.encode() for lang, phrase in zip(langs, phrases))
-        return type(langs)(np.fromiter((xxhash.xxh64_intdigest(k, 0) for k in both), np.uint64, len(langs)).astype(np.int64))
+        return type(langs)(_hashes(both, len(langs)).astype(np.int64))
+
+    return words.select(hashed("lang", "phrase").alias("h"))
+
 
-    placed = keys.select(hashed("lang", "phrase").alias("h")).select(at.alias("at"))
+def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
+    """The leading ``bits`` of hashes ``h``, set in 2^(bits - 3) bytes; Spark makes its parts."""
+    placed = hashes.select(F.shiftrightunsigned("h", 64 - bits).alias("at"))
     # Spark's parts begin with bit 0 in part 1.
     parts = placed.groupBy(F.floor(F.col("at") / (1 << PART_BITS)).alias("part")).agg(
         F.bitmap_construct_agg(F.col("at") % (1 << PART_BITS)).alias("bits"))
@@ -292,10 +314,11 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     words = stored(summed(texts.mapInArrow(_count_words, schema)), "words")
     sizes = stored(words.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
     frequent = stored(words.where(F.col("n") >= least), "frequent")
-    word_bits = _bitmap(frequent, WORD_BITS)
-    pairs = stored(summed(texts.mapInArrow(_count_pairs(word_bits), schema)).where(F.col("n") >= least), "pairs")
-    pair_bits = _bitmap(pairs, PAIR_BITS)
+    word_bits = _bitmap(_hashed(frequent), WORD_BITS)
+    pairs = texts.mapInArrow(_count_pairs(word_bits), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    pair_bits = _bitmap(stored(pairs.where(F.col("n") >= least).select("h"), "frequent_pairs"), PAIR_BITS)
     suffixes = stored(texts.mapInArrow(_suffixes(word_bits, pair_bits, longest), schema), "suffixes")
+    pairs = stored(summed(suffixes.select("lang", _first(2).alias("phrase"), "n")), "pairs")
     grouped, heavy = prefix_groups(suffixes, pairs, longest, group)
     grouped = grouped.groupBy("g", "lang", "phrase").agg(F.sum("n").alias("n"))
     walked = (grouped.repartition("g").sortWithinPartitions("g", "lang", "phrase").select("g", "lang", "phrase", "n")
