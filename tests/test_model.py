@@ -113,3 +113,12 @@ def test_family_of_hand_made_rows(spark):
                                "feature string, importance double")
     got = {r.family: (r.features, r.importance) for r in M.importance_by_family(df).collect()}
     assert got == {"um_h": (1, 2.0), "u_h": (1, 3.0), "raw": (1, 5.0), "m_l": (1, 1.0)}
+
+
+def test_fit_holds_a_bounded_number_of_rows_a_task(spark, q):
+    """A scan's partition has as many rows as its bytes allow; the fit's are dealt so that none holds many more than it may."""
+    train = q("train_set")
+    rows = M.fit_rows(train, most=50)
+    sizes = rows.rdd.glom().map(len).collect()
+    assert sum(sizes) == train.count() and max(sizes) <= 2 * 50
+    assert M.fit_rows(train).rdd.getNumPartitions() == train.rdd.getNumPartitions()  # a small table stays as it is
