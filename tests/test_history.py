@@ -78,3 +78,16 @@ def test_history_ignores_label_window_changes(spark):
     a = sorted(map(tuple, H.user_features(H.pair_sums(h)).collect()))
     b = sorted(map(tuple, H.user_features(H.pair_sums(h2)).collect()))
     assert a == b
+
+
+def test_a_stored_pair_holds_one_cutoff(spark):
+    """A task's hash table of pairs grows with their sums: the stored table has those of one cutoff, and none twice."""
+    from couponlens.plans import registry as R
+    from couponlens.plans.params import SCORING, TRAINING
+
+    from conftest import SMALL
+    for w in (SCORING, TRAINING):
+        sums = R.sums(spark, SMALL, w)
+        assert len(sums.columns) == 2 + 10
+        want = H.pair_sums(R.hist(spark, SMALL, w))
+        assert sorted(map(tuple, sums.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
