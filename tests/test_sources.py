@@ -2,8 +2,10 @@
 
 import os
 import shutil
+import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from couponlens.session import shared_dir
 from couponlens.sources import importance as SI
@@ -104,3 +106,15 @@ def test_dates_do_not_depend_on_session_settings(spark):
     a = S.fixture_receipts(spark, SMALL).groupBy("date_received", "date_used").count().collect()
     b = S.fixture_receipts(other, SMALL).groupBy("date_received", "date_used").count().collect()
     assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str)
+
+
+def test_staged_fixture_shuffles_no_derived_column_and_bounds_its_files(spark):
+    """Coupon and rate are added after the shuffle by day, and no file of a hot day holds more rows than a task may aggregate."""
+    rows = S.fixture_rows(spark, SMALL)
+    assert not {"coupon_id", "discount_rate"} & set(rows.columns)
+    path = tempfile.mkdtemp(prefix="couponlens-rows-")
+    S.write_receipts(rows, path, S.with_coupons, 10)
+    got = S.read_receipts(spark, path)
+    assert got.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 10
+    assert got.exceptAll(S.fixture_receipts(spark, SMALL)).isEmpty() and got.count() == S.fixture_receipts(spark, SMALL).count()
+    assert S.FIXTURE_FILE_ROWS <= 1 << 17
