@@ -4,7 +4,9 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from couponlens.llm import collocations
 
@@ -98,3 +100,51 @@ def test_collocations_of_empty_tables(spark, tmp_path):
     for some in (docs, docs.limit(0)):
         found = collocations.collocations(some)
         assert found.count() == 0 and found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def test_rare_triples_of_frequent_pairs_begin_no_suffixes(spark, tmp_path, monkeypatch):
+    """Suffix rows follow from frequent phrases, not from all that frequent pairs can be put together to."""
+    made = {}
+
+    def stored(df, name, keep=collocations.stored):
+        made[name] = keep(df, name)
+        return made[name]
+
+    monkeypatch.setattr(collocations, "stored", stored)
+    rng = np.random.default_rng(3)
+    rows = [(" ".join(rng.choice([f"w{i}" for i in range(15)], 100)), "en") for _ in range(80)] + [("a passage of six words here", "en")] * 25
+    found = got(collocations.collocations(table(spark, str(tmp_path / "d"), rows), least=20))
+    assert found == plain_collocations(rows, 20, 5, 2000) and len(found) > 200
+    suffixes = {r.phrase for r in made["suffixes"].collect()}
+    assert suffixes == {"a\npassage\nof\nsix\nwords\n", "passage\nof\nsix\nwords\nhere\n", "of\nsix\nwords\nhere\n"}
+
+
+def test_words_have_one_hash_in_spark_and_in_tasks(spark, monkeypatch):
+    words = ["the", "ä", "日本", "a\x01b", "\x00", "x" * 100, ""]
+    table_of = spark.createDataFrame([("x\ny", w + "\n", i) for i, w in enumerate(words)], "lang string, phrase string, n long")
+    hashes = [r.h for r in table_of.orderBy("n").select(collocations._hash("0\n").alias("h")).collect()]
+    assert hashes == collocations._word_hashes("0\n", "x\ny", [w.encode() for w in words]).view(np.int64).tolist()
+    assert collocations._salt(table_of, 3) == "0\n"
+    # Words 1 and 5 have the same hash at first, which matters if either is frequent.
+    first = F.when(F.col("n") == 5, F.lit(1)).otherwise(F.col("n")).cast("long")
+    monkeypatch.setattr(collocations, "_hash", lambda salt, keep=collocations._hash: first if salt == "0\n" else keep(salt))
+    assert [collocations._salt(table_of, least) for least in (5, 6)] == ["1\n", "0\n"]
+
+
+def test_triples_of_very_many_words(monkeypatch):
+    """The same counts where three numbers of words do not fit into one code."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["the", "of", "rare", "a", "z"], 200)) + ", end of" for _ in range(3)]
+    known = np.sort(collocations._word_hashes("", "en", [b"the", b"of", b"a", b"z"]))
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 3), pa.array([t.encode() for t in texts])], ["lang", "t"])
+    count = lambda: {(r["pair"], r["third"]): r["n"] for b in collocations._count_triples(known, "", 5)(iter([batch])) for r in b.to_pylist()}
+    plain = count()
+    ids = dict(zip(["the", "of", "a", "z"], collocations._ids(known, np.append(known[:1], collocations._word_hashes("", "en", [b"the", b"of", b"a", b"z"])))[1:].tolist()))
+    wanted = Counter()
+    for text in texts:
+        for piece in text.split(","):
+            w = [ids.get(x, 0) for x in piece.split()] + [0]
+            wanted.update(((w[i] << 32 | w[i + 1], w[i + 2]) for i in range(len(w) - 2) if w[i] and w[i + 1]))
+    assert plain == wanted
+    monkeypatch.setattr(collocations, "CODE_WORDS", 2)
+    assert count() == plain
